@@ -15,36 +15,41 @@ POSITIVE_SIGNS = "àABCDEFGHI"
 NEGATIVE_SIGNS = "èJKLMNOPQR"
 
 
-def _sign_place(raw: Column) -> Column:
-    """1-10 for a positive last character, 11-20 for a negative one, else 0."""
-    last = F.right(raw, F.lit(1))
-    place = F.position(last, F.lit(POSITIVE_SIGNS + NEGATIVE_SIGNS))
-    return F.when(last == "", F.lit(0)).otherwise(place)
+def _last(raw: Column) -> Column:
+    return F.substring(raw, -1, 1)
+
+
+def _in_code(raw: Column, signs: str) -> Column:
+    last = _last(raw)
+    return (last != "") & F.contains(F.lit(signs), last)
 
 
 def overpunch_sign(raw: Column) -> Column:
     """``+`` or ``-``; NULL for a last character outside the code."""
-    place = _sign_place(raw)
-    return F.when(place > 10, "-").when(place > 0, "+")
+    return F.when(_in_code(raw, POSITIVE_SIGNS), "+").when(_in_code(raw, NEGATIVE_SIGNS), "-")
 
 
 def overpunch_digits(raw: Column) -> Column:
     """All digits as text, the last one decoded; NULL for a bad last character."""
-    place = _sign_place(raw)
-    digit = ((place - 1) % 10).cast("string")
-    return F.when(place > 0, F.concat(F.substring(raw, F.lit(1), F.length(raw) - 1), digit))
+    digit = F.translate(_last(raw), POSITIVE_SIGNS + NEGATIVE_SIGNS, "0123456789" * 2)
+    decoded = F.concat(F.substring(raw, F.lit(1), F.length(raw) - 1), digit)
+    return F.when(_in_code(raw, POSITIVE_SIGNS + NEGATIVE_SIGNS), decoded)
+
+
+def _whole_points(raw: Column) -> Column:
+    # The two implied decimals go, the decoded character among them.
+    whole = F.ltrim(F.substring(raw, F.lit(1), F.length(raw) - 2), F.lit("0"))
+    return F.coalesce(F.nullif(whole, F.lit("")), F.lit("0"))
 
 
 def implied_points_text(raw: Column) -> Column:
     """Unsigned whole points as text: two implied decimals cut, zeros stripped, never empty."""
-    digits = overpunch_digits(raw)
-    whole = F.ltrim(F.left(digits, F.length(digits) - 2), F.lit("0"))
-    return F.when(digits.isNotNull(), F.coalesce(F.nullif(whole, F.lit("")), F.lit("0")))
+    return F.when(_in_code(raw, POSITIVE_SIGNS + NEGATIVE_SIGNS), _whole_points(raw))
 
 
 def implied_points(raw: Column) -> Column:
     """Signed whole points; NULL for a malformed field, which is then rejected (Q19)."""
-    return F.concat(overpunch_sign(raw), F.trim(implied_points_text(raw))).try_cast("bigint")
+    return F.concat(overpunch_sign(raw), F.trim(_whole_points(raw))).try_cast("bigint")
 
 
 def posted_amount(raw: Column) -> Column:

@@ -11,8 +11,12 @@ BLANKS = " \t\r\n\x0b\x0c"
 
 
 def stripped(text: Column) -> Column:
-    """Blanks, tabs and line ends off both sides."""
-    return F.btrim(text, F.lit(BLANKS))
+    """Blanks, tabs and line ends off both sides.
+
+    Padding is almost always blanks, which the plain trim removes far faster
+    than a trim by character set; the set then sees the short rest.
+    """
+    return F.btrim(F.trim(text), F.lit(BLANKS))
 
 
 def century_date(text: Column) -> Column:

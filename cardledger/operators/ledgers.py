@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,16 +57,16 @@ class LedgerStore:
     # ---- commit log (control rows only: a few per run) ---------------------
 
     def _record(self, number: int, records: list[tuple]) -> None:
-        frame = self.spark.createDataFrame(records, COMMIT_RECORD).coalesce(1)
-        frame.write.mode("errorifexists").parquet(f"{self.root}/{COMMITS}/{number:010d}")
+        frame = self.spark.createDataFrame(records, COMMIT_RECORD).drop("commit").coalesce(1)
+        frame.write.mode("errorifexists").parquet(f"{self.root}/{COMMITS}/commit={number}")
 
     def log(self) -> DataFrame:
-        return self.spark.read.schema(COMMIT_RECORD).parquet(f"{self.root}/{COMMITS}/*")
+        return self.spark.read.schema(COMMIT_RECORD).parquet(f"{self.root}/{COMMITS}")
 
     def head(self) -> int:
         return self.log().agg(F.max("commit").alias("head")).first()["head"]
 
-    def _state(self, tag: str | None = None) -> dict[str, dict]:
+    def state(self, tag: str | None = None) -> dict[str, dict]:
         """Latest record per table, of all commits or of one snapshot; as many rows as there are tables."""
         records = self.log()
         records = records.filter(F.col("tag") == tag) if tag else records.filter(F.col("tag").isNull())
@@ -84,8 +85,19 @@ class LedgerStore:
         schema = StructType.fromJson(json.loads(entry["schema_json"]))
         if not entry["paths"]:
             return self.spark.createDataFrame([], schema)
-        paths = [f"{self.root}/{path}" for path in entry["paths"]]
-        return self.spark.read.schema(schema).format(self.fmt).load(paths).select(*schema.names)
+        # Folders of one owner are read together; the owner folder is the base of their partitions.
+        owners: dict[str, list[str]] = {}
+        for path in entry["paths"]:
+            owners.setdefault(path.split("/")[0], []).append(f"{self.root}/{path}")
+        frames = [
+            self.spark.read.schema(schema)
+            .format(self.fmt)
+            .option("basePath", f"{self.root}/{owner}")
+            .load(paths)
+            .select(*schema.names)
+            for owner, paths in owners.items()
+        ]
+        return reduce(DataFrame.union, frames)
 
     def read(self, table: str, tag: str | None = None) -> DataFrame:
         return self._frame(self._entry(table, tag))
@@ -97,7 +109,7 @@ class LedgerStore:
         return list(self._entry(table)["paths"])
 
     def _entry(self, table: str, tag: str | None = None) -> dict:
-        state = self._state(tag)
+        state = self.state(tag)
         if table not in state:
             raise KeyError(f"no table {table}" + (f" in snapshot {tag}" if tag else ""))
         return state[table]
@@ -114,7 +126,7 @@ class LedgerStore:
 
         Folders are never changed once committed, so the name is the backup.
         """
-        state = self._state()
+        state = self.state()
         empty = [t for t in tables if not state[t]["row_count"]]
         if empty:
             raise LedgerMismatch("no snapshot of empty tables: " + ", ".join(empty))
@@ -130,7 +142,7 @@ class LedgerStore:
 
     def restore(self, tag: str, run_ts: str) -> int:
         """M2, M3: the ledgers become what the snapshot holds, all in one commit or none (Q16)."""
-        saved = self._state(tag)
+        saved = self.state(tag)
         if not saved:
             raise KeyError(f"no snapshot {tag}")
         number = self.head() + 1
@@ -172,7 +184,7 @@ class Change:
     def __init__(self, store: LedgerStore, run_ts: str, source: str):
         self.store, self.run_ts, self.source = store, run_ts, source
         self.number = store.head() + 1
-        self.state = store._state()
+        self.state = store.state()
         self.touched: dict[str, dict] = {}
 
     def _write(self, table: str, rows: DataFrame, partition_by: Sequence[str]) -> dict:

@@ -195,15 +195,9 @@ def partner_response(routed: DataFrame) -> DataFrame:
         "05": ~F.col("transaction_type").isin(*MOVEMENT_TYPES),
         "06": ~F.col("causalcode").isin(*PARTNER_CAUSALS),
     }
-    marks = F.array(
-        *[
-            F.when(rule, F.struct(F.lit(code).alias("code"), F.lit(RESPONSE_TEXTS[code]).alias("text")))
-            for code, rule in rules.items()
-        ]
-    )
-    return (
-        routed.withColumn("_mark", F.explode(F.array_compact(marks)))
-        .withColumn("response_code", F.col("_mark.code"))
-        .withColumn("response_text", F.col("_mark.text"))
-        .drop("_mark")
-    )
+    codes = F.array(*[F.when(rule, F.lit(code)) for code, rule in rules.items()])
+    code = F.col("response_code")
+    text = F.when(F.lit(False), F.lit(""))
+    for value, meaning in RESPONSE_TEXTS.items():
+        text = text.when(code == value, meaning)
+    return routed.withColumn("response_code", F.explode(F.array_compact(codes))).withColumn("response_text", text)

@@ -241,14 +241,9 @@ def route_maintenance(spark, sf_dir):
     )
 
 
-def _feed_accounts(spark, sf_dir):
-    keys = ["product_company", "customer_number", "account_number"]
-    return view(spark, sf_dir, "fx_feed").select(*keys).distinct()
-
-
 @query
 def route_enrolment(spark, sf_dir):
-    return routing.route_enrolment(_feed_accounts(spark, sf_dir), view(spark, sf_dir, "fx_master"))
+    return routing.route_enrolment(view(spark, sf_dir, "fx_enrolled"), view(spark, sf_dir, "fx_master"))
 
 
 def _saveback(spark, sf_dir):
@@ -371,7 +366,7 @@ def enrolment_actions(spark, sf_dir):
 
 @query
 def open_balances(spark, sf_dir):
-    routed = routing.route_enrolment(_feed_accounts(spark, sf_dir), view(spark, sf_dir, "fx_master"))
+    routed = routing.route_enrolment(view(spark, sf_dir, "fx_enrolled"), view(spark, sf_dir, "fx_master"))
     new = routing.accepted(routed).withColumn("customer_company", F.col("product_company"))
     return balances.open_balances(new, view(spark, sf_dir, "fx_balance"), RUN_TS)
 
@@ -387,6 +382,10 @@ def _booked_history(spark, sf_dir):
     return _ledger_rows(history.drop("account_number"))
 
 
+def _for_ledger(rows):
+    return rows.hint("rebalance", *TRANSACTION_PARTITIONS)
+
+
 def _accepted_points(spark, sf_dir):
     routed = routing.route_points(view(spark, sf_dir, "fx_movement"), view(spark, sf_dir, "fx_master"))
     return routing.accepted(routed).drop("account_number", "route", "reason")
@@ -404,9 +403,8 @@ def _append(store, table, rows, partition_by=()):
 
 def _appended_ledger(spark, sf_dir) -> LedgerStore:
     store = _store(spark, "append")
-    _append(store, "l_transaction", _booked_history(spark, sf_dir), TRANSACTION_PARTITIONS)
-    new = _ledger_rows(_accepted_points(spark, sf_dir)).hint("rebalance", *TRANSACTION_PARTITIONS)
-    _append(store, "l_transaction", new, TRANSACTION_PARTITIONS)
+    for rows in (_booked_history(spark, sf_dir), _ledger_rows(_accepted_points(spark, sf_dir))):
+        _append(store, "l_transaction", _for_ledger(rows), TRANSACTION_PARTITIONS)
     return store
 
 
@@ -491,7 +489,7 @@ def _filled_store(spark, sf_dir, label) -> LedgerStore:
     change = store.begin(RUN_TS, "fill")
     change.append("l_anag", view(spark, sf_dir, "fx_anag"))
     change.append("l_balance", balance)
-    change.append("l_transaction", _booked_history(spark, sf_dir), TRANSACTION_PARTITIONS)
+    change.append("l_transaction", _for_ledger(_booked_history(spark, sf_dir)), TRANSACTION_PARTITIONS)
     change.commit()
     return store
 

@@ -46,7 +46,9 @@ TABLES = {
     **{f"{role}_{feed}": STAGED_MOVEMENT for role in "ep" for feed in ("partner", "saveback")},
 }
 
-TRANSACTION_PARTITIONS = ("product_company", "transaction_month")
+# Nearly all rows belong to one product company, so the month alone is the level
+# by which readers can skip files; a run appends to the few months of its feed.
+TRANSACTION_PARTITIONS = ("transaction_month",)
 
 
 @dataclass

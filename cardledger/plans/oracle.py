@@ -236,7 +236,6 @@ SELECT 'CAMS' AS appcode, '18200' AS product_company, m.customer_number, p.key_i
        CASE WHEN m.account_number IS NULL THEN 'unknown account' END AS reason
 FROM pivoted p LEFT JOIN fx_anag m ON m.product_company = '18200' AND m.account_number = p.key_id"""
 
-_ACCOUNTS = "(SELECT DISTINCT product_company, customer_number, account_number FROM fx_feed)"
 _IN_MASTER = (
     "EXISTS (SELECT 1 FROM fx_master m WHERE m.product_company = f.product_company "
     "AND m.customer_number = f.customer_number AND m.account_number = f.account_number)"
@@ -245,7 +244,7 @@ _IN_MASTER = (
 SQL["route_enrolment"] = f"""
 SELECT product_company, customer_number, account_number,
        CASE WHEN known THEN 'rejected' ELSE 'accepted' END AS route, CASE WHEN known THEN 'already in master' END AS reason
-FROM (SELECT f.*, {_IN_MASTER} AS known FROM {_ACCOUNTS} f) k"""
+FROM (SELECT f.*, {_IN_MASTER} AS known FROM fx_enrolled f) k"""
 
 _SAVEBACK = f"""
   SELECT f.transaction_id, f.product_company, f.customer_number,
@@ -398,7 +397,7 @@ SQL["open_balances"] = f"""
 SELECT DISTINCT product_company AS customer_company, product_company, customer_number,
        CAST(0 AS DECIMAL(18,3)) AS balance_extrabonus, CAST(0 AS DECIMAL(18,3)) AS balance_virtualcredit,
        '{RUN_TS}' AS elaboration_ts
-FROM {_ACCOUNTS} f
+FROM fx_enrolled f
 WHERE NOT {_IN_MASTER} AND NOT EXISTS (SELECT 1 FROM fx_balance b
       WHERE b.product_company = f.product_company AND b.customer_number = f.customer_number)"""
 

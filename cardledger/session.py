@@ -20,9 +20,9 @@ ADAPTIVE_SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
-# Rows up to which a side whose size is not known from file statistics is sent
-# to every executor; the widest such side has about 200 bytes a row.
-BROADCAST_ROWS = 100_000
+# Rows up to which a side without size statistics goes to every executor; the
+# widest such side has about 200 bytes a row.
+BROADCAST_ROWS = 10_000
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -55,9 +55,12 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
 
 
 def broadcast_if_small(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``side`` when it has at most ``max_rows`` rows, else leave it to a shuffle join.
+    """``side`` as a broadcast table when it has at most ``max_rows`` rows, else for a shuffle join.
 
-    The check reads no more than ``max_rows + 1`` rows of the result.
+    Meant for control data: headers, file names.  The check fetches no more
+    than ``max_rows + 1`` rows and keeps them, so a small side is computed once.
     """
-    small = side.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(side) if small else side
+    fetched = side.limit(max_rows + 1).toArrow()
+    if fetched.num_rows > max_rows:
+        return side
+    return F.broadcast(side.sparkSession.createDataFrame(fetched, side.schema))
