@@ -45,6 +45,7 @@ class LedgerStore:
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
         self.spark, self.root, self.fmt = spark, root.rstrip("/"), fmt
+        self.refresh()
 
     @classmethod
     def create(cls, spark: SparkSession, root: str, schemas: dict[str, StructType], fmt: str = "parquet") -> LedgerStore:
@@ -59,21 +60,45 @@ class LedgerStore:
     def _record(self, number: int, records: list[tuple]) -> None:
         frame = self.spark.createDataFrame(records, COMMIT_RECORD).drop("commit").coalesce(1)
         frame.write.mode("errorifexists").parquet(f"{self.root}/{COMMITS}/commit={number}")
+        self.refresh()
 
     def log(self) -> DataFrame:
         return self.spark.read.schema(COMMIT_RECORD).parquet(f"{self.root}/{COMMITS}")
 
+    def refresh(self) -> None:
+        """Forget what was read of the log; own commits do so by themselves."""
+        self._known: tuple[int, dict[str, dict]] | None = None
+
+    def _latest(self) -> tuple[int, dict[str, dict]]:
+        """Last commit number and latest record per table; as many rows as there are tables."""
+        if self._known is None:
+            live = F.col("tag").isNull()
+            entry = F.struct("paths", "row_count", "schema_json")
+            rows = (
+                self.log()
+                .groupBy("table")
+                .agg(
+                    F.max("commit").alias("last"),
+                    F.max_by(F.when(live, entry), F.when(live, F.col("commit"))).alias("now"),
+                )
+                .collect()
+            )
+            self._known = (
+                max(row["last"] for row in rows),
+                {row["table"]: row["now"].asDict() for row in rows if row["now"]},
+            )
+        return self._known
+
     def head(self) -> int:
-        return self.log().agg(F.max("commit").alias("head")).first()["head"]
+        return self._latest()[0]
 
     def state(self, tag: str | None = None) -> dict[str, dict]:
-        """Latest record per table, of all commits or of one snapshot; as many rows as there are tables."""
-        records = self.log()
-        records = records.filter(F.col("tag") == tag) if tag else records.filter(F.col("tag").isNull())
-        latest = records.groupBy("table").agg(
-            F.max_by(F.struct("paths", "row_count", "schema_json"), "commit").alias("now")
-        )
-        return {row["table"]: row["now"].asDict() for row in latest.collect()}
+        """The folders of every table, now or in a snapshot."""
+        if tag is None:
+            return self._latest()[1]
+        entry = F.struct("paths", "row_count", "schema_json")
+        saved = self.log().filter(F.col("tag") == tag).groupBy("table").agg(F.max_by(entry, "commit").alias("now"))
+        return {row["table"]: row["now"].asDict() for row in saved.collect()}
 
     def applied(self, source: str) -> bool:
         """Whether a commit of this source exists, so that no batch is booked twice."""
