@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from cardledger.operators import accounts, balances, decode, outputs, pivots, routing
-from cardledger.operators.control import ledger_check, record_counts, route_counts, unbalanced_movements
+from cardledger.operators.control import ledger_check, unbalanced_movements
 from cardledger.operators.ledgers import Change, LedgerMismatch, LedgerStore
 from cardledger.schemas import (
     BALANCE,
@@ -33,6 +33,7 @@ from cardledger.schemas import (
 from cardledger.session import tune
 from cardledger.sources import lines as text
 from cardledger.sources.listing import name_timestamp, oldest_file, waiting_files
+from cardledger.sources.staging import load_decoded_folder
 
 TABLES = {
     "l_anag": MASTER,
@@ -177,6 +178,14 @@ def read_saveback(store: LedgerStore, source: InputFile, run_ts: str) -> bool:
     return _read_movements(store, "saveback", source, run_ts)
 
 
+def load_decoded(store: LedgerStore, feed: str, path: str, run_ts: str) -> int:
+    """A folder of already decoded lines becomes the staged table; returns its rows."""
+    change = store.begin(run_ts, f"load {feed}")
+    change.replace(f"e_{feed}", load_decoded_folder(store.spark, path, TABLES[f"e_{feed}"]))
+    change.commit()
+    return store.rows(f"e_{feed}")
+
+
 # ---- booking ---------------------------------------------------------------
 
 
@@ -388,15 +397,3 @@ def run(store: LedgerStore, feed: str, source: InputFile | None, folder: str, ru
     booking = BOOK[feed](store, folder, run_ts)
     clear(store, feed, run_ts)
     return booking
-
-
-__all__ = [
-    "Booking",
-    "InputFile",
-    "clear",
-    "create_store",
-    "next_file",
-    "record_counts",
-    "route_counts",
-    "run",
-]
