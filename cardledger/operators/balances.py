@@ -25,55 +25,68 @@ def movements(accepted: DataFrame) -> DataFrame:
     )
 
 
-def signed_points(rows: DataFrame, keys: list[str] = CUSTOMER) -> DataFrame:
-    """Signed points per key and movement type.
+def signed_points(rows: DataFrame) -> DataFrame:
+    """Signed points per customer and movement type.
 
     The sum is combined in each task before the shuffle, so a customer with a
     third of all movements sends one row per task.
     """
-    return rows.groupBy(*keys, "transaction_type").agg(
+    return rows.groupBy(*CUSTOMER, "transaction_type").agg(
         F.sum(signed_amount(F.col("sign"), F.col("value"))).cast("decimal(28,3)").alias("points")
     )
 
 
-def points_by_customer(feed: DataFrame, master: DataFrame) -> DataFrame:
-    """Signed points of accepted rows per customer, summed per account *before* the master is joined.
+def movement_sums(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """both signed sums and the number of movements per key, in one aggregate and one shuffle."""
+    amount = signed_amount(F.col("sign"), F.col("value"))
 
-    Gives what routing row by row and then summing gives, but only one row per
-    account and type takes part in the join, whatever the size of the feed.
-    """
-    per_account = signed_points(feed, ["product_company", "account_number"])
-    active = master.filter(F.col("is_customer_number_active")).select(
-        "product_company", "account_number", "customer_number"
+    def total(kind: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("transaction_type") == kind, amount)), F.lit(0)).cast("decimal(28,3)")
+
+    return rows.groupBy(*keys).agg(
+        total("VC").alias("points_virtualcredit"),
+        total("E").alias("points_extrabonus"),
+        F.count(F.lit(1)).alias("movements"),
     )
-    return (
-        per_account.filter(F.col("points").isNotNull())
-        .join(active, ["product_company", "account_number"])
-        .groupBy(*CUSTOMER, "transaction_type")
-        .agg(F.sum("points").cast("decimal(28,3)").alias("points"))
+
+
+def _as_delta(sums: DataFrame, from_partner: bool) -> DataFrame:
+    credit = F.col("points_virtualcredit")
+    return sums.select(
+        *CUSTOMER,
+        (partner_balance_points(credit) if from_partner else credit.cast("decimal(28,6)")).alias("delta_virtualcredit"),
+        F.col("points_extrabonus").cast("decimal(28,6)").alias("delta_extrabonus"),
+        "movements",
     )
 
 
-def balance_delta(points: DataFrame, from_partner: bool = False) -> DataFrame:
-    """Signed points per customer and type to one row per customer, both balances side by side.
+def balance_delta(rows: DataFrame, from_partner: bool = False) -> DataFrame:
+    """Movements to one row per customer with what each balance gains.
 
     Only the partner feed counts virtual credit in thousandths (Q25).
     """
+    return _as_delta(movement_sums(rows, CUSTOMER), from_partner)
 
-    def total(kind: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("transaction_type") == kind, F.col("points"))), F.lit(0))
-
-    credit = total("VC").cast("decimal(28,3)")
-    return (
-        points.filter(F.col("transaction_type").isin("VC", "E"))
-        .groupBy(*CUSTOMER)
-        .agg(
-            (partner_balance_points(credit) if from_partner else credit.cast("decimal(28,6)")).alias(
-                "delta_virtualcredit"
-            ),
-            total("E").cast("decimal(28,6)").alias("delta_extrabonus"),
-        )
+
+def accepted_delta(feed: DataFrame, master: DataFrame) -> DataFrame:
+    """The balance delta of a points feed, summed per account *before* the master is joined.
+
+    Gives what routing row by row and then summing gives, but one row per
+    account takes part in the join, whatever the size of the feed and however
+    many of its rows belong to one account.  The join reuses the partitioning
+    of the sum.
+    """
+    account = ["product_company", "account_number"]
+    usable = feed.filter(signed_amount(F.col("sign"), F.col("value")).isNotNull())
+    active = master.filter(F.col("is_customer_number_active")).select(*account, "customer_number")
+    per_account = movement_sums(usable, account).join(active, account)
+    sums = per_account.groupBy(*CUSTOMER).agg(
+        *[
+            F.sum(name).cast("decimal(28,3)").alias(name) for name in ("points_virtualcredit", "points_extrabonus")
+        ],
+        F.sum("movements").alias("movements"),
     )
+    return _as_delta(sums, from_partner=False)
 
 
 def balance_update(balance: DataFrame, delta: DataFrame) -> DataFrame:

@@ -127,43 +127,36 @@ def customers_of(master: DataFrame) -> DataFrame:
     )
 
 
-def route_saveback(feed: DataFrame, master: DataFrame, ledger: DataFrame) -> DataFrame:
+def route_saveback(feed: DataFrame, master: DataFrame, ledger: DataFrame, mark_resent: bool = False) -> DataFrame:
     """As points, but by customer, and rejected when the ledger has the movement.
 
-    Ids are rewritten first, for the ledger holds rewritten ids (Q9).
-    ``sent_before`` tells whether any file brought the same movement.
+    Ids are rewritten first, for the ledger holds rewritten ids (Q9).  With
+    ``mark_resent`` the column ``sent_before`` tells whether any file brought
+    the same movement; that reads the ledger a second time and rejects nothing.
     """
-    keyed = feed.withColumn(
-        "ledger_id",
-        transaction_key(
-            F.col("appcode"), F.col("transaction_id"), F.col("transaction_date"), F.col("input_filename_timestamp")
-        ),
-    ).withColumn(
-        "movement_id", transaction_key(F.col("appcode"), F.col("transaction_id"), F.col("transaction_date"))
-    )
     customer = ["product_company", "customer_number"]
-    suffix = F.length("input_filename_timestamp") + 1
-    booked = ledger.select(
-        *customer,
-        F.col("transaction_id").alias("ledger_id"),
-        F.left("transaction_id", F.length("transaction_id") - suffix).alias("movement_id"),
-    )
-    exact = booked.select(*customer, "ledger_id").distinct().withColumn("in_ledger", F.lit(True))
-    any_file = booked.select(*customer, "movement_id").distinct().withColumn("sent_before", F.lit(True))
-    matched = (
-        match_master(
-            keyed,
-            customers_of(master),
-            {name: name for name in customer},
-            ["is_customer_number_active"],
-        )
-        .join(exact, [*customer, "ledger_id"], "left")
-        .join(any_file, [*customer, "movement_id"], "left")
-    )
-    reason = F.coalesce(_activity_reason("customer_number_an"), F.when(F.col("in_ledger"), IN_LEDGER))
-    return _with_route(matched, reason).select(
-        *feed.columns, F.coalesce("sent_before", F.lit(False)).alias("sent_before"), "route", "reason"
+    movement = [F.col("appcode"), F.col("transaction_id"), F.col("transaction_date")]
+    columns = list(feed.columns)
+
+    def in_ledger(rows: DataFrame, ids: Column, key: str, flag: str) -> DataFrame:
+        known = ledger.select(*customer, ids.alias(key)).distinct().withColumn(flag, F.lit(True))
+        return rows.join(known, [*customer, key], "left")
+
+    matched = match_master(
+        feed.withColumn("_ledger_id", transaction_key(*movement, F.col("input_filename_timestamp"))),
+        customers_of(master),
+        {name: name for name in customer},
+        ["is_customer_number_active"],
     )
+    matched = in_ledger(matched, F.col("transaction_id"), "_ledger_id", "_booked")
+    if mark_resent:
+        bare = F.left("transaction_id", F.length("transaction_id") - F.length("input_filename_timestamp") - 1)
+        matched = in_ledger(
+            matched.withColumn("_movement_id", transaction_key(*movement)), bare, "_movement_id", "_sent"
+        ).withColumn("sent_before", F.coalesce("_sent", F.lit(False)))
+        columns.append("sent_before")
+    reason = F.coalesce(_activity_reason("customer_number_an"), F.when(F.col("_booked"), IN_LEDGER))
+    return _with_route(matched, reason).select(*columns, "route", "reason")
 
 
 def accepted(routed: DataFrame) -> DataFrame:

@@ -248,7 +248,10 @@ def route_enrolment(spark, sf_dir):
 
 def _saveback(spark, sf_dir):
     return routing.route_saveback(
-        view(spark, sf_dir, "fx_feed"), view(spark, sf_dir, "fx_master"), view(spark, sf_dir, "fx_ledger")
+        view(spark, sf_dir, "fx_feed"),
+        view(spark, sf_dir, "fx_master"),
+        view(spark, sf_dir, "fx_ledger"),
+        mark_resent=True,
     )
 
 
@@ -299,14 +302,13 @@ def signed_points(spark, sf_dir):
 
 @query
 def balance_delta(spark, sf_dir):
-    points = balances.signed_points(view(spark, sf_dir, "fx_feed"))
-    return balances.balance_delta(points, from_partner=True)
+    return balances.balance_delta(view(spark, sf_dir, "fx_feed"), from_partner=True)
 
 
 @query
 def balance_update(spark, sf_dir):
-    points = balances.points_by_customer(view(spark, sf_dir, "fx_feed"), view(spark, sf_dir, "fx_master"))
-    return balances.balance_update(view(spark, sf_dir, "fx_balance"), balances.balance_delta(points))
+    delta = balances.accepted_delta(view(spark, sf_dir, "fx_feed"), view(spark, sf_dir, "fx_master"))
+    return balances.balance_update(view(spark, sf_dir, "fx_balance"), delta)
 
 
 @query
@@ -446,7 +448,7 @@ def feed_control(spark, sf_dir):
 
     singles = [
         control.route_counts(routed),
-        control.unbalanced_movements(moved, view(spark, sf_dir, "fx_balance")),
+        control.unbalanced_movements(balances.balance_delta(moved), view(spark, sf_dir, "fx_balance")),
         counted(_booked_history(spark, sf_dir), "ledger_before"),
         counted(ledger.read("l_transaction"), "ledger_after"),
         counted(other, "maintenance_lines_of_other_company"),

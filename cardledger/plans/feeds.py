@@ -202,7 +202,7 @@ def _open_change(store: LedgerStore, feed: str, run_ts: str) -> Change | None:
 
 def _document(booking: Booking, rows: DataFrame, folder: str, name: str) -> None:
     path = f"{folder.rstrip('/')}/{name}"
-    outputs.write_document(rows, path)
+    booking.totals["delimiters_replaced"] = outputs.write_document(rows, path)
     booking.documents.append(path)
 
 
@@ -213,13 +213,14 @@ def _book_movements(
 
     Returns the movements in file and ledger units.
     """
-    store = change.store
-    balance = store.read("l_balance")
-    delta = balances.balance_delta(balances.signed_points(rows), from_partner)
+    balance = change.store.read("l_balance")
+    # One row per customer, used twice; a lost copy is computed again.
+    delta = balances.balance_delta(rows, from_partner).persist()
     change.replace(
         "l_balance", balances.balance_update(balance, delta), expect_rows=change.count_before("l_balance")
     )
-    booking.totals |= unbalanced_movements(rows, balance).first().asDict()
+    booking.totals |= unbalanced_movements(delta, balance).first().asDict()
+    delta.unpersist()
     booked = outputs.with_partner_units(rows) if from_partner else rows
     ledger = outputs.ledger_rows(booked, programme).withColumn(
         "transaction_month", outputs.transaction_month(F.col("transaction_date"))
@@ -257,7 +258,6 @@ def book_points(store: LedgerStore, folder: str, run_ts: str, file_prefix: str =
         moved = balances.movements(rows)
         _book_movements(change, moved, booking, None, from_partner=False)
         document = outputs.transaction_file(moved)
-        booking.totals["delimiters_replaced"] = _replaced(document)
         _document(booking, document, folder, outputs.run_file_name(file_prefix, run_ts))
     return _finish(change, booking, "points", "l_transaction", store.rows("e_points"), accepted)
 
@@ -273,12 +273,12 @@ def book_partner(store: LedgerStore, folder: str, run_ts: str, file_prefix: str
     rows, accepted, rejects = _routed(change, "partner", routed, booking)
     response = routing.partner_response(rows.unionByName(rejects))
     name = staged.agg(F.min(outputs.response_file_name(F.col("input_filename"))).alias("name")).first()["name"]
-    _document(booking, outputs.response_file(response), folder, name)
+    outputs.write_sorted_document(outputs.response_file(response), f"{folder.rstrip('/')}/{name}")
+    booking.documents.append(f"{folder.rstrip('/')}/{name}")
     if accepted:
         moved = balances.movements(rows)
         booked = _book_movements(change, moved, booking, outputs.PARTNER_PROGRAMME, from_partner=True)
         document = outputs.transaction_file(booked)
-        booking.totals["delimiters_replaced"] = _replaced(document)
         _document(booking, document, folder, outputs.run_file_name(file_prefix, run_ts))
     return _finish(change, booking, "partner", "l_transaction", store.rows("e_partner"), accepted)
 
@@ -329,7 +329,6 @@ def book_enrolment(store: LedgerStore, folder: str, run_ts: str, file_prefix: st
         added = change.count_after("l_anag") - change.count_before("l_anag")
         change.append("l_balance", conform(balances.open_balances(registered, store.read("l_balance"), run_ts), BALANCE))
         document = accounts.enrolment_actions(registered)
-        booking.totals["delimiters_replaced"] = _replaced(document)
         _document(booking, document, folder, outputs.run_file_name(file_prefix, run_ts))
     return _finish(change, booking, "enrolment", "l_anag", store.rows("e_enrolment"), added)
 
@@ -349,7 +348,6 @@ def book_maintenance(store: LedgerStore, folder: str, run_ts: str, file_prefix:
     if accepted:
         acting = accounts.with_actions(rows.drop("reason").distinct())
         document = accounts.maintenance_actions(acting)
-        booking.totals["delimiters_replaced"] = _replaced(document)
         _document(booking, document, folder, outputs.run_file_name(file_prefix, run_ts))
         closing = accounts.closing_customers(acting)
         booking.totals["customers_closed"] = closing.count()
@@ -362,13 +360,6 @@ def book_maintenance(store: LedgerStore, folder: str, run_ts: str, file_prefix:
     return _finish(change, booking, "maintenance", "l_anag", store.rows("e_maintenance"), 0)
 
 
-def _replaced(document: DataFrame) -> int:
-    """Q17: delimiters found inside values of a file."""
-    return (
-        document.agg(F.coalesce(F.sum(outputs.values_with_delimiter(document)), F.lit(0)).alias("n")).first()["n"]
-    )
-
-
 def clear(store: LedgerStore, feed: str, run_ts: str) -> None:
     """The staged table is empty after a run; the loaded-file log keeps the file from coming back."""
     store.reset(f"e_{feed}", run_ts)

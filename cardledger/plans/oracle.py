@@ -303,8 +303,9 @@ FROM fx_feed f GROUP BY product_company, customer_number, transaction_type"""
 SQL["balance_delta"] = f"""
 SELECT product_company, customer_number,
        CAST(coalesce(sum({_FEED_AMOUNT}) FILTER (WHERE transaction_type = 'VC'), 0) * 0.001 AS DECIMAL(28,6)) AS delta_virtualcredit,
-       CAST(coalesce(sum({_FEED_AMOUNT}) FILTER (WHERE transaction_type = 'E'), 0) AS DECIMAL(28,6)) AS delta_extrabonus
-FROM fx_feed f WHERE transaction_type IN ('VC', 'E') GROUP BY product_company, customer_number"""
+       CAST(coalesce(sum({_FEED_AMOUNT}) FILTER (WHERE transaction_type = 'E'), 0) AS DECIMAL(28,6)) AS delta_extrabonus,
+       count(*) AS movements
+FROM fx_feed f GROUP BY product_company, customer_number"""
 
 SQL["balance_update"] = f"""
 WITH moved AS (

@@ -79,7 +79,8 @@ def test_saveback_gives_one_copy_per_movement_and_finds_repeats(spark, master):
         ],
         "product_company string, customer_number string, transaction_id string, input_filename_timestamp string",
     )
-    routed = routing.route_saveback(rows, master, ledger)
+    routed = routing.route_saveback(rows, master, ledger, mark_resent=True)
+    assert "sent_before" not in routing.route_saveback(rows, master, ledger).columns
     assert sorted((r["transaction_id"], r["sent_before"], r["reason"]) for r in routed.collect()) == [
         ("1", True, "already in ledger"),
         ("2", True, None),
@@ -250,11 +251,13 @@ def balance_rows(spark, rows):
 
 def test_update_keeps_null_and_untouched_rows_and_loses_unknown_customers(spark):
     balance = balance_rows(spark, [("C1", 10, None), ("C2", 1, 2)])
-    points = spark.createDataFrame(
-        [("18200", "C1", "E", Decimal("5.5")), ("18200", "C1", "VC", Decimal(7)), ("18200", "C9", "E", Decimal(1))],
-        "product_company string, customer_number string, transaction_type string, points decimal(28,3)",
+    rows = spark.createDataFrame(
+        [("18200", "C1", "E", "+", "5.5"), ("18200", "C1", "VC", "+", "7"), ("18200", "C9", "E", "+", "1")],
+        "product_company string, customer_number string, transaction_type string, sign string, value string",
     )
-    updated = balances.balance_update(balance, balances.balance_delta(points))
+    delta = balances.balance_delta(rows)
+    assert control.unbalanced_movements(delta, balance).first()[0] == 1
+    updated = balances.balance_update(balance, delta)
     assert updated.schema.simpleString() == balance.schema.simpleString()
     assert sorted((r[2], r[3], r[4], r[5]) for r in updated.collect()) == [
         ("C1", Decimal("15.500"), None, "T0"),
@@ -282,8 +285,8 @@ def test_summing_before_the_join_changes_nothing(spark, master):
     accepted = routing.accepted(routing.route_points(rows, master)).withColumn(
         "customer_number", F.col("master_customer_number")
     )
-    late = balances.signed_points(accepted)
-    early = balances.points_by_customer(rows, master)
+    late = balances.balance_delta(accepted)
+    early = balances.accepted_delta(rows, master)
     assert sorted(map(tuple, late.collect())) == sorted(map(tuple, early.collect()))
 
 
@@ -411,3 +414,53 @@ def test_undated_rows_share_a_partition(spark):
     frame = spark.createDataFrame([("20240131",), ("ER0101",), (None,), ("20240230",)], "d string")
     months = [r[0] for r in frame.select(outputs.transaction_month(F.col("d"))).collect()]
     assert months == ["202401", "undated", "undated", "undated"]
+
+
+# ---- skew --------------------------------------------------------------------
+
+
+def test_a_hot_account_is_split_and_no_row_is_lost(spark):
+    """Half of the feed belongs to one account."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    old = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        n = 40_000
+        account = F.when(F.col("id") % 2 == 0, F.lit("A0")).otherwise(F.concat(F.lit("A"), F.col("id").cast("string")))
+        rows = spark.range(0, n, 1, 16).select(
+            F.lit("18200").alias("product_company"),
+            account.alias("account_number"),
+            (F.col("id") % 3).cast("string").alias("transaction_id"),
+            F.lit("+").alias("sign"),
+            F.pmod(F.xxhash64("id"), F.lit(10**9)).cast("string").alias("value"),
+            F.lit("VC").alias("transaction_type"),
+        )
+        people = spark.range(0, n, 1, 4).select(
+            F.lit("18200").alias("product_company"),
+            F.concat(F.lit("C"), (F.col("id") % 100).cast("string")).alias("customer_number"),
+            F.concat(F.lit("A"), F.col("id").cast("string")).alias("account_number"),
+            (F.col("id") % 5 != 1).alias("is_customer_number_active"),
+        )
+        routed = routing.route_points(rows, people)
+        counts = {r["route"]: r["count"] for r in routed.groupBy("route").count().collect()}
+        assert counts == {"accepted": n - n // 10, "rejected": n // 10}
+        routed.collect()
+        plan = routed._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+        # A sum per customer follows the join, as in a run; the cut stays.
+        moved = routing.accepted(routed).withColumn("customer_number", F.col("master_customer_number"))
+        delta = balances.balance_delta(moved)
+        total = sum(r["delta_virtualcredit"] for r in delta.collect())
+        assert total == moved.agg(F.sum(F.col("value").cast("decimal(18,3)"))).first()[0]
+        assert "skew=true" in delta._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
