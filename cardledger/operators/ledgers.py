@@ -20,6 +20,7 @@ import json
 from collections.abc import Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructType
@@ -32,6 +33,8 @@ COMMIT_RECORD = text_table(
     paths=ArrayType(StringType()),
     row_count=LongType(),
 )
+_ARROW_TYPES = {"commit": pa.int64(), "row_count": pa.int64(), "paths": pa.list_(pa.string())}
+RECORD_ARROW = pa.schema([(name, _ARROW_TYPES.get(name, pa.string())) for name in COMMIT_RECORD.names])
 COMMITS = "_commits"
 LEDGERS = ("l_anag", "l_balance", "l_transaction")
 
@@ -58,7 +61,9 @@ class LedgerStore:
     # ---- commit log (control rows only: a few per run) ---------------------
 
     def _record(self, number: int, records: list[tuple]) -> None:
-        frame = self.spark.createDataFrame(records, COMMIT_RECORD).drop("commit").coalesce(1)
+        rows = [dict(zip(COMMIT_RECORD.names, record)) for record in records]
+        arrow = pa.Table.from_pylist(rows, schema=RECORD_ARROW)
+        frame = self.spark.createDataFrame(arrow, COMMIT_RECORD).drop("commit").coalesce(1)
         frame.write.mode("errorifexists").parquet(f"{self.root}/{COMMITS}/commit={number}")
         self.refresh()
 

@@ -91,21 +91,26 @@ def _loaded_before(store: LedgerStore, feed: str, column: str, value: str) -> bo
 
 
 def _stage(
-    store: LedgerStore, feed: str, rows: DataFrame, run_ts: str, bad_lines: DataFrame | None = None
+    store: LedgerStore,
+    feed: str,
+    source: InputFile,
+    rows: DataFrame,
+    run_ts: str,
+    batch: str | None = None,
+    bad_lines: DataFrame | None = None,
 ) -> bool:
-    """K1, K2: one write serves history (``p_``) and the staged table (``e_``); an empty file stages nothing."""
+    """K1, K2: one write serves history (``p_``) and the staged table (``e_``); an empty file stages nothing.
+
+    The load log gets one row: file name and, for feeds that have one, the
+    batch timestamp of the header.
+    """
     change = store.begin(run_ts, f"read {feed}")
-    staged = change.append(f"p_{feed}", rows)
+    change.append(f"p_{feed}", rows)
     change.point(f"e_{feed}", of=f"p_{feed}")
     found = change.count_after(f"e_{feed}") > 0
     if found:
-        seen = staged.select(
-            F.lit(feed).alias("feed"), "input_filename", "internallog_ts", "elaboration_ts"
-        ).distinct()
-        if feed in ("partner", "saveback"):
-            # These feeds carry a timestamp per line; only the file name marks a load.
-            seen = seen.withColumn("internallog_ts", F.lit(None).cast("string")).distinct()
-        change.append("loaded_files", seen)
+        entry = [(feed, source.name, batch, run_ts)]
+        change.append("loaded_files", store.spark.createDataFrame(entry, LOADED_FILES).coalesce(1))
     if bad_lines is not None:
         change.append(
             "rejected_lines",
@@ -135,7 +140,7 @@ def read_enrolment(store: LedgerStore, source: InputFile, run_ts: str) -> bool:
     rows = pivoted.withColumns(
         {"input_filename_timestamp": F.lit(source.timestamp), "internallog_ts": F.lit(header["batch_id"])}
     )
-    return _stage(store, "enrolment", pivots.staged_enrolment(rows, run_ts), run_ts)
+    return _stage(store, "enrolment", source, pivots.staged_enrolment(rows, run_ts), run_ts, header["batch_id"])
 
 
 def read_points(store: LedgerStore, source: InputFile, run_ts: str, causal: str = decode.POINTS_CAUSAL) -> bool:
@@ -148,7 +153,7 @@ def read_points(store: LedgerStore, source: InputFile, run_ts: str, causal: str
     if batch and _loaded_before(store, "points", "internallog_ts", batch):
         return False
     rows = decode.points_transactions(lines).withColumn("internallog_ts", F.lit(batch))
-    return _stage(store, "points", decode.staged_points(rows, run_ts, causal), run_ts)
+    return _stage(store, "points", source, decode.staged_points(rows, run_ts, causal), run_ts, batch or None)
 
 
 def read_maintenance(store: LedgerStore, source: InputFile, run_ts: str) -> bool:
@@ -157,7 +162,7 @@ def read_maintenance(store: LedgerStore, source: InputFile, run_ts: str) -> bool
         return False
     details = decode.maintenance_details(_lines(store, source, latin1=True))
     rows = pivots.pivot_maintenance(details).withColumn("input_filename_timestamp", F.lit(source.timestamp))
-    return _stage(store, "maintenance", pivots.staged_maintenance(rows, run_ts), run_ts)
+    return _stage(store, "maintenance", source, pivots.staged_maintenance(rows, run_ts), run_ts)
 
 
 def _read_movements(store: LedgerStore, feed: str, source: InputFile, run_ts: str) -> bool:
@@ -167,7 +172,7 @@ def _read_movements(store: LedgerStore, feed: str, source: InputFile, run_ts: st
     rows = text.with_run_columns(
         text.well_formed(split), source.prefix_length, len(source.timestamp), run_ts
     )
-    return _stage(store, feed, conform(rows, STAGED_MOVEMENT), run_ts, bad_lines=text.malformed(split))
+    return _stage(store, feed, source, conform(rows, STAGED_MOVEMENT), run_ts, bad_lines=text.malformed(split))
 
 
 def read_partner(store: LedgerStore, source: InputFile, run_ts: str) -> bool:
@@ -214,12 +219,13 @@ def _book_movements(
     Returns the movements in file and ledger units.
     """
     balance = change.store.read("l_balance")
-    # One row per customer, used twice; a lost copy is computed again.
+    # One row per customer, used twice; a lost copy is computed again.  Once it is
+    # filled its true size is known, and a small delta spares the balances a shuffle.
     delta = balances.balance_delta(rows, from_partner).persist()
+    booking.totals |= unbalanced_movements(delta, balance).first().asDict()
     change.replace(
         "l_balance", balances.balance_update(balance, delta), expect_rows=change.count_before("l_balance")
     )
-    booking.totals |= unbalanced_movements(delta, balance).first().asDict()
     delta.unpersist()
     booked = outputs.with_partner_units(rows) if from_partner else rows
     ledger = outputs.ledger_rows(booked, programme).withColumn(
@@ -346,10 +352,10 @@ def book_maintenance(store: LedgerStore, folder: str, run_ts: str, file_prefix:
     rows, accepted, _ = _routed(change, "maintenance", routed, booking)
     booking.totals["customers_closed"] = 0
     if accepted:
-        acting = accounts.with_actions(rows.drop("reason").distinct())
+        acting = accounts.with_actions(rows.drop("reason").distinct()).persist()
         document = accounts.maintenance_actions(acting)
         _document(booking, document, folder, outputs.run_file_name(file_prefix, run_ts))
-        closing = accounts.closing_customers(acting)
+        closing = accounts.closing_customers(acting).persist()
         booking.totals["customers_closed"] = closing.count()
         if booking.totals["customers_closed"]:
             for table, closed in (
@@ -357,6 +363,8 @@ def book_maintenance(store: LedgerStore, folder: str, run_ts: str, file_prefix:
                 ("l_anag", accounts.account_disable(store.read("l_anag"), closing)),
             ):
                 change.replace(table, closed, expect_rows=change.count_before(table))
+        closing.unpersist()
+        acting.unpersist()
     return _finish(change, booking, "maintenance", "l_anag", store.rows("e_maintenance"), 0)
 
 

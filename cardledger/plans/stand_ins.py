@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 BASE_TABLES = ("customer", "orders", "events")
 
@@ -256,12 +257,22 @@ def with_views(body: str) -> str:
     return f"{head}{definitions}{chr(10) if not rest.startswith(',') else ''}{rest}"
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def _given(spark: SparkSession, path: str) -> DataFrame:
+    """A given table; its schema is taken from the file once, later reads need no job for it."""
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One stand-in over the whole given tables."""
     needed = _closure([name])
     for table in BASE_TABLES:
         if any(re.search(rf"\b{table}\b", VIEWS[each]) for each in needed):
-            spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+            _given(spark, f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
     for each in needed:
         spark.sql(VIEWS[each]).createOrReplaceTempView(each)
     return spark.table(name)
