@@ -58,7 +58,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 def _run_feed(store: LedgerStore, args: argparse.Namespace, run_ts: str) -> dict:
     totals: dict = {"feed": args.feed, "stage": args.stage}
     if args.stage in ("all", "read"):
-        source = feeds.next_file(store.spark, args.folder, args.prefix, args.timestamp_length)
+        source = feeds.next_file(store, args.feed, args.folder, args.prefix, args.timestamp_length)
         totals["staged"] = source is not None and feeds.READ[args.feed](store, source, run_ts)
         if not totals["staged"]:
             return totals

@@ -266,39 +266,47 @@ class Change:
     def clear(self, table: str) -> None:
         self.touched[table] = {**self._present(table), "paths": [], "row_count": 0}
 
-    def routed(self, accepted_table: str, rejected_table: str, rows: DataFrame) -> tuple[DataFrame, int, DataFrame, int]:
+    def routed(
+        self,
+        accepted_table: str,
+        rejected_table: str,
+        rows: DataFrame,
+        accepted_columns: Sequence[str] | None = None,
+        rejected_columns: Sequence[str] | None = None,
+    ) -> tuple[DataFrame, int, DataFrame, int]:
         """K3, K4: write both routes in one job and one pass over the join.
 
         The route is a folder level: the accepted table shows only this run's
-        accepted folder, the rejected table gets this run's rejected folder added.
+        accepted folder, the rejected table gets this run's rejected folder
+        added.  Returns both routes with all columns, and their numbers of rows;
+        the tables show the named columns.
         """
         entry = self._write(accepted_table, rows, ["route"])
         base = entry["paths"][0]
         counts = {
             row["route"]: row["count"] for row in self.store._frame(entry).groupBy("route").count().collect()
         }
-        schema_json = rows.drop("route").schema.json()
-        parts = {}
-        for route in ("accepted", "rejected"):
+        everything = rows.drop("route").schema
+
+        def part(route: str, columns: Sequence[str] | None) -> tuple[dict, DataFrame]:
             n = counts.get(route, 0)
-            parts[route] = {
-                "paths": [f"{base}/route={route}"] if n else [],
-                "row_count": n,
-                "schema_json": schema_json,
-            }
-        self.touched[accepted_table] = parts["accepted"]
+            shown = StructType([everything[name] for name in columns]) if columns else everything
+            written = {"paths": [f"{base}/route={route}"] if n else [], "row_count": n}
+            return (
+                {**written, "schema_json": shown.json()},
+                self.store._frame({**written, "schema_json": everything.json()}),
+            )
+
+        accepted, accepted_rows = part("accepted", accepted_columns)
+        rejected, rejected_rows = part("rejected", rejected_columns)
         before = self._present(rejected_table)
+        self.touched[accepted_table] = accepted
         self.touched[rejected_table] = {
-            "paths": [*before["paths"], *parts["rejected"]["paths"]],
-            "row_count": before["row_count"] + parts["rejected"]["row_count"],
-            "schema_json": schema_json,
+            **rejected,
+            "paths": [*before["paths"], *rejected["paths"]],
+            "row_count": before["row_count"] + rejected["row_count"],
         }
-        return (
-            self.store._frame(parts["accepted"]),
-            parts["accepted"]["row_count"],
-            self.store._frame(parts["rejected"]),
-            parts["rejected"]["row_count"],
-        )
+        return accepted_rows, accepted["row_count"], rejected_rows, rejected["row_count"]
 
     def count_before(self, table: str) -> int:
         return self.state[table]["row_count"]

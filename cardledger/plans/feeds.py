@@ -74,9 +74,16 @@ def create_store(spark, root: str, fmt: str = "parquet") -> LedgerStore:
     return LedgerStore.create(tune(spark), root, TABLES, fmt)
 
 
-def next_file(spark, folder: str, prefix: str, timestamp_length: int) -> InputFile | None:
-    """The oldest waiting file by name, None when none waits."""
-    found = oldest_file(waiting_files(spark, folder, prefix), len(prefix), timestamp_length).first()
+def next_file(
+    store: LedgerStore, feed: str, folder: str, prefix: str, timestamp_length: int
+) -> InputFile | None:
+    """The oldest file by name that the load log does not hold, None when none waits.
+
+    Files stay where they are; the log takes the place of a folder for done files.
+    """
+    done = store.read("loaded_files").filter(F.col("feed") == feed).select("input_filename")
+    waiting = waiting_files(store.spark, folder, prefix).join(done, "input_filename", "left_anti")
+    found = oldest_file(waiting, len(prefix), timestamp_length).first()
     if found is None:
         return None
     return InputFile(found["path"], found["input_filename"], found["input_filename_timestamp"], len(prefix))
@@ -90,6 +97,19 @@ def _loaded_before(store: LedgerStore, feed: str, column: str, value: str) -> bo
     return not log.filter((F.col("feed") == feed) & (F.col(column) == value)).isEmpty()
 
 
+def _log_load(change: Change, feed: str, source: InputFile, batch: str | None) -> None:
+    entry = [(feed, source.name, batch, change.run_ts)]
+    change.append("loaded_files", change.store.spark.createDataFrame(entry, LOADED_FILES).coalesce(1))
+
+
+def _skip(store: LedgerStore, feed: str, source: InputFile, run_ts: str) -> bool:
+    """A file with nothing to stage, or a known batch under another name, is done all the same (Q14)."""
+    change = store.begin(run_ts, f"skip {feed}")
+    _log_load(change, feed, source, None)
+    change.commit()
+    return False
+
+
 def _stage(
     store: LedgerStore,
     feed: str,
@@ -108,16 +128,15 @@ def _stage(
     change.append(f"p_{feed}", rows)
     change.point(f"e_{feed}", of=f"p_{feed}")
     found = change.count_after(f"e_{feed}") > 0
-    if found:
-        entry = [(feed, source.name, batch, run_ts)]
-        change.append("loaded_files", store.spark.createDataFrame(entry, LOADED_FILES).coalesce(1))
+    if not found:
+        change = store.begin(run_ts, f"read {feed}")
+    _log_load(change, feed, source, batch if found else None)
     if bad_lines is not None:
         change.append(
             "rejected_lines",
             conform(bad_lines.withColumn("elaboration_ts", F.lit(run_ts)), REJECTED_LINES),
         )
-    if found or bad_lines is not None:
-        change.commit()
+    change.commit()
     return found
 
 
@@ -135,7 +154,7 @@ def read_enrolment(store: LedgerStore, source: InputFile, run_ts: str) -> bool:
     lines = text.single_backslashes(_lines(store, source, latin1=True))
     header = decode.enrolment_headers(lines).first()
     if header is None or _loaded_before(store, "enrolment", "internallog_ts", header["batch_id"]):
-        return False
+        return _skip(store, "enrolment", source, run_ts)
     pivoted = pivots.pivot_enrolment(decode.enrolment_details(lines))
     rows = pivoted.withColumns(
         {"input_filename_timestamp": F.lit(source.timestamp), "internallog_ts": F.lit(header["batch_id"])}
@@ -151,7 +170,7 @@ def read_points(store: LedgerStore, source: InputFile, run_ts: str, causal: str
     header = decode.points_headers(lines).first()
     batch = header["internallog_ts"] if header else ""
     if batch and _loaded_before(store, "points", "internallog_ts", batch):
-        return False
+        return _skip(store, "points", source, run_ts)
     rows = decode.points_transactions(lines).withColumn("internallog_ts", F.lit(batch))
     return _stage(store, "points", source, decode.staged_points(rows, run_ts, causal), run_ts, batch or None)
 
@@ -247,8 +266,12 @@ def _finish(change: Change, booking: Booking, feed: str, ledger: str, read: int,
     return booking
 
 
-def _routed(change: Change, feed: str, routed: DataFrame, booking: Booking):
-    rows, n_rows, rejects, n_rejects = change.routed(f"i_{feed}", f"i_{feed}_rejected", routed)
+def _routed(change: Change, feed: str, routed: DataFrame, booking: Booking, extra: tuple[str, ...] = ()):
+    """Both routes of a feed: ``i_`` has the staged columns, its rejects the reason besides."""
+    staged = TABLES[f"e_{feed}"].names
+    rows, n_rows, rejects, n_rejects = change.routed(
+        f"i_{feed}", f"i_{feed}_rejected", routed, [*staged, *extra], [*staged, "reason"]
+    )
     booking.totals |= {"rows_accepted": n_rows, "rows_rejected": n_rejects}
     return rows, n_rows, rejects
 
@@ -349,7 +372,9 @@ def book_maintenance(store: LedgerStore, folder: str, run_ts: str, file_prefix:
         return None
     booking = Booking()
     routed = routing.route_maintenance(store.read("e_maintenance"), store.read("l_anag"))
-    rows, accepted, _ = _routed(change, "maintenance", routed, booking)
+    rows, accepted, _ = _routed(
+        change, "maintenance", routed, booking, ("customer_name_an", "customer_surname_an", "taxid_number")
+    )
     booking.totals["customers_closed"] = 0
     if accepted:
         acting = accounts.with_actions(rows.drop("reason").distinct()).persist()

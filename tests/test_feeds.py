@@ -77,8 +77,8 @@ def prepared(spark, tmp_path_factory):
     shutil.copytree(base / "empty", base / "enrolled")
     accounts = [("A1", "C1", "ANNA*ROSSI"), ("A2", "C1", "ANNA*ROSSI"), ("A3", "C2", "MARIO")]
     write(str(base / "in"), "ENR_20240101120000.txt", enrolment_lines(accounts), "\r\n", "latin-1")
-    source = feeds.next_file(spark, str(base / "in"), "ENR_", 14)
     store = LedgerStore(spark, str(base / "enrolled"))
+    source = feeds.next_file(store, "enrolment", str(base / "in"), "ENR_", 14)
     return base, feeds.run(store, "enrolment", source, str(base / "out"), "20240102000000")
 
 
@@ -121,20 +121,25 @@ def test_enrolment(enrolled, spark, tmp_path):
 def test_the_same_file_or_batch_is_not_loaded_twice(enrolled, prepared, spark, tmp_path):
     store, _ = enrolled
     folder = str(prepared[0] / "in")
+    assert feeds.next_file(store, "enrolment", folder, "ENR_", 14) is None
     head = store.head()
-    source = feeds.next_file(spark, folder, "ENR_", 14)
-    assert feeds.run(store, "enrolment", source, str(tmp_path / "out"), "20240103000000") is None
-    write(str(tmp_path / "in"), "AGAIN_20240105120000.txt", enrolment_lines([("A7", "C7", "X")]), "\r\n", "latin-1")
-    again = feeds.next_file(spark, str(tmp_path / "in"), "AGAIN_", 14)
-    assert feeds.run(store, "enrolment", again, str(tmp_path / "out"), "20240103000000") is None
+    known = feeds.InputFile(f"{folder}/ENR_20240101120000.txt", "ENR_20240101120000.txt", "20240101120000", 4)
+    assert feeds.run(store, "enrolment", known, str(tmp_path / "out"), "20240103000000") is None
     assert store.head() == head
+    # The same batch under another name is skipped and does not wait any longer.
+    folder = str(tmp_path / "in")
+    write(folder, "AGAIN_20240105120000.txt", enrolment_lines([("A7", "C7", "X")]), "\r\n", "latin-1")
+    again = feeds.next_file(store, "enrolment", folder, "AGAIN_", 14)
+    assert feeds.run(store, "enrolment", again, str(tmp_path / "out"), "20240103000000") is None
+    assert feeds.next_file(store, "enrolment", folder, "AGAIN_", 14) is None
+    assert store.rows("l_anag") == 3 and store.read("e_enrolment").isEmpty()
 
 
 def test_enrolling_known_accounts_rejects_them(enrolled, spark, tmp_path):
     store, _ = enrolled
     folder = str(tmp_path / "in2")
     write(folder, "ENR_2.txt", enrolment_lines([("A1", "C1", "X"), ("A4", "C1", "Y"), ("A5", "C3", "Z")], "20240109000000"), "\r\n")
-    booking = feeds.run(store, "enrolment", feeds.next_file(spark, folder, "ENR_", 1), str(tmp_path / "out"), "20240110000000")
+    booking = feeds.run(store, "enrolment", feeds.next_file(store, "enrolment", folder, "ENR_", 1), str(tmp_path / "out"), "20240110000000")
     assert (booking.totals["rows_accepted"], booking.totals["rows_rejected"]) == (2, 1)
     assert sorted(balances_of(store)) == ["C1", "C2", "C3"]
     assert store.read("i_enrolment_rejected").select("account_number", "reason").first()[:] == ("A1", "already in master")
@@ -143,8 +148,8 @@ def test_enrolling_known_accounts_rejects_them(enrolled, spark, tmp_path):
 
 def test_a_file_without_header_stages_nothing(store, spark, tmp_path):
     write(str(tmp_path), "ENR_1.txt", enrolment_lines([("A1", "C1", "X")])[1:], "\r\n")
-    assert not feeds.read_enrolment(store, feeds.next_file(spark, str(tmp_path), "ENR_", 1), "R")
-    assert store.head() == 0
+    assert not feeds.read_enrolment(store, feeds.next_file(store, "enrolment", str(tmp_path), "ENR_", 1), "R")
+    assert store.rows("p_enrolment") == 0 and store.rows("loaded_files") == 1
 
 
 def test_points(enrolled, spark, tmp_path):
@@ -158,7 +163,7 @@ def test_points(enrolled, spark, tmp_path):
         ("A1", "R5", "00000000000100?"),
     ]
     write(folder, "PTS_20240105.txt", [*points_lines(rows), "99 ignored"], "\r\n", "latin-1")
-    source = feeds.next_file(spark, folder, "PTS_", 8)
+    source = feeds.next_file(store, "points", folder, "PTS_", 8)
     booking = feeds.run(store, "points", source, str(tmp_path / "out"), "20240106000000")
     totals = booking.totals
     assert (totals["rows_read"], totals["rows_accepted"], totals["rows_rejected"]) == (5, 3, 2)
@@ -176,6 +181,8 @@ def test_points(enrolled, spark, tmp_path):
     assert reasons == {"R4GT": "unknown account", "R5GT": "bad amount"}
     assert store.read("i_points").count() == 3
     assert store.read("p_points").schema == STAGED_POINTS
+    assert store.read("i_points").columns == STAGED_POINTS.names
+    assert store.read("i_points_rejected").columns == [*STAGED_POINTS.names, "reason"]
 
 
 def test_partner_movements_get_an_answer(enrolled, spark, tmp_path):
@@ -194,7 +201,7 @@ def test_partner_movements_get_an_answer(enrolled, spark, tmp_path):
             "no delimiter",
         ],
     )
-    source = feeds.next_file(spark, folder, "PRT_", 8)
+    source = feeds.next_file(store, "partner", folder, "PRT_", 8)
     booking = feeds.run(store, "partner", source, str(tmp_path / "out"), "20240108000000")
     assert (booking.totals["rows_read"], booking.totals["rows_accepted"]) == (3, 2)
     assert balances_of(store) == {"C1": (0, Decimal("12.345")), "C2": (Decimal("-3.000"), 0)}
@@ -221,11 +228,11 @@ def test_saveback_repeats_are_rejected(enrolled, spark, tmp_path):
     folder = str(tmp_path / "sb")
     line = "SB;18200;{};{};20240107;{};+;EUR;5;Back;WB;L1"
     write(folder, "SB_20240107.csv", [line.format("C1", "T1", "VC"), line.format("C9", "T2", "E")])
-    first = feeds.run(store, "saveback", feeds.next_file(spark, folder, "SB_", 8), str(tmp_path), "20240108000000")
+    first = feeds.run(store, "saveback", feeds.next_file(store, "saveback", folder, "SB_", 8), str(tmp_path), "20240108000000")
     assert (first.totals["rows_accepted"], first.totals["rows_rejected"]) == (1, 1)
     write(str(tmp_path / "sb2"), "SB_20240107_b.csv", [line.format("C1", "T1", "VC"), line.format("C1", "T3", "VC")])
     second = feeds.run(
-        store, "saveback", feeds.next_file(spark, str(tmp_path / "sb2"), "SB_", 8), str(tmp_path), "20240109000000"
+        store, "saveback", feeds.next_file(store, "saveback", str(tmp_path / "sb2"), "SB_", 8), str(tmp_path), "20240109000000"
     )
     assert (second.totals["rows_accepted"], second.totals["rows_rejected"]) == (1, 1)
     assert balances_of(store)["C1"] == (0, Decimal("10.000"))
@@ -252,7 +259,7 @@ def test_maintenance_closes_a_customer(enrolled, spark, tmp_path):
         ("A9", "X11422C2", "A", "AA", "CB"),
     ]
     write(folder, "MNT_20240110101112.txt", maintenance_lines(rows))
-    source = feeds.next_file(spark, folder, "MNT_", 14)
+    source = feeds.next_file(store, "maintenance", folder, "MNT_", 14)
     booking = feeds.run(store, "maintenance", source, str(tmp_path / "out"), "20240111000000")
     assert (booking.totals["rows_read"], booking.totals["rows_accepted"], booking.totals["customers_closed"]) == (3, 2, 1)
     assert balances_of(store) == {"C1": (0, 0), "C2": (9, 0)}
@@ -271,18 +278,18 @@ def test_maintenance_without_closing_rewrites_nothing(enrolled, spark, tmp_path)
     store, _ = enrolled
     before = store.paths("l_balance"), store.paths("l_anag")
     write(str(tmp_path / "m"), "MNT_1.txt", maintenance_lines([("A3", "X11422C2", "A", "", "AA")]))
-    feeds.run(store, "maintenance", feeds.next_file(spark, str(tmp_path / "m"), "MNT_", 1), str(tmp_path / "out"), "R")
+    feeds.run(store, "maintenance", feeds.next_file(store, "maintenance", str(tmp_path / "m"), "MNT_", 1), str(tmp_path / "out"), "R")
     assert (store.paths("l_balance"), store.paths("l_anag")) == before
 
 
 def test_empty_files_and_empty_routes(enrolled, spark, tmp_path):
     store, _ = enrolled
     write(str(tmp_path / "e"), "MNT_1.txt", [])
-    assert feeds.run(store, "maintenance", feeds.next_file(spark, str(tmp_path / "e"), "MNT_", 1), str(tmp_path), "R") is None
-    assert feeds.next_file(spark, str(tmp_path / "e"), "NONE_", 1) is None
+    assert feeds.run(store, "maintenance", feeds.next_file(store, "maintenance", str(tmp_path / "e"), "MNT_", 1), str(tmp_path), "R") is None
+    assert feeds.next_file(store, "points", str(tmp_path / "e"), "NONE_", 1) is None
     write(str(tmp_path / "e"), "PTS_1.txt", points_lines([("A9", "R1", "00000000000100\u00e0")]), "\r\n", "latin-1")
     before = store.paths("l_balance"), store.paths("l_transaction")
-    booking = feeds.run(store, "points", feeds.next_file(spark, str(tmp_path / "e"), "PTS_", 1), str(tmp_path / "none"), "R")
+    booking = feeds.run(store, "points", feeds.next_file(store, "points", str(tmp_path / "e"), "PTS_", 1), str(tmp_path / "none"), "R")
     assert (booking.totals["rows_accepted"], booking.totals["rows_rejected"], booking.documents) == (0, 1, [])
     assert (store.paths("l_balance"), store.paths("l_transaction")) == before
 
@@ -290,7 +297,7 @@ def test_empty_files_and_empty_routes(enrolled, spark, tmp_path):
 def test_a_batch_is_booked_once(enrolled, spark, tmp_path):
     store, _ = enrolled
     write(str(tmp_path / "p"), "PTS_1.txt", points_lines([("A1", "R1", "00000000001000\u00e0")]), "\r\n", "latin-1")
-    assert feeds.read_points(store, feeds.next_file(spark, str(tmp_path / "p"), "PTS_", 1), "R1")
+    assert feeds.read_points(store, feeds.next_file(store, "points", str(tmp_path / "p"), "PTS_", 1), "R1")
     feeds.book_points(store, str(tmp_path / "out"), "R1")
     with pytest.raises(LedgerMismatch, match="booked already"):
         feeds.book_points(store, str(tmp_path / "out"), "R2")
