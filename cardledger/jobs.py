@@ -17,6 +17,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from cardledger.operators.ledgers import LedgerStore  # noqa: E402
+from cardledger.operators.outputs import write_document  # noqa: E402
 from cardledger.plans import feeds  # noqa: E402
 from cardledger.session import build_session, run_timestamp  # noqa: E402
 
@@ -37,12 +38,14 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 
     command("create", "a new store with empty tables")
     feed = command("feed", "stages of a feed")
-    feed.add_argument("feed", choices=tuple(feeds.READ))
     feed.add_argument("--stage", default="all", choices=("all", "read", "book", "clear", "book-and-clear"))
-    feed.add_argument("--folder", help="folder of the waiting files")
-    feed.add_argument("--prefix", default="", help="fixed part of the file name")
-    feed.add_argument("--timestamp-length", type=int, default=14)
-    feed.add_argument("--out", help="folder for the output documents")
+    check = command("check", "write what does not add up in the next file, without staging it")
+    for sub in (feed, check):
+        sub.add_argument("feed", choices=tuple(feeds.READ))
+        sub.add_argument("--folder", help="folder of the waiting files")
+        sub.add_argument("--prefix", default="", help="fixed part of the file name")
+        sub.add_argument("--timestamp-length", type=int, default=14)
+        sub.add_argument("--out", help="folder for the output documents")
     decoded = command("load-decoded", "stage a folder of already decoded lines")
     decoded.add_argument("feed", choices=tuple(feeds.READ))
     decoded.add_argument("folder")
@@ -55,10 +58,23 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
+def _next(store: LedgerStore, args: argparse.Namespace) -> feeds.InputFile | None:
+    return feeds.next_file(store, args.feed, args.folder, args.prefix, args.timestamp_length)
+
+
+def _check(store: LedgerStore, args: argparse.Namespace) -> dict:
+    source = _next(store, args)
+    if source is None:
+        return {"input_filename": None}
+    path = f"{args.out.rstrip('/')}/CHECK_{source.name}"
+    write_document(feeds.check_file(store, args.feed, source), path)
+    return {"input_filename": source.name, "documents": [path]}
+
+
 def _run_feed(store: LedgerStore, args: argparse.Namespace, run_ts: str) -> dict:
     totals: dict = {"feed": args.feed, "stage": args.stage}
     if args.stage in ("all", "read"):
-        source = feeds.next_file(store, args.feed, args.folder, args.prefix, args.timestamp_length)
+        source = _next(store, args)
         totals["staged"] = source is not None and feeds.READ[args.feed](store, source, run_ts)
         if not totals["staged"]:
             return totals
@@ -82,6 +98,8 @@ def main(argv: list[str] | None = None) -> dict:
         store = LedgerStore(spark, args.store, args.format)
         if args.command == "feed":
             result |= _run_feed(store, args, run_ts)
+        elif args.command == "check":
+            result |= _check(store, args)
         elif args.command == "load-decoded":
             result["rows"] = feeds.load_decoded(store, args.feed, args.folder, run_ts)
         elif args.command == "snapshot":

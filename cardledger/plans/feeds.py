@@ -16,7 +16,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from cardledger.operators import accounts, balances, decode, outputs, pivots, routing
-from cardledger.operators.control import ledger_check, unbalanced_movements
+from cardledger.operators.control import (
+    ledger_check,
+    points_reconcile,
+    record_counts,
+    stated_totals,
+    summed_points,
+    unbalanced_movements,
+)
 from cardledger.operators.ledgers import Change, LedgerMismatch, LedgerStore
 from cardledger.schemas import (
     BALANCE,
@@ -202,6 +209,29 @@ def read_saveback(store: LedgerStore, source: InputFile, run_ts: str) -> bool:
     return _read_movements(store, "saveback", source, run_ts)
 
 
+def check_file(store: LedgerStore, feed: str, source: InputFile) -> DataFrame:
+    """What does not add up in a file, without staging it.
+
+    Enrolment: stated against read lines.  Points: accounts whose stated total
+    is not the sum of their transactions.  Maintenance: lines per foreign
+    company.  The others: lines with a wrong field count.
+    """
+    lines = _lines(store, source, latin1=feed not in ("partner", "saveback"))
+    if feed == "enrolment":
+        lines = text.single_backslashes(lines)
+        return record_counts(decode.enrolment_headers(lines), decode.enrolment_details(lines))
+    if feed == "points":
+        lines = text.single_backslashes(lines)
+        stated = stated_totals(decode.points_account_totals(lines))
+        summed = summed_points(decode.points_transactions(lines))
+        both = points_reconcile(stated, summed, ["programme", "account_number"])
+        return both.filter(F.col("difference") != 0)
+    if feed == "maintenance":
+        foreign = pivots.wrong_company_lines(decode.maintenance_details(lines))
+        return foreign.groupBy("key_company").agg(F.count(F.lit(1)).alias("lines"))
+    return text.malformed(text.split_lines(lines)).select("line", "reason")
+
+
 def load_decoded(store: LedgerStore, feed: str, path: str, run_ts: str) -> int:
     """A folder of already decoded lines becomes the staged table; returns its rows."""
     change = store.begin(run_ts, f"load {feed}")

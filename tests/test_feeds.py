@@ -306,6 +306,37 @@ def test_a_batch_is_booked_once(enrolled, spark, tmp_path):
     assert balances_of(store)["C1"] == (0, Decimal("100.000"))
 
 
+def test_checks_of_waiting_files(store, spark, tmp_path):
+    folder = str(tmp_path / "c")
+
+    def found(feed, prefix, name, lines, encoding="latin-1"):
+        write(folder, name, lines, "\r\n" if feed in ("enrolment", "points") else "\n", encoding)
+        source = feeds.next_file(store, feed, folder, prefix, 1)
+        return sorted(tuple(r) for r in feeds.check_file(store, feed, source).collect())
+
+    details = enrolment_lines([("A1", "C1", "X")])
+    assert found("enrolment", "ENR_", "ENR_1", details) == [("ENR_1", 9, 8, False)]
+    total = padded(("18", 2), ("18200", 20), ("PGM01", 20), ("A1", 23), ("", 161), ("00000000000700\u00e0", 136))
+    points = points_lines([("A1", "R1", "00000000001000\u00e0"), ("A2", "R2", "00000000000000\u00e0")])
+    assert found("points", "PTS_", "PTS_1", [*points, total]) == [("PGM01", "A1", 70, 100, -30)]
+    rows = maintenance_lines([("A1", "X", "C", "", "")] * 3)
+    assert found("maintenance", "MNT_", "MNT_1", ["18210" + rows[0][5:], *rows]) == [("18210", 1)]
+    assert found("partner", "PRT_", "PRT_1", ["a;b", "x"], "utf-8") == [("a;b", "field count")]
+    assert store.head() == 0
+
+
+def test_repeats_are_looked_for_in_the_months_of_the_feed(store, spark):
+    change = store.begin("R", "fill")
+    rows = [("x",) * 5 + (d, None) + ("x",) * 3 + (None,) + ("x",) * 6 + (d[:6],) for d in ("20240105", "20240205", "20240305")]
+    change.append("l_transaction", spark.createDataFrame(rows, store.read("l_transaction").schema), feeds.TRANSACTION_PARTITIONS)
+    change.commit()
+    staged = spark.createDataFrame([("20240215",), ("bad",)], "transaction_date string")
+    part = feeds._ledger_months(store, staged)
+    assert [r["transaction_month"] for r in part.collect()] == ["202402"]
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [transaction_month" in plan
+
+
 # ---- store -------------------------------------------------------------------
 
 

@@ -17,6 +17,8 @@ def test_stages_and_maintenance(spark, tmp_path):
     write(str(tmp_path / "in"), "PTS_1.txt", points_lines([("A1", "R1", "00000000001000à")]), "\r\n", "latin-1")
     where = ["--folder", str(tmp_path / "in"), "--timestamp-length", "1", "--out", out]
     assert jobs.main(["feed", "enrolment", *common, *where, "--prefix", "ENR_"])["rows_accepted"] == 1
+    checked = jobs.main(["check", "points", *common, *where, "--prefix", "PTS_"])
+    assert checked["input_filename"] == "PTS_1.txt" and os.path.isdir(checked["documents"][0])
     assert jobs.main(["feed", "points", *common, *where, "--prefix", "PTS_", "--stage", "read"])["staged"]
     booked = jobs.main(["feed", "points", *common, "--out", out, "--stage", "book-and-clear"])
     assert booked["ledger_agrees"] and len(booked["documents"]) == 1
