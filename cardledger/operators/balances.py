@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cardledger.functions import partner_balance_points, signed_amount, transaction_key
@@ -89,16 +89,19 @@ def accepted_delta(feed: DataFrame, master: DataFrame) -> DataFrame:
     return _as_delta(sums, from_partner=False)
 
 
-def balance_update(balance: DataFrame, delta: DataFrame) -> DataFrame:
+def balance_update(balance: DataFrame, delta: DataFrame, matched: Observation | None = None) -> DataFrame:
     """Add both deltas in one pass; a NULL balance stays NULL (Q20), other customers are unchanged.
 
-    ``elaboration_ts`` of a balance row is left alone (Q27).
+    ``elaboration_ts`` of a balance row is left alone (Q27).  ``matched`` counts
+    the movements that met a balance while the result is written.
     """
 
     def moved(kind: str) -> Column:
         return (F.col(f"balance_{kind}") + F.coalesce(f"delta_{kind}", F.lit(0))).cast(BALANCE_TYPE)
 
     joined = balance.join(delta, CUSTOMER, "left")
+    if matched is not None:
+        joined = joined.observe(matched, F.coalesce(F.sum("movements"), F.lit(0)).alias("movements"))
     return joined.withColumns(
         {f"balance_{kind}": moved(kind) for kind in ("extrabonus", "virtualcredit")}
     ).select(*balance.columns)

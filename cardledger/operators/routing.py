@@ -139,8 +139,12 @@ def route_saveback(feed: DataFrame, master: DataFrame, ledger: DataFrame, mark_r
     columns = list(feed.columns)
 
     def in_ledger(rows: DataFrame, ids: Column, key: str, flag: str) -> DataFrame:
-        known = ledger.select(*customer, ids.alias(key)).distinct().withColumn(flag, F.lit(True))
-        return rows.join(known, [*customer, key], "left")
+        # The ledger is far larger than a feed: its ids are cut down to those of
+        # the feed first, which needs no shuffle of the ledger when the feed's
+        # ids are few enough for Spark to broadcast.
+        keys = [*customer, key]
+        known = ledger.select(*customer, ids.alias(key)).join(rows.select(*keys).distinct(), keys, "left_semi")
+        return rows.join(known.distinct().withColumn(flag, F.lit(True)), keys, "left")
 
     matched = match_master(
         feed.withColumn("_ledger_id", transaction_key(*movement, F.col("input_filename_timestamp"))),

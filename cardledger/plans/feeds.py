@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -22,7 +22,6 @@ from cardledger.operators.control import (
     record_counts,
     stated_totals,
     summed_points,
-    unbalanced_movements,
 )
 from cardledger.operators.ledgers import Change, LedgerMismatch, LedgerStore
 from cardledger.schemas import (
@@ -267,15 +266,18 @@ def _book_movements(
 
     Returns the movements in file and ledger units.
     """
-    balance = change.store.read("l_balance")
-    # One row per customer, used twice; a lost copy is computed again.  Once it is
-    # filled its true size is known, and a small delta spares the balances a shuffle.
+    # One row per customer.  Once it is filled its true size is known, and a small
+    # delta spares the balances a shuffle; a lost copy is computed again.
     delta = balances.balance_delta(rows, from_partner).persist()
-    booking.totals |= unbalanced_movements(delta, balance).first().asDict()
+    booking.totals["customers_moved"] = delta.count()
+    matched = Observation()
     change.replace(
-        "l_balance", balances.balance_update(balance, delta), expect_rows=change.count_before("l_balance")
+        "l_balance",
+        balances.balance_update(change.store.read("l_balance"), delta, matched),
+        expect_rows=change.count_before("l_balance"),
     )
     delta.unpersist()
+    booking.totals["movements_without_balance"] = booking.totals["rows_accepted"] - matched.get["movements"]
     booked = outputs.with_partner_units(rows) if from_partner else rows
     ledger = outputs.ledger_rows(booked, programme).withColumn(
         "transaction_month", outputs.transaction_month(F.col("transaction_date"))

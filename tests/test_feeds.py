@@ -185,6 +185,19 @@ def test_points(enrolled, spark, tmp_path):
     assert store.read("i_points_rejected").columns == [*STAGED_POINTS.names, "reason"]
 
 
+def test_movements_without_balance_are_counted_and_booked(enrolled, spark, tmp_path):
+    store, _ = enrolled
+    change = store.begin("R", "lose a balance")
+    change.replace("l_balance", store.read("l_balance").filter("customer_number = 'C2'"))
+    change.commit()
+    rows = [("A1", "R1", "00000000001000\u00e0"), ("A2", "R2", "00000000001000\u00e0"), ("A3", "R3", "00000000000100\u00e0")]
+    write(str(tmp_path / "p"), "PTS_1.txt", points_lines(rows), "\r\n", "latin-1")
+    source = feeds.next_file(store, "points", str(tmp_path / "p"), "PTS_", 1)
+    totals = feeds.run(store, "points", source, str(tmp_path / "out"), "R").totals
+    assert (totals["rows_accepted"], totals["movements_without_balance"], totals["customers_moved"]) == (3, 2, 2)
+    assert store.rows("l_transaction") == 3 and balances_of(store) == {"C2": (0, Decimal("10.000"))}
+
+
 def test_partner_movements_get_an_answer(enrolled, spark, tmp_path):
     store, _ = enrolled
     folder = str(tmp_path / "partner")
