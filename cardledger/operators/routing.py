@@ -141,10 +141,14 @@ def route_saveback(feed: DataFrame, master: DataFrame, ledger: DataFrame, mark_r
     def in_ledger(rows: DataFrame, ids: Column, key: str, flag: str) -> DataFrame:
         # The ledger is far larger than a feed: its ids are cut down to those of
         # the feed first, which needs no shuffle of the ledger when the feed's
-        # ids are few enough for Spark to broadcast.
-        keys = [*customer, key]
-        known = ledger.select(*customer, ids.alias(key)).join(rows.select(*keys).distinct(), keys, "left_semi")
-        return rows.join(known.distinct().withColumn(flag, F.lit(True)), keys, "left")
+        # ids are few enough for Spark to broadcast.  The ids are long texts with
+        # equal beginnings; a number ahead of them makes the sorts cheap.
+        number = F.xxhash64(*customer, key).alias("_number")
+        keys = ["_number", key, *customer]
+        numbered = rows.withColumn("_number", number)
+        booked = ledger.select(*customer, ids.alias(key)).select("*", number)
+        known = booked.join(numbered.select(*keys).distinct(), keys, "left_semi").distinct()
+        return numbered.join(known.withColumn(flag, F.lit(True)), keys, "left").drop("_number")
 
     matched = match_master(
         feed.withColumn("_ledger_id", transaction_key(*movement, F.col("input_filename_timestamp"))),

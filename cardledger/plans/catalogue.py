@@ -491,7 +491,8 @@ def _filled_store(spark, sf_dir, label) -> LedgerStore:
     change = store.begin(RUN_TS, "fill")
     change.append("l_anag", view(spark, sf_dir, "fx_anag"))
     change.append("l_balance", balance)
-    change.append("l_transaction", _for_ledger(_booked_history(spark, sf_dir)), TRANSACTION_PARTITIONS)
+    movements = _ledger_rows(view(spark, sf_dir, "fx_movement").drop("account_number"))
+    change.append("l_transaction", _for_ledger(movements), TRANSACTION_PARTITIONS)
     change.commit()
     return store
 
@@ -527,22 +528,22 @@ def ledger_restore(spark, sf_dir):
 @query
 def table_rewrite(spark, sf_dir):
     store = _store(spark, "rewrite")
-    history = view(spark, sf_dir, "fx_history")
+    feed = view(spark, sf_dir, "fx_feed")
     plus = F.col("sign") == "+"
-    _append(store, "history", history.filter(plus))
-    _append(store, "history", history.filter(~plus))
-    store.rewrite(["history"], RUN_TS)
-    return store.read("history")
+    _append(store, "p_feed", feed.filter(plus))
+    _append(store, "p_feed", feed.filter(~plus))
+    store.rewrite(["p_feed"], RUN_TS)
+    return store.read("p_feed")
 
 
 @query
 def table_column(spark, sf_dir):
     store = _store(spark, "column")
-    _append(store, "history", view(spark, sf_dir, "fx_history"))
-    store.migrate_column("history", "transaction_value", 0, "transaction_date", RUN_TS)
-    return store.read("history")
+    _append(store, "p_feed", view(spark, sf_dir, "fx_feed"))
+    store.migrate_column("p_feed", "transaction_value", 0, "transaction_date", RUN_TS)
+    return store.read("p_feed")
 
 
 QUERIES["add_column"] = lambda spark, sf_dir: add_column(
-    view(tune(spark), sf_dir, "fx_history"), "transaction_value", 0, "transaction_date"
+    view(tune(spark), sf_dir, "fx_feed"), "transaction_value", 0, "transaction_date"
 )

@@ -454,20 +454,20 @@ UNION ALL SELECT 'p_partner', count(*) FROM fx_movement"""
 SQL["ledger_snapshot"] = """
 SELECT 'l_anag' AS table_name, count(*) AS row_count FROM fx_anag
 UNION ALL SELECT 'l_balance', count(*) FROM fx_balance
-UNION ALL SELECT 'l_transaction', count(*) FROM fx_history"""
+UNION ALL SELECT 'l_transaction', count(*) FROM fx_movement"""
 
 SQL["ledger_restore"] = f"""
 SELECT product_company AS customer_company, product_company, customer_number, balance_extrabonus, balance_virtualcredit,
        '{RUN_TS}' AS elaboration_ts
 FROM fx_balance"""
 
-SQL["table_rewrite"] = "SELECT * FROM fx_history"
+SQL["table_rewrite"] = "SELECT * FROM fx_feed"
 
 _WITH_COLUMN = """
 SELECT appcode, product_company, account_number, customer_number, transaction_id, transaction_date,
        CAST(0 AS INTEGER) AS transaction_value, transaction_type, sign, currency, value, causalcode, input_filename,
        input_filename_timestamp
-FROM fx_history"""
+FROM fx_feed"""
 
 SQL["table_column"] = _WITH_COLUMN
 SQL["add_column"] = _WITH_COLUMN

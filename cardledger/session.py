@@ -18,6 +18,9 @@ ADAPTIVE_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Where every shuffled partition of the keyed table is this small, it is hashed
+    # and the feed beside it is not sorted.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "32m",
 }
 
 # Rows up to which a side without size statistics goes to every executor; the
