@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +37,8 @@ def currency_pairs() -> list[tuple[str, str]]:
 
 
 def currency_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(currency_pairs(), "currency_number string, currency_code string")
+    numbers, codes = zip(*currency_pairs())
+    return spark.createDataFrame(pa.table({"currency_number": numbers, "currency_code": codes}))
 
 
 def with_currency(rows: DataFrame, number_column: str, output: str = "currency_code") -> DataFrame:
