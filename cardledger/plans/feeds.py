@@ -253,6 +253,28 @@ def _open_change(store: LedgerStore, feed: str, run_ts: str) -> Change | None:
     return store.begin(run_ts, source)
 
 
+# A feed with less than one row per so many master rows cuts the master down first.
+MASTER_PER_ROW = 10
+
+
+def _master_for(store: LedgerStore, feed: str, staged: DataFrame, keys: dict[str, str]) -> DataFrame:
+    """The master, or for a small feed only the rows its keys can meet.
+
+    The semi join filters the master where it is read when Spark can broadcast
+    the feed's distinct keys; the large master is then not shuffled.
+    """
+    master = store.read("l_anag")
+    if store.rows(f"e_{feed}") * MASTER_PER_ROW > store.rows("l_anag"):
+        return master
+    wanted = staged.select(*[F.col(ours).alias(theirs) for ours, theirs in keys.items()]).distinct()
+    return master.join(wanted, list(keys.values()), "left_semi").select(*master.columns)
+
+
+BY_ACCOUNT = {"product_company": "product_company", "account_number": "account_number"}
+BY_CUSTOMER = {"product_company": "product_company", "customer_number": "customer_number"}
+PARTNER_ACCOUNT = {"product_company": "product_company", "customer_number": "account_number"}
+
+
 def _document(booking: Booking, rows: DataFrame, folder: str, name: str) -> None:
     path = f"{folder.rstrip('/')}/{name}"
     booking.totals["delimiters_replaced"] = outputs.write_document(rows, path)
@@ -313,7 +335,8 @@ def book_points(store: LedgerStore, folder: str, run_ts: str, file_prefix: str =
     if change is None:
         return None
     booking = Booking()
-    routed = routing.route_points(store.read("e_points"), store.read("l_anag"))
+    staged = store.read("e_points")
+    routed = routing.route_points(staged, _master_for(store, "points", staged, BY_ACCOUNT))
     rows, accepted, _ = _routed(change, "points", routed, booking)
     if accepted:
         moved = balances.movements(rows)
@@ -330,7 +353,7 @@ def book_partner(store: LedgerStore, folder: str, run_ts: str, file_prefix: str
         return None
     booking = Booking()
     staged = store.read("e_partner")
-    routed = routing.route_partner(staged, store.read("l_anag"))
+    routed = routing.route_partner(staged, _master_for(store, "partner", staged, PARTNER_ACCOUNT))
     rows, accepted, rejects = _routed(change, "partner", routed, booking)
     response = routing.partner_response(rows.unionByName(rejects))
     name = staged.agg(F.min(outputs.response_file_name(F.col("input_filename"))).alias("name")).first()["name"]
@@ -367,7 +390,8 @@ def book_saveback(store: LedgerStore, folder: str, run_ts: str) -> Booking | Non
         return None
     booking = Booking()
     staged = store.read("e_saveback")
-    routed = routing.route_saveback(staged, store.read("l_anag"), _ledger_months(store, staged))
+    master = _master_for(store, "saveback", staged, BY_CUSTOMER)
+    routed = routing.route_saveback(staged, master, _ledger_months(store, staged))
     rows, accepted, _ = _routed(change, "saveback", routed, booking)
     if accepted:
         moved = balances.movements(rows)
@@ -381,7 +405,8 @@ def book_enrolment(store: LedgerStore, folder: str, run_ts: str, file_prefix: st
     if change is None:
         return None
     booking = Booking()
-    routed = routing.route_enrolment(store.read("e_enrolment"), store.read("l_anag"))
+    staged = store.read("e_enrolment")
+    routed = routing.route_enrolment(staged, _master_for(store, "enrolment", staged, BY_ACCOUNT))
     rows, accepted, _ = _routed(change, "enrolment", routed, booking)
     added = 0
     if accepted:
@@ -403,7 +428,8 @@ def book_maintenance(store: LedgerStore, folder: str, run_ts: str, file_prefix:
     if change is None:
         return None
     booking = Booking()
-    routed = routing.route_maintenance(store.read("e_maintenance"), store.read("l_anag"))
+    staged = store.read("e_maintenance")
+    routed = routing.route_maintenance(staged, _master_for(store, "maintenance", staged, BY_ACCOUNT))
     rows, accepted, _ = _routed(
         change, "maintenance", routed, booking, ("customer_name_an", "customer_surname_an", "taxid_number")
     )

@@ -69,6 +69,12 @@ def maintenance_lines(rows):
     ]
 
 
+@pytest.fixture(params=["whole master", "master cut to the feed"])
+def either_master(request, monkeypatch):
+    if request.param != "whole master":
+        monkeypatch.setattr(feeds, "MASTER_PER_ROW", 0)
+
+
 @pytest.fixture(scope="module")
 def prepared(spark, tmp_path_factory):
     """A new store, and one with three enrolled accounts of two customers; tests work on copies."""
@@ -135,7 +141,7 @@ def test_the_same_file_or_batch_is_not_loaded_twice(enrolled, prepared, spark, t
     assert store.rows("l_anag") == 3 and store.read("e_enrolment").isEmpty()
 
 
-def test_enrolling_known_accounts_rejects_them(enrolled, spark, tmp_path):
+def test_enrolling_known_accounts_rejects_them(enrolled, spark, tmp_path, either_master):
     store, _ = enrolled
     folder = str(tmp_path / "in2")
     write(folder, "ENR_2.txt", enrolment_lines([("A1", "C1", "X"), ("A4", "C1", "Y"), ("A5", "C3", "Z")], "20240109000000"), "\r\n")
@@ -152,7 +158,7 @@ def test_a_file_without_header_stages_nothing(store, spark, tmp_path):
     assert store.rows("p_enrolment") == 0 and store.rows("loaded_files") == 1
 
 
-def test_points(enrolled, spark, tmp_path):
+def test_points(enrolled, spark, tmp_path, either_master):
     store, _ = enrolled
     folder = str(tmp_path / "points")
     rows = [
@@ -198,7 +204,7 @@ def test_movements_without_balance_are_counted_and_booked(enrolled, spark, tmp_p
     assert store.rows("l_transaction") == 3 and balances_of(store) == {"C2": (0, Decimal("10.000"))}
 
 
-def test_partner_movements_get_an_answer(enrolled, spark, tmp_path):
+def test_partner_movements_get_an_answer(enrolled, spark, tmp_path, either_master):
     store, _ = enrolled
     folder = str(tmp_path / "partner")
     name = "PRT_20240107_VERY_LONG_NAME_OF_A_FILE.csv"
@@ -236,7 +242,7 @@ def test_partner_movements_get_an_answer(enrolled, spark, tmp_path):
     assert store.rows("rejected_lines") == 2
 
 
-def test_saveback_repeats_are_rejected(enrolled, spark, tmp_path):
+def test_saveback_repeats_are_rejected(enrolled, spark, tmp_path, either_master):
     store, _ = enrolled
     folder = str(tmp_path / "sb")
     line = "SB;18200;{};{};20240107;{};+;EUR;5;Back;WB;L1"
@@ -254,7 +260,7 @@ def test_saveback_repeats_are_rejected(enrolled, spark, tmp_path):
     assert {(r["loyalty_program_cod"], r["transaction_value"]) for r in booked} == {("", Decimal("0.00"))}
 
 
-def test_maintenance_closes_a_customer(enrolled, spark, tmp_path):
+def test_maintenance_closes_a_customer(enrolled, spark, tmp_path, either_master):
     store, _ = enrolled
     change = store.begin("T", "seed")
     seeded = store.read("l_balance").withColumns(
