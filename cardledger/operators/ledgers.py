@@ -51,7 +51,9 @@ class LedgerStore:
         self.refresh()
 
     @classmethod
-    def create(cls, spark: SparkSession, root: str, schemas: dict[str, StructType], fmt: str = "parquet") -> LedgerStore:
+    def create(
+        cls, spark: SparkSession, root: str, schemas: dict[str, StructType], fmt: str = "parquet"
+    ) -> LedgerStore:
         """A new store with empty tables; fails when the folder already holds one."""
         store = cls(spark, root, fmt)
         records = [(0, name, [], 0, schema.json(), None, "create", None) for name, schema in schemas.items()]

@@ -224,7 +224,9 @@ def pivot_maintenance(spark, sf_dir):
 @query
 def route_points(spark, sf_dir):
     routed = routing.route_points(view(spark, sf_dir, "fx_feed"), view(spark, sf_dir, "fx_master"))
-    return routed.select("transaction_id", "product_company", "account_number", "master_customer_number", "route", "reason")
+    return routed.select(
+        "transaction_id", "product_company", "account_number", "master_customer_number", "route", "reason"
+    )
 
 
 @query
@@ -257,7 +259,9 @@ def _saveback(spark, sf_dir):
 
 @query
 def route_saveback(spark, sf_dir):
-    return _saveback(spark, sf_dir).select("transaction_id", "product_company", "customer_number", "sent_before", "route", "reason")
+    return _saveback(spark, sf_dir).select(
+        "transaction_id", "product_company", "customer_number", "sent_before", "route", "reason"
+    )
 
 
 def _partner(spark, sf_dir):
@@ -333,7 +337,9 @@ def _closing(spark, sf_dir):
     transitions = view(spark, sf_dir, "fx_transition").withColumn("product_company", F.lit(pivots.MAINTENANCE_COMPANY))
     keys = {"product_company": "product_company", "account_number": "account_number"}
     matched = routing.match_master(transitions, view(spark, sf_dir, "fx_master"), keys, ["customer_number"])
-    known = matched.filter(F.col("account_number_an").isNotNull()).withColumn("customer_number", F.col("customer_number_an"))
+    known = matched.filter(F.col("account_number_an").isNotNull()).withColumn(
+        "customer_number", F.col("customer_number_an")
+    )
     return accounts.closing_customers(accounts.with_actions(known), "line_no")
 
 
@@ -477,7 +483,10 @@ def feed_reset(spark, sf_dir):
     change.point("e_partner", of="p_partner")
     change.commit()
     store.reset("e_partner", RUN_TS)
-    sides = [store.read(t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("row_count")) for t in ("e_partner", "p_partner")]
+    sides = [
+        store.read(t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
+        for t in ("e_partner", "p_partner")
+    ]
     return sides[0].unionByName(sides[1])
 
 

@@ -413,7 +413,8 @@ def book_enrolment(store: LedgerStore, folder: str, run_ts: str, file_prefix: st
         new = rows.select(*MASTER.names).distinct()
         registered = change.append("l_anag", new)
         added = change.count_after("l_anag") - change.count_before("l_anag")
-        change.append("l_balance", conform(balances.open_balances(registered, store.read("l_balance"), run_ts), BALANCE))
+        opened = balances.open_balances(registered, store.read("l_balance"), run_ts)
+        change.append("l_balance", conform(opened, BALANCE))
         document = accounts.enrolment_actions(registered)
         _document(booking, document, folder, outputs.run_file_name(file_prefix, run_ts))
     return _finish(change, booking, "enrolment", "l_anag", store.rows("e_enrolment"), added)
