@@ -51,9 +51,14 @@ def run_timestamp(spark: SparkSession) -> str:
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, the shared folder of the cluster.
 
-    A folder of this machine is used only where the setting is absent (tests).
+    Where the setting is absent a folder of this machine serves a ``local[*]``
+    master only; on a cluster each executor would write to its own disk.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     return f"{root.rstrip('/')}/cardledger-{uuid.uuid4().hex}/{label}"
 
 

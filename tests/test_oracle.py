@@ -9,7 +9,8 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from cardledger.plans.catalogue import QUERIES
+from cardledger.plans.oracle import statements
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -45,13 +46,13 @@ def _rows(rows, columns):
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(statements())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    frame = contract.queries()[name](spark, SF_DIR)
-    duck.execute(contract.oracle_sql()[name])
+    frame = QUERIES[name](spark, SF_DIR)
+    duck.execute(statements()[name])
     described = [(d[0], str(d[1])) for d in duck.description]
     expected = duck.fetchall()
     types = {n: DUCK_TYPES.get(t, t.lower()) for n, t in described}
