@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardledger.llm import exact_dedup, mixing, toxicity
+from cardledger.llm import exact_dedup, licenses, minhash, mixing, neighbours, packing, passages, ppm, quality, toxicity
 from cardledger.llm.common import fold_of, read_table, whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,12 +49,68 @@ def op2_toxic_segments(spark, sf_dir):
     )
 
 
+@query
+def op3_near_copies(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs).select("doc_id", "class_id", "class_size", "kept")
+
+
+@query
+def op4_rule_quality(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score_quality(docs, read_table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id",
+        (fold_of(F.col("doc_id")) == 0).alias("held_out"),
+        F.col("quality.score").alias("score"),
+        (F.col("quality.score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op5_vantage_neighbours(spark, sf_dir):
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(vectors, F.col("vec_id") % 20 == 0)
+
+
+@query
+def op6_grouping_pack(spark, sf_dir):
+    return packing.pack_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op7_exact_copies(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_dedup.digest_groups(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query
+def op8_repeated_passages(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return passages.repeated_passages(docs).drop("row")
+
+
+@query
+def op9_license_blocks(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.license_scan(docs).select("doc_id", "license.*")
+
+
+@query
+def op10_ppm_score(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold_of(F.col("doc_id")) == 1
+    scored = ppm.score_texts(docs, ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), *scored.columns[1:])
+
+
+@query
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 _COPIES_SQL = r"""
 WITH texts AS (
     SELECT doc_id, length(coalesce(text, '')) AS points,
