@@ -33,8 +33,8 @@ SIMILARITY = 0.8
 #: 20 bands of 4: two sets of similarity 0.8 share a band with probability 0.99997.
 BANDS = 20
 ROWS = 4
-#: Stars go on while the pairs across components are more than this many for each node in question.
-PAIRS_PER_NODE = 4
+#: Stars go on while the pairs across components are more than this many for each node outside.
+PAIRS_PER_NODE = 64
 
 
 def dart_signatures(
@@ -139,7 +139,8 @@ def shingle_sets(docs: DataFrame, width: int, weighted: bool) -> DataFrame:
     """(node, members): the set of each (node, text) as 32-bit values, for exact comparison.
 
     A member is a hash of the shingle and, in the weighted case, the number of its
-    occurrence, so that the Jaccard similarity of these sets is the weighted one.
+    occurrence, so that the Jaccard similarity of these sets is the weighted one.  Members
+    stand in the order of their values as unsigned numbers.
     """
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +150,7 @@ def shingle_sets(docs: DataFrame, width: int, weighted: bool) -> DataFrame:
                 if weighted:
                     occurrence = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
                     first = np.concatenate([[0], np.cumsum(counts)])[first]
-                    values = mixed(np.repeat(values, counts) + occurrence.astype(_U))
+                    values, _, first = sorted_sets(mixed(np.repeat(values, counts) + occurrence.astype(_U)), first)
                 members = (values >> _U(32)).astype(np.uint32).view(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -197,7 +198,9 @@ def near_duplicates(
         sketched.join(nodes.select(F.col("node").alias("row")), "row", "left_semi")
         .select(F.col("row").alias("node"), F.col("size").cast("int").alias("size"), F.explode("keys").alias("key"))
     )
+    # Tables of their own on both sides let the adaptive skew join cut a bucket that many nodes share.
     shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    shared = stored(shared, "near-shared")
     buckets = stored(buckets.join(shared, "key", "left_semi"), "near-buckets")
     texts = numbered.join(
         buckets.select(F.col("node").alias("row")).distinct(), "row", "left_semi"
@@ -222,69 +225,66 @@ def near_duplicates(
 
 
 def _components(buckets: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """(node, component) of all nodes that are similar to another one."""
+    """(node, component) of all nodes that are similar to another one.
+
+    Star rounds compare the members outside a bucket's largest component with one member
+    of it.  When a round links nothing, or few enough pairs are left, all pairs across
+    components are compared, and nothing similar is left apart.
+    """
     spark = buckets.sparkSession
     labels = spark.createDataFrame([], "node bigint, component bigint")
     links = spark.createDataFrame([], "a bigint, b bigint")
+    linked = True
     for step in range(1000):
         named = buckets.join(labels, "node", "left").select(
             "key", "node", "size", F.coalesce("component", "node").alias("component")
         )
-        # Per bucket: the smallest component, and its member that stands first in this round's order.
         order = F.xxhash64("node", F.lit(step))
-        heads = (
-            named.groupBy("key")
+        largest = (
+            named.groupBy("key", "component")
+            .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(order.alias("o"), "node", "size")).alias("head"))
+            .groupBy("key")
             .agg(
-                F.min("component").alias("low"),
-                F.max("component").alias("high"),
-                F.min(F.struct(order.alias("o"), "node", "component", "size")).alias("head"),
-                F.count(F.lit(1)).alias("members"),
+                F.max(F.struct("n", (-F.col("component")).alias("c"), "component", "head")).alias("top"),
+                F.sum("n").alias("members"),
+                F.count(F.lit(1)).alias("components"),
             )
-            .filter("low <> high")
+            .filter("components > 1")
+            .select("key", "members", F.col("top.component").alias("main"), F.col("top.head").alias("head"))
         )
-        open_buckets = stored(named.join(heads, "key"), f"near-open-{step}")
-        outside = F.sum((F.col("component") != F.col("low")).cast("long") * F.col("members"))
-        cost = open_buckets.agg(outside.alias("pairs"), F.countDistinct("node").alias("nodes")).first()
-        if not cost.nodes:
+        largest = stored(largest, f"near-largest-{step}")
+        apart = stored(named.join(largest, "key"), f"near-apart-{step}")
+        outside = apart.filter("component <> main")
+        left = outside.agg(F.sum("members").alias("pairs"), F.countDistinct("node").alias("nodes")).first()
+        if not left.nodes:
             return labels
-        last = cost.pairs <= PAIRS_PER_NODE * cost.nodes
+        last = not linked or (step > 0 and left.pairs <= PAIRS_PER_NODE * left.nodes)
         if last:
-            pairs = _across(open_buckets, similarity)
+            pairs = _across(apart)
         else:
-            pairs = open_buckets.filter("component <> head.component").select(
+            pairs = outside.select(
                 F.least("node", "head.node").alias("a"),
                 F.greatest("node", "head.node").alias("b"),
                 F.col("size").alias("size_a"),
                 F.col("head.size").alias("size_b"),
             )
         found = stored(_verified(pairs, sets, similarity), f"near-links-{step}")
-        if found.limit(1).count():
+        linked = found.limit(1).count() > 0
+        if linked:
             links = stored(links.union(found), f"near-all-{step}")
             labels = connected_components(links, f"near-{step}")
-        elif not last:
-            # A star without a link: compare everything that is left across components.
-            found = stored(_verified(_across(open_buckets, similarity), sets, similarity), f"near-rest-{step}")
-            last = True
-            if found.limit(1).count():
-                links = stored(links.union(found), f"near-all-{step}")
-                labels = connected_components(links, f"near-{step}-rest")
         if last:
             return labels
-    return labels
+    raise RuntimeError("buckets did not settle")
 
 
-def _across(open_buckets: DataFrame, similarity: float) -> DataFrame:
-    """Every pair of a bucket across components, the smallest component against the others once."""
-    left = open_buckets.filter("component <> low").select(
+def _across(apart: DataFrame) -> DataFrame:
+    """Every pair of a bucket across components: members outside its largest component with all others."""
+    left = apart.filter("component <> main").select(
         "key", F.col("node").alias("x"), F.col("component").alias("cx"), F.col("size").alias("size_a")
     )
-    right = open_buckets.select(
-        "key", F.col("node").alias("y"), F.col("component").alias("cy"), F.col("size").alias("size_b"), "low"
-    )
-    fits = F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * similarity - 1e-9
-    pairs = left.join(right, "key").filter(
-        (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("low")) | (F.col("x") < F.col("y"))) & fits
-    )
+    right = apart.select("key", F.col("node").alias("y"), F.col("component").alias("cy"), F.col("size").alias("size_b"), "main")
+    pairs = left.join(right, "key").filter("cx <> cy AND (cy = main OR x < y)")
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "size_a", "size_b")
 
 
@@ -294,9 +294,22 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     pairs = pairs.filter(fits).select("a", "b").distinct()
     left = sets.select(F.col("node").alias("a"), F.col("members").alias("set_a"))
     right = sets.select(F.col("node").alias("b"), F.col("members").alias("set_b"))
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    either = F.size("set_a") + F.size("set_b") - common
-    return pairs.join(left, "a").join(right, "b").filter(common >= similarity * either - 1e-9).select("a", "b")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            similar = np.zeros(batch.num_rows, dtype=bool)
+            one, two = batch.column(2), batch.column(3)
+            for i in range(batch.num_rows):
+                # Members stand in the order of their unsigned values.
+                x = one[i].values.to_numpy().view(np.uint32)
+                y = two[i].values.to_numpy().view(np.uint32)
+                place = np.minimum(np.searchsorted(y, x), len(y) - 1)
+                common = int((y[place] == x).sum())
+                similar[i] = common >= similarity * (len(x) + len(y) - common) - 1e-9
+            yield batch.select([0, 1]).filter(pa.array(similar))
+
+    held = pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
+    return held.mapInArrow(compare, "a bigint, b bigint")
 
 
 def drop_near_copies(
