@@ -232,15 +232,20 @@ def repeated_passages(
     compared by case-folded hashes.  Shorter, empty and null texts have none; repeated rows
     match each other; rows without id are searched like all others.
     """
-    numbered = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col(id_column).alias("doc_id"),
-        F.col(text_column).cast("string").alias("text"),
+    numbered = stored(
+        docs.select(
+            F.monotonically_increasing_id().alias("row"),
+            F.col(id_column).alias("doc_id"),
+            F.col(text_column).cast("string").alias("text"),
+        ),
+        "numbered-texts",
     )
     anchors = stored(_anchors(numbered.select("row", "text"), seed_words, min_words), "anchors")
     repeated = anchors.groupBy("seed").agg(F.min("row").alias("low"), F.max("row").alias("high"))
+    # A table of its own, so that the adaptive skew join can cut a seed that many rows have.
+    repeated = stored(repeated.filter("low <> high").select("seed"), "repeated-seeds")
     places = (
-        anchors.join(repeated.filter("low <> high").select("seed"), "seed", "left_semi")
+        anchors.join(repeated, "seed", "left_semi")
         .groupBy("row")
         .agg(F.collect_list(F.struct("seed", "at")).alias("places"))  # a row's own places
     )
