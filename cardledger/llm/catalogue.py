@@ -93,7 +93,8 @@ def op8_repeated_passages(spark, sf_dir):
 @query
 def op9_license_blocks(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return licenses.license_scan(docs).select("doc_id", "license.*")
+    found = licenses.license_scan(docs).select("doc_id", "license.*")
+    return found.withColumn("n_blocks", F.size("blocks")).drop("blocks")
 
 
 @query
@@ -163,5 +164,43 @@ FROM (SELECT *, unnest(range(copies)) AS c FROM counted)
 """
 
 
+def _list(words) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+def _license_sql() -> str:
+    """The scan without any filter: every phrase at every place, every template against every block."""
+    places, blocks = [], []
+    for phrase, label in licenses.PHRASES.items():
+        parts = phrase.split()
+        here = f"list_filter(range(0, len(w) - {len(parts) - 1}), lambda i: w[i + 1:i + {len(parts)}] = {_list(parts)})"
+        places.append(f"list_transform({here}, lambda i: {{'at': i, 'label': '{label}'}})")
+    for label, template in licenses.TEMPLATES.items():
+        held = sorted(set(template.split()))
+        shared = f"len(list_intersect(list_distinct(w[i + 1:i + {licenses.BLOCK_WORDS}]), {_list(held)}))"
+        here = f"list_filter(starts, lambda i: {shared} >= {licenses.THRESHOLD} * {len(held)})"
+        blocks.append(f"list_transform({here}, lambda i: {{'label': '{label}', 'share': {shared}::DOUBLE / {len(held)}}})")
+    concat = lambda parts: " || ".join(parts)
+    names = "list_sort(list_distinct(list_transform({}, lambda x: x.label)))"
+    last = licenses.BLOCK_WORDS - licenses.BLOCK_STEP + 1
+    return f"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+    FROM documents
+),
+cut AS (SELECT *, range(0, greatest(len(w) - {last}, 0) + 1, {licenses.BLOCK_STEP}) AS starts FROM words),
+met AS (SELECT doc_id, len(w) AS n, {concat(places)} AS p, {concat(blocks)} AS b FROM cut)
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(len(p) AS BIGINT) AS n_base,
+       CAST(list_min(list_transform(p, lambda x: x.at)) AS BIGINT) AS first_word,
+       CAST(list_max(list_transform(p, lambda x: x.at)) AS BIGINT) AS last_word,
+       coalesce(array_to_string({names.format("p")}, ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct({names.format("p")} || {names.format("b")})), ','), '') AS labels,
+       CASE WHEN len(p) > 0 THEN 1.0 ELSE coalesce(list_max(list_transform(b, lambda x: x.share)), 0.0) END::DOUBLE AS score,
+       CAST(len(b) AS INTEGER) AS n_blocks
+FROM met"""
+
+
 def oracle_statements() -> dict[str, str]:
-    return {"op1_poisson_mix": _MIX_SQL, "op7_exact_copies": _COPIES_SQL}
+    return {"op1_poisson_mix": _MIX_SQL, "op7_exact_copies": _COPIES_SQL, "op9_license_blocks": _license_sql()}
