@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cardledger.session import scratch_folder
@@ -88,21 +88,18 @@ def connected_components(edges: DataFrame, label: str) -> DataFrame:
     labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("component"))
     labels = stored(labels, f"{label}-0")
     for step in range(1, 200):
+        moved = Observation()
         around = (
             both.join(labels.withColumnRenamed("node", "b"), "b")
-            .select(F.col("a").alias("node"), "component")
-            .union(labels)
+            .select(F.col("a").alias("node"), "component", F.lit(None).cast("bigint").alias("before"))
+            .union(labels.select("node", "component", F.col("component").alias("before")))
             .groupBy("node")
-            .agg(F.min("component").alias("near"))
+            .agg(F.min("component").alias("near"), F.max("before").alias("before"))
         )
         own = labels.select(F.col("node").alias("near"), F.col("component").alias("far"))
-        fresh = stored(
-            around.join(own, "near", "left").select("node", F.least("near", "far").alias("component")),
-            f"{label}-{step}",
-        )
-        moved = fresh.join(labels.withColumnRenamed("component", "before"), "node")
-        done = moved.filter("component <> before").limit(1).count() == 0
-        labels = fresh
-        if done:
+        fresh = around.join(own, "near", "left").select("node", F.least("near", "far").alias("component"), "before")
+        fresh = fresh.observe(moved, F.count_if(F.col("component") != F.col("before")).alias("n"))
+        labels = stored(fresh, f"{label}-{step}").select("node", "component")
+        if not moved.get["n"]:
             return labels
     raise RuntimeError("components did not settle")

@@ -9,10 +9,13 @@ up to a rank that leaves about k log k + 2k of them are looked at, so a set cost
 size plus that, not k times its size.
 
 Candidates share a band of coordinates.  A bucket is not expanded into pairs: its members
-are compared with one of them (a star), the similar ones become one component, and only
-buckets that still hold several components go on, first with other stars, at last with
-every pair across components.  So no similar pair of a bucket is lost, and a group of
-thousands of copies costs a few comparisons each.  Similarity is exact, on whole texts.
+are compared with its most central one (a star), and the similar ones become one component.
+A member x that stays apart from the centre h can still be similar to another member y.
+Then y must hold some of the shingles that x has and h lacks, or be shorter than a bound
+that follows from their number.  So only members that share such a shingle, rarest first
+and no more of them than the similarity asks for, or that are that short, are compared with
+x.  No similar pair of a bucket is lost, and a group of thousands of copies with edits of
+their own costs a few comparisons each.  Similarity is exact, on whole texts.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardledger.llm.common import connected_components, free_name, stored, text_batches
@@ -33,8 +36,10 @@ SIMILARITY = 0.8
 #: 20 bands of 4: two sets of similarity 0.8 share a band with probability 0.99997.
 BANDS = 20
 ROWS = 4
-#: Stars go on while the pairs across components are more than this many for each node outside.
-PAIRS_PER_NODE = 64
+#: Members of at least this part of a text's size count as long as it, where shared shingles are asked for.
+EQUAL_SIZE = 0.98
+#: Ratio of neighbouring size classes, by which shorter members are found.
+SIZE_CLASS = 1.02
 
 
 def dart_signatures(
@@ -199,9 +204,11 @@ def near_duplicates(
         .select(F.col("row").alias("node"), F.col("size").cast("int").alias("size"), F.explode("keys").alias("key"))
     )
     # Tables of their own on both sides let the adaptive skew join cut a bucket that many nodes share.
-    shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    shared = stored(shared, "near-shared")
-    buckets = stored(buckets.join(shared, "key", "left_semi"), "near-buckets")
+    shared = stored(buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "near-shared")
+    buckets = stored(buckets.join(shared, "key"), "near-buckets")
+    # A node is the more central, the more company it has in its buckets.
+    central = buckets.groupBy("node").agg(F.sum("n").alias("company"))
+    buckets = stored(buckets.join(stored(central, "near-central"), "node"), "near-company")
     texts = numbered.join(
         buckets.select(F.col("node").alias("row")).distinct(), "row", "left_semi"
     ).select(F.col("row").alias("node"), "text")
@@ -225,67 +232,131 @@ def near_duplicates(
 
 
 def _components(buckets: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """(node, component) of all nodes that are similar to another one.
+    """(node, component) of all nodes that are similar to another one."""
+    alone = buckets.sparkSession.createDataFrame([], "node bigint, component bigint")
+    stars = _stars(buckets, alone, "first")
+    links = stored(_verified(stars.selectExpr("node AS a", "size AS size_a", "h AS b", "size_h AS size_b"), sets, similarity), "near-links")
+    labels = connected_components(links, "near-first")
+    more = _linked_apart(_stars(buckets, labels, "second"), sets, similarity)
+    return connected_components(stored(links.union(more), "near-all-links"), "near-second")
 
-    Star rounds compare the members outside a bucket's largest component with one member
-    of it.  When a round links nothing, or few enough pairs are left, all pairs across
-    components are compared, and nothing similar is left apart.
+
+def _stars(buckets: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """(node, size, component) beside (h, size_h, main) of buckets of several components.
+
+    h is the most central member of the bucket's largest component ``main``.  A pair that
+    many buckets have stands once.
     """
-    spark = buckets.sparkSession
-    labels = spark.createDataFrame([], "node bigint, component bigint")
-    links = spark.createDataFrame([], "a bigint, b bigint")
-    linked = True
-    for step in range(1000):
-        named = buckets.join(labels, "node", "left").select(
-            "key", "node", "size", F.coalesce("component", "node").alias("component")
-        )
-        order = F.xxhash64("node", F.lit(step))
-        largest = (
-            named.groupBy("key", "component")
-            .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(order.alias("o"), "node", "size")).alias("head"))
-            .groupBy("key")
-            .agg(
-                F.max(F.struct("n", (-F.col("component")).alias("c"), "component", "head")).alias("top"),
-                F.sum("n").alias("members"),
-                F.count(F.lit(1)).alias("components"),
-            )
-            .filter("components > 1")
-            .select("key", "members", F.col("top.component").alias("main"), F.col("top.head").alias("head"))
+    named = buckets.join(labels, "node", "left").select(
+        "key", "node", "size", F.coalesce("component", "node").alias("component"), (-F.col("company")).alias("company")
+    )
+    largest = (
+        named.groupBy("key", "component")
+        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("company", "node", "size")).alias("head"))
+        .groupBy("key")
+        .agg(
+            F.min(F.struct((-F.col("n")).alias("n"), "head.company", "component", "head")).alias("top"),
+            F.count(F.lit(1)).alias("components"),
         )
-        largest = stored(largest, f"near-largest-{step}")
-        apart = stored(named.join(largest, "key"), f"near-apart-{step}")
-        outside = apart.filter("component <> main")
-        left = outside.agg(F.sum("members").alias("pairs"), F.countDistinct("node").alias("nodes")).first()
-        if not left.nodes:
-            return labels
-        last = not linked or (step > 0 and left.pairs <= PAIRS_PER_NODE * left.nodes)
-        if last:
-            pairs = _across(apart)
-        else:
-            pairs = outside.select(
-                F.least("node", "head.node").alias("a"),
-                F.greatest("node", "head.node").alias("b"),
-                F.col("size").alias("size_a"),
-                F.col("head.size").alias("size_b"),
+        .filter("components > 1")
+        .selectExpr("key", "top.component AS main", "top.head.node AS h", "top.head.size AS size_h")
+    )
+    # Tables of their own on both sides let the adaptive skew join cut a bucket that many nodes share.
+    largest = stored(largest, f"near-largest-{label}")
+    pairs = named.join(largest, "key").filter("node <> h").select("node", "size", "component", "h", "size_h", "main").distinct()
+    return stored(pairs, f"near-stars-{label}")
+
+
+def _linked_apart(stars: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) of nodes apart from a centre, with the centre or with another of its members."""
+    left = sets.select("node", F.col("members").alias("own"))
+    right = sets.select(F.col("node").alias("h"), F.col("members").alias("centre"))
+
+    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for i in range(batch.num_rows):
+                own, centre = _unsigned(batch.column(5)[i]), _unsigned(batch.column(6)[i])
+                rows.append(own[~_held(own, centre)].view(np.int32))
+            sizes = np.array([len(r) for r in rows], dtype=np.int32)
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*rows, np.empty(0, np.int32)])))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:5], pa.array(sizes), lists], names=["node", "size", "component", "h", "asks", "u", "rest"]
             )
-        found = stored(_verified(pairs, sets, similarity), f"near-links-{step}")
-        linked = found.limit(1).count() > 0
-        if linked:
-            links = stored(links.union(found), f"near-all-{step}")
-            labels = connected_components(links, f"near-{step}")
-        if last:
-            return labels
-    raise RuntimeError("buckets did not settle")
-
-
-def _across(apart: DataFrame) -> DataFrame:
-    """Every pair of a bucket across components: members outside its largest component with all others."""
-    left = apart.filter("component <> main").select(
-        "key", F.col("node").alias("x"), F.col("component").alias("cx"), F.col("size").alias("size_a")
+
+    asks = (F.col("component") != F.col("main")).alias("asks")
+    held = stars.select("node", "size", "component", "h", asks).join(left, "node").join(right, "h")
+    own = stored(
+        held.select("node", "size", "component", "h", "asks", "own", "centre").mapInArrow(
+            rest, "node bigint, size int, component bigint, h bigint, asks boolean, u int, rest array<int>"
+        ),
+        "near-own",
+    )
+    centres = own.select(F.col("h").alias("node")).distinct()
+    sizes = stored(sets.select("node", F.size("members").alias("size_h")).join(centres, "node", "left_semi"), "near-centre-sizes")
+    asking = own.filter("asks")
+    # With the centre itself: what both hold is what the node does not have on its own.
+    common = F.col("size") - F.col("u")
+    direct = asking.join(sizes.withColumnRenamed("node", "h"), "h").filter(
+        common >= similarity * (F.col("u") + F.col("size_h")) - 1e-9
+    )
+
+    # With members that share a shingle which the centre lacks.
+    share = similarity / (1 + similarity)
+    each = own.select("h", "node", "size", "component", "asks", "u", F.explode("rest").alias("e"))
+    often = stored(each.groupBy("h", "e").agg(F.count(F.lit(1)).alias("f")).filter("f > 1"), "near-often")
+    met = stored(each.join(often, ["h", "e"]), "near-met")
+    one = Window.partitionBy("h", "node")
+    rarer = F.col("u") - F.count(F.lit(1)).over(one)  # shingles that no other member has come first
+    rank = rarer + F.row_number().over(one.orderBy("f", "e"))
+    needed = F.ceil(share * (1 + EQUAL_SIZE) * F.col("size") - 1e-9) - common
+    prefix = F.col("u") - F.greatest(needed, F.lit(1)) + 1
+    x = met.filter("asks").select(
+        "h",
+        "e",
+        F.col("node").alias("x"),
+        F.col("size").alias("size_x"),
+        F.col("component").alias("cx"),
+        (rank <= prefix).alias("early"),
+    )
+    y = met.select("h", "e", F.col("node").alias("y"), F.col("size").alias("size_y"), F.col("component").alias("cy"))
+    alike = (
+        (F.col("cx") != F.col("cy"))
+        & (F.least("size_x", "size_y") >= F.greatest("size_x", "size_y") * similarity - 1e-9)
+        & (F.col("early") | (F.col("size_y") < EQUAL_SIZE * F.col("size_x")))
+    )
+    sharing = x.join(y, ["h", "e"]).filter(alike)
+
+    # With members so short that no such shingle is needed.
+    of_size = lambda size: F.floor(F.log(size.cast("double")) / F.log(F.lit(SIZE_CLASS))).cast("int")
+    most = F.floor(common / share - F.col("size") + 1e-9)
+    least = F.ceil(F.col("size") * similarity - 1e-9)
+    short_x = (
+        asking.select("h", F.col("node").alias("x"), F.col("size").alias("size_x"), F.col("component").alias("cx"), least.alias("low"), most.alias("high"))
+        .filter("low <= high AND low > 0")
+        .withColumn("class", F.explode(F.sequence(of_size(F.col("low")), of_size(F.col("high")))))
     )
-    right = apart.select("key", F.col("node").alias("y"), F.col("component").alias("cy"), F.col("size").alias("size_b"), "main")
-    pairs = left.join(right, "key").filter("cx <> cy AND (cy = main OR x < y)")
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "size_a", "size_b")
+    short_y = own.select(
+        "h", F.col("node").alias("y"), F.col("size").alias("size_y"), F.col("component").alias("cy"), of_size(F.col("size")).alias("class")
+    )
+    shorter = short_x.join(short_y, ["h", "class"]).filter("cx <> cy AND size_y BETWEEN low AND high")
+
+    pairs = [
+        frame.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.col("size_x").alias("size_a"), F.col("size_y").alias("size_b"))
+        for frame in (sharing, shorter)
+    ]
+    found = _verified(pairs[0].union(pairs[1]), sets, similarity)
+    return found.union(direct.select(F.col("node").alias("a"), F.col("h").alias("b")))
+
+
+def _unsigned(members) -> np.ndarray:
+    return members.values.to_numpy().view(np.uint32)
+
+
+def _held(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which values of x are in y; both in order, y not empty."""
+    return y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -300,11 +371,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
             similar = np.zeros(batch.num_rows, dtype=bool)
             one, two = batch.column(2), batch.column(3)
             for i in range(batch.num_rows):
-                # Members stand in the order of their unsigned values.
-                x = one[i].values.to_numpy().view(np.uint32)
-                y = two[i].values.to_numpy().view(np.uint32)
-                place = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                common = int((y[place] == x).sum())
+                x, y = _unsigned(one[i]), _unsigned(two[i])
+                common = int(_held(x, y).sum())
                 similar[i] = common >= similarity * (len(x) + len(y) - common) - 1e-9
             yield batch.select([0, 1]).filter(pa.array(similar))
 

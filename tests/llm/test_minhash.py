@@ -46,7 +46,7 @@ def test_words_and_shingles_match_a_plain_version():
     texts = ["The Cat, the cat; THE dog-9!", "", "Été là... été", "one", "a b c d", "a b c d e f", " -- "]
     hashes, first = word_hashes([t.encode() for t in texts])
     seen: dict[int, str] = {}
-    for text, a, b in zip(texts, first, first[1:], strict=True):
+    for text, a, b in zip(texts, first[:-1], first[1:], strict=True):
         expected = plain_words(text)
         assert b - a == len(expected)
         for h, word in zip(hashes[a:b].tolist(), expected, strict=True):

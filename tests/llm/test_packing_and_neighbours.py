@@ -70,14 +70,26 @@ def test_pieces_carry_their_ids(spark, tokenizer):
         assert r.ids == _ids(tokenizer, texts[r.doc_id])[r.start : r.start + r.length]
 
 
-def test_evolution_reaches_a_packing_that_best_fit_misses():
-    # Three bins of capacity 100 hold these exactly; longest-first best fit needs four.
-    lengths = np.array(sorted([44, 24, 24, 22, 21, 17, 8, 8, 6, 6, 44, 24, 24, 8, 44, 30, 26], reverse=True))
-    bound = -(-int(lengths.sum()) // 100)
-    first = packing.best_fit(lengths.tolist(), list(range(len(lengths))), 100, np.full(len(lengths), -1))
-    best = packing.evolve(lengths, [], 1, 100, generations=60)[0]
+@pytest.mark.parametrize("seed", range(6))
+def test_evolution_is_no_worse_than_best_fit(seed):
+    # Large pieces, three or so to a bin: the hard case for longest-first best fit.
+    chance = np.random.default_rng(seed)
+    lengths = np.sort(chance.integers(200, 480, 90))[::-1]
+    bound = -(-int(lengths.sum()) // 1000)
+    first = packing.best_fit(lengths.tolist(), list(range(90)), 1000, np.full(90, -1))
+    best = packing.evolve(lengths, [], seed, 1000, generations=30)[0]
     fill = np.bincount(best, weights=lengths)
-    assert (fill <= 100).all() and bound <= len(fill) <= first.max() + 1
+    assert (fill > 0).all() and (fill <= 1000).all() and bound <= len(fill) <= first.max() + 1
+
+
+def test_injected_bins_save_a_bin():
+    # 6+4, 6+4, 5+5 fill three bins; best fit in the order 4, 4, 5, 5, 6, 6 needs four.
+    lengths = np.array([6, 6, 5, 5, 4, 4])
+    poor = packing.best_fit(lengths.tolist(), [4, 5, 2, 3, 0, 1], 10, np.full(6, -1))
+    good = np.array([0, 1, 2, 2, 0, 1])
+    assert poor.max() == 3
+    children = [packing.crossover(lengths, good, poor, list(range(6)), 10, np.random.default_rng(s)) for s in range(8)]
+    assert min(c.max() for c in children) == 2
 
 
 @pytest.mark.parametrize("seed", range(5))
