@@ -209,9 +209,9 @@ def near_duplicates(
     # A node is the more central, the more company it has in its buckets.
     central = buckets.groupBy("node").agg(F.sum("n").alias("company"))
     buckets = stored(buckets.join(stored(central, "near-central"), "node"), "near-company")
-    texts = numbered.join(
-        buckets.select(F.col("node").alias("row")).distinct(), "row", "left_semi"
-    ).select(F.col("row").alias("node"), "text")
+    # One plan at every size: the nodes in question grow with the documents.
+    asked = buckets.select(F.col("node").alias("row")).distinct().hint("merge")
+    texts = numbered.join(asked, "row", "left_semi").select(F.col("row").alias("node"), "text")
     sets = stored(shingle_sets(texts, width, weighted), "near-sets")
     labels = _components(buckets, sets, similarity)
 
