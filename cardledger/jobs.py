@@ -22,7 +22,19 @@ from cardledger.plans import feeds  # noqa: E402
 from cardledger.session import build_session, run_timestamp  # noqa: E402
 
 # Tables that a rewrite covers when none is named.
-REWRITTEN = ("l_anag", "l_balance", "l_transaction", "p_enrolment", "p_points", "p_maintenance", "p_saveback")
+REWRITTEN = (
+    "l_anag",
+    "l_balance",
+    "l_transaction",
+    "p_enrolment",
+    "p_points",
+    "p_maintenance",
+    "p_saveback",
+    "i_enrolment_rejected",
+    "i_points_rejected",
+    "i_maintenance_rejected",
+    "i_saveback_rejected",
+)
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -103,15 +115,14 @@ def main(argv: list[str] | None = None) -> dict:
         elif args.command == "load-decoded":
             result["rows"] = feeds.load_decoded(store, args.feed, args.folder, run_ts)
         elif args.command == "snapshot":
-            result["commit"] = store.snapshot(args.tag, run_ts)
+            store.snapshot(args.tag, run_ts)
         elif args.command == "restore":
-            result["commit"] = store.restore(args.tag, run_ts)
+            store.restore(args.tag, run_ts)
         elif args.command == "rewrite":
-            partitions = {"l_transaction": feeds.TRANSACTION_PARTITIONS}
-            result["commit"] = store.rewrite(args.tables or REWRITTEN, run_ts, partitions)
+            store.rewrite(args.tables or [t for t in REWRITTEN if store.has(t)], run_ts)
         else:
             value = int(args.value) if args.value.lstrip("-").isdigit() else args.value
-            result["commit"] = store.migrate_column(args.table, args.name, value, args.after, run_ts)
+            store.migrate_column(args.table, args.name, value, args.after, run_ts)
     print(json.dumps(result))
     return result
 

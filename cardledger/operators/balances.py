@@ -68,27 +68,6 @@ def balance_delta(rows: DataFrame, from_partner: bool = False) -> DataFrame:
     return _as_delta(movement_sums(rows, CUSTOMER), from_partner)
 
 
-def accepted_delta(feed: DataFrame, master: DataFrame) -> DataFrame:
-    """The balance delta of a points feed, summed per account *before* the master is joined.
-
-    Gives what routing row by row and then summing gives, but one row per
-    account takes part in the join, whatever the size of the feed and however
-    many of its rows belong to one account.  The join reuses the partitioning
-    of the sum.
-    """
-    account = ["product_company", "account_number"]
-    usable = feed.filter(signed_amount(F.col("sign"), F.col("value")).isNotNull())
-    active = master.filter(F.col("is_customer_number_active")).select(*account, "customer_number")
-    per_account = movement_sums(usable, account).join(active, account)
-    sums = per_account.groupBy(*CUSTOMER).agg(
-        *[
-            F.sum(name).cast("decimal(28,3)").alias(name) for name in ("points_virtualcredit", "points_extrabonus")
-        ],
-        F.sum("movements").alias("movements"),
-    )
-    return _as_delta(sums, from_partner=False)
-
-
 def balance_update(balance: DataFrame, delta: DataFrame, matched: Observation | None = None) -> DataFrame:
     """Add both deltas in one pass; a NULL balance stays NULL (Q20), other customers are unchanged.
 

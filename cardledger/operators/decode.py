@@ -25,7 +25,6 @@ from cardledger.schemas import (
     Layout,
     conform,
 )
-from cardledger.session import broadcast_if_small
 
 # Fixed values of every row staged from the mainframe feeds.
 MAINFRAME_APPCODE = "CAMS"
@@ -55,18 +54,29 @@ def _others(lines: DataFrame) -> list[str]:
 
 
 def is_enrolment_header() -> Column:
-    """D1."""
+    """D1, for the first line of a file: only there is an ``H`` in tenth place a header."""
     return F.substring("line", 10, 1) == "H"
 
 
-def enrolment_headers(lines: DataFrame) -> DataFrame:
-    """Header fields; one header per file."""
-    return lines.filter(is_enrolment_header()).select(*cut(ENROLMENT_HEADER), *_others(lines))
+def first_lines(lines: DataFrame, order: str = "line_order") -> DataFrame:
+    """The place of every file's first line, one row per file."""
+    return lines.groupBy("input_filename").agg(F.min(order).alias(order))
 
 
-def enrolment_details(lines: DataFrame) -> DataFrame:
-    """D3: the eight fields of every line that is no header."""
-    return lines.filter(~is_enrolment_header()).select(*cut(ENROLMENT_DETAIL), *_others(lines))
+def enrolment_headers(lines: DataFrame, order: str = "line_order") -> DataFrame:
+    """Header fields of the files whose first line is a header."""
+    headers = lines.filter(is_enrolment_header()).join(first_lines(lines, order), ["input_filename", order], "left_semi")
+    return headers.select(*cut(ENROLMENT_HEADER), *_others(lines))
+
+
+def enrolment_details(lines: DataFrame, order: str = "line_order") -> DataFrame:
+    """D3: the eight fields of every line that is no header.
+
+    Only lines that look like a header are held against the first lines of their files.
+    """
+    details = lines.filter(~is_enrolment_header())
+    later = lines.filter(is_enrolment_header()).join(first_lines(lines, order), ["input_filename", order], "left_anti")
+    return details.unionByName(later).select(*cut(ENROLMENT_DETAIL), *_others(lines))
 
 
 # ---- points ---------------------------------------------------------------
@@ -104,14 +114,20 @@ def points_transactions(lines: DataFrame) -> DataFrame:
     )
 
 
-def with_header_value(rows: DataFrame, headers: DataFrame, column: str = "internallog_ts") -> DataFrame:
+def first_headers(headers: DataFrame, column: str, order: str = "line_order") -> DataFrame:
+    """A header field per file, of the header that stands first; a file should have one."""
+    return headers.groupBy("input_filename").agg(F.min_by(column, order).alias(column))
+
+
+def with_header_value(
+    rows: DataFrame, headers: DataFrame, column: str = "internallog_ts", order: str = "line_order"
+) -> DataFrame:
     """A header field on every row of the same file (NULL without header).
 
-    Headers are one row per input file; their number is checked before they
-    are broadcast, because rows of one big file must not meet in one task.
+    Rows are the left side of the join with one row per file: where Spark does not
+    broadcast the headers, the adaptive skew join cuts a file with most rows.
     """
-    per_file = headers.groupBy("input_filename").agg(F.max(column).alias(column))
-    return rows.join(broadcast_if_small(per_file), "input_filename", "left")
+    return rows.join(first_headers(headers, column, order), "input_filename", "left")
 
 
 def staged_points(transactions: DataFrame, run_ts: str, causal: str = POINTS_CAUSAL) -> DataFrame:

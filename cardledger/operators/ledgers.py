@@ -1,280 +1,297 @@
-"""Versioned tables: write new files, check them, then make them visible in one step.
-
-Spark refuses to overwrite a table it reads, and plain files have no MERGE.  A
-change therefore writes new files and then one small commit record that names,
-per touched table, the folders the table now consists of:
-
-* *append* adds a folder; nothing that exists is rewritten,
-* *replace* swaps all folders (balances and master after an update),
-* *point* lets a name show folders that another table already wrote.
-
-Until the record exists nothing has changed, so a lost executor, a failed
-check or a killed driver leaves all ledgers as they were.  Old folders stay,
-which makes snapshot and restore free of copying.  One writer at a time: a
-second writer of the same commit number fails on the existing record.
+"""Ledgers as plain catalog tables: write new files, count them, then point the table at them.
+
+Spark refuses to overwrite a table it reads, and plain files have no MERGE.  So every
+change writes its rows into folders of its own, ``batch=<unique name>`` below the table's
+folder, reads them back to count them, and only then edits the catalog:
+
+* *append* adds the batch's partitions, nothing that exists is rewritten;
+* *replace* adds the new batch's partitions and drops those it replaces, all of the
+  table's or, for tables dealt by customer, those of the buckets that the change touches;
+* *point* lets a table show what another one has just got.
+
+A table is partitioned by its own keys (month, bucket) and by batch; the partitions live
+in the session catalog (with a metastore, across sessions), so a reader lists those it
+needs and never sees the files of a change that did not end.  Batch names are unique, so
+writers never touch each other's files; a change that replaces rows ends with an error
+when somebody else changed those rows since it began.  Tables are external: dropped
+partitions leave their files, which ``expired_folders`` lists for deletion.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Sequence
-from functools import reduce
+import hashlib
+import uuid
+from collections.abc import Iterable, Sequence
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType, StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from cardledger.schemas import text_table
+LEDGERS = ("l_anag", "l_balance", "l_transaction", "l_booked")
+BATCH = "batch"
+ADDED = "added.columns"
 
-COMMIT_RECORD = text_table(
-    "commit table paths row_count schema_json run_ts source tag",
-    commit=LongType(),
-    paths=ArrayType(StringType()),
-    row_count=LongType(),
-)
-_ARROW_TYPES = {"commit": pa.int64(), "row_count": pa.int64(), "paths": pa.list_(pa.string())}
-RECORD_ARROW = pa.schema([(name, _ARROW_TYPES.get(name, pa.string())) for name in COMMIT_RECORD.names])
-COMMITS = "_commits"
-LEDGERS = ("l_anag", "l_balance", "l_transaction")
+#: Buckets by company and customer of the tables that updates rewrite in part.
+BUCKETS = 64
+BUCKET = "bucket"
 
 
 class LedgerMismatch(Exception):
-    """The written rows are not the rows that were expected; nothing was committed."""
+    """The written rows are not the rows that were expected; the tables are as they were."""
+
+
+def bucket_of(company: str = "product_company", customer: str = "customer_number"):
+    """The bucket of a customer's rows in the master and the balances."""
+    return F.pmod(F.xxhash64(company, customer), F.lit(BUCKETS)).cast("int")
+
+
+def _literal(value) -> str:
+    if value is None:
+        return "NULL"
+    return str(value) if isinstance(value, int) else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 class LedgerStore:
-    """Tables below one shared folder."""
+    """The tables below one shared folder, in a catalog database named after it."""
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
         self.spark, self.root, self.fmt = spark, root.rstrip("/"), fmt
-        self.refresh()
+        self.database = "ledgers_" + hashlib.md5(self.root.encode()).hexdigest()[:12]
 
     @classmethod
     def create(
-        cls, spark: SparkSession, root: str, schemas: dict[str, StructType], fmt: str = "parquet"
+        cls,
+        spark: SparkSession,
+        root: str,
+        schemas: dict[str, StructType],
+        fmt: str = "parquet",
+        partition_by: dict[str, Sequence[str]] | None = None,
     ) -> LedgerStore:
-        """A new store with empty tables; fails when the folder already holds one."""
+        """A new store with empty tables; fails when the catalog already holds one of this folder."""
         store = cls(spark, root, fmt)
-        records = [(0, name, [], 0, schema.json(), None, "create", None) for name, schema in schemas.items()]
-        store._record(0, records)
+        spark.sql(f"CREATE DATABASE {store.database}")
+        for name, schema in schemas.items():
+            store.create_table(name, schema, (partition_by or {}).get(name, ()))
         return store
 
-    # ---- commit log (control rows only: a few per run) ---------------------
-
-    def _record(self, number: int, records: list[tuple]) -> None:
-        rows = [dict(zip(COMMIT_RECORD.names, record)) for record in records]
-        arrow = pa.Table.from_pylist(rows, schema=RECORD_ARROW)
-        frame = self.spark.createDataFrame(arrow, COMMIT_RECORD).drop("commit").coalesce(1)
-        frame.write.mode("errorifexists").parquet(f"{self.root}/{COMMITS}/commit={number}")
-        self.refresh()
-
-    def log(self) -> DataFrame:
-        return self.spark.read.schema(COMMIT_RECORD).parquet(f"{self.root}/{COMMITS}")
-
-    def refresh(self) -> None:
-        """Forget what was read of the log; own commits do so by themselves."""
-        self._known: tuple[int, dict[str, dict]] | None = None
-
-    def _latest(self) -> tuple[int, dict[str, dict]]:
-        """Last commit number and latest record per table; as many rows as there are tables."""
-        if self._known is None:
-            live = F.col("tag").isNull()
-            entry = F.struct("paths", "row_count", "schema_json")
-            rows = (
-                self.log()
-                .groupBy("table")
-                .agg(
-                    F.max("commit").alias("last"),
-                    F.max_by(F.when(live, entry), F.when(live, F.col("commit"))).alias("now"),
-                )
-                .collect()
-            )
-            self._known = (
-                max(row["last"] for row in rows),
-                {row["table"]: row["now"].asDict() for row in rows if row["now"]},
-            )
-        return self._known
-
-    def head(self) -> int:
-        return self._latest()[0]
-
-    def state(self, tag: str | None = None) -> dict[str, dict]:
-        """The folders of every table, now or in a snapshot."""
-        if tag is None:
-            return self._latest()[1]
-        entry = F.struct("paths", "row_count", "schema_json")
-        saved = self.log().filter(F.col("tag") == tag).groupBy("table").agg(F.max_by(entry, "commit").alias("now"))
-        return {row["table"]: row["now"].asDict() for row in saved.collect()}
-
-    def applied(self, source: str) -> bool:
-        """Whether a commit of this source exists, so that no batch is booked twice."""
-        return not self.log().filter(F.col("source") == source).isEmpty()
+    def create_table(
+        self, table: str, schema: StructType, keys: Sequence[str] = (), added: Sequence[str] = ()
+    ) -> None:
+        """``schema`` with its partition keys last; a bucket key is worked out, not part of it.
+
+        ``added`` names the columns of a migration, which appended rows need not have.
+        """
+        fields = [*schema.fields, StructField(BUCKET, IntegerType())] if BUCKET in keys else schema.fields
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        levels = ", ".join(f"`{key}`" for key in (*keys, BATCH))
+        self.spark.sql(
+            f"CREATE TABLE {self.name(table)} ({columns}, `{BATCH}` string) USING {self.fmt} "
+            f"PARTITIONED BY ({levels}) LOCATION '{self.root}/{table}' "
+            f"TBLPROPERTIES ('{ADDED}' = '{' '.join(added)}')"
+        )
+
+    def added_columns(self, table: str) -> list[str]:
+        found = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)} ('{ADDED}')").first()
+        return found["value"].split()
 
     # ---- reading -----------------------------------------------------------
 
-    def _frame(self, entry: dict) -> DataFrame:
-        schema = StructType.fromJson(json.loads(entry["schema_json"]))
-        if not entry["paths"]:
-            return self.spark.createDataFrame([], schema)
-        # Folders of one owner are read together; the owner folder is the base of their partitions.
-        owners: dict[str, list[str]] = {}
-        for path in entry["paths"]:
-            owners.setdefault(path.split("/")[0], []).append(f"{self.root}/{path}")
-        frames = [
-            self.spark.read.schema(schema)
-            .format(self.fmt)
-            .option("basePath", f"{self.root}/{owner}")
-            .load(paths)
-            .select(*schema.names)
-            for owner, paths in owners.items()
-        ]
-        return reduce(DataFrame.union, frames)
+    def name(self, table: str) -> str:
+        return f"{self.database}.`{table}`"
+
+    def has(self, table: str) -> bool:
+        return self.spark.catalog.tableExists(self.name(table))
 
     def read(self, table: str, tag: str | None = None) -> DataFrame:
-        return self._frame(self._entry(table, tag))
+        return self.rows_with_places(table, tag).drop(BATCH, BUCKET)
+
+    def rows_with_places(self, table: str, tag: str | None = None) -> DataFrame:
+        """A table with its bucket and batch columns, or the copy of it in a snapshot."""
+        shown = table if tag is None else _copy_name(table, tag)
+        if not self.has(shown):
+            raise KeyError(f"no table {table}" + (f" in snapshot {tag}" if tag else ""))
+        return self.spark.table(self.name(shown))
 
     def rows(self, table: str, tag: str | None = None) -> int:
-        return self._entry(table, tag)["row_count"]
+        """Counted from the files of the table; needs their footers only."""
+        return self.read(table, tag).count()
+
+    def keys(self, table: str) -> list[str]:
+        """Partition keys before the batch."""
+        columns = self.spark.catalog.listColumns(self.name(table))
+        return [c.name for c in columns if c.isPartition and c.name != BATCH]
 
     def paths(self, table: str) -> list[str]:
-        return list(self._entry(table)["paths"])
+        """The partitions of a table: control rows, a few per run and month."""
+        if not self.has(table):
+            return []
+        return sorted(r[0] for r in self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").collect())
 
-    def _entry(self, table: str, tag: str | None = None) -> dict:
-        state = self.state(tag)
-        if table not in state:
-            raise KeyError(f"no table {table}" + (f" in snapshot {tag}" if tag else ""))
-        return state[table]
+    def batches(self, table: str) -> list[str]:
+        return sorted({path.rsplit(f"{BATCH}=", 1)[1] for path in self.paths(table)})
+
+    def booked(self, source: str) -> bool:
+        """Whether the ledgers hold this batch, so that none is booked twice."""
+        return not self.read("l_booked").filter(F.col("source") == source).isEmpty()
 
-    # ---- writing -----------------------------------------------------------
+    # ---- writing and maintenance ---------------------------------------------
 
     def begin(self, run_ts: str, source: str) -> Change:
         return Change(self, run_ts, source)
 
-    # ---- maintenance -------------------------------------------------------
-
-    def snapshot(self, tag: str, run_ts: str, tables: Sequence[str] = LEDGERS) -> int:
-        """M1: name the present state of the ledgers; refused when one of them is empty.
-
-        Folders are never changed once committed, so the name is the backup.
-        """
-        state = self.state()
-        empty = [t for t in tables if not state[t]["row_count"]]
+    def snapshot(self, tag: str, run_ts: str, tables: Sequence[str] = LEDGERS) -> None:
+        """M1: a dated copy of the ledgers, counted; refused when one of the three is empty."""
+        counts = {t: self.rows(t) for t in tables}
+        empty = [t for t, n in counts.items() if not n and t != "l_booked"]
         if empty:
             raise LedgerMismatch("no snapshot of empty tables: " + ", ".join(empty))
-        number = self.head() + 1
-        self._record(
-            number,
-            [
-                (number, t, state[t]["paths"], state[t]["row_count"], state[t]["schema_json"], run_ts, "snapshot", tag)
-                for t in tables
-            ],
-        )
-        return number
+        change = self.begin(run_ts, f"snapshot {tag}")
+        for table in tables:
+            copy = _copy_name(table, tag)
+            if self.has(copy):
+                raise LedgerMismatch(f"snapshot {tag} exists")
+            self.create_table(copy, self.read(table).schema, self.keys(table))
+            change.replace(copy, self.read(table), expect_rows=counts[table])
+        change.commit()
 
-    def restore(self, tag: str, run_ts: str) -> int:
-        """M2, M3: the ledgers become what the snapshot holds, all in one commit or none (Q16)."""
-        saved = self.state(tag)
+    def restore(self, tag: str, run_ts: str) -> None:
+        """M2, M3: the ledgers become what the copy holds, all written and counted before the first switch (Q16).
+
+        Batches that were booked after the snapshot are not booked any more.
+        """
+        saved = [t for t in LEDGERS if self.has(_copy_name(t, tag))]
         if not saved:
             raise KeyError(f"no snapshot {tag}")
-        number = self.head() + 1
-        self._record(
-            number,
-            [
-                (number, t, e["paths"], e["row_count"], e["schema_json"], run_ts, f"restore {tag}", None)
-                for t, e in saved.items()
-            ],
-        )
-        return number
-
-    def rewrite(self, tables: Sequence[str], run_ts: str, partition_by: dict[str, Sequence[str]] | None = None) -> int:
-        """M4: rewrite tables into one folder each; also merges the small files of many appends."""
+        change = self.begin(run_ts, f"restore {tag}")
+        declare = {}
+        for table in saved:
+            rows = self.read(table, tag)
+            change.replace(table, rows, expect_rows=self.rows(table, tag))
+            if rows.columns != self.read(table).columns:  # a migration came after the snapshot
+                declare[table] = (rows.schema, self.keys(table), ())
+        change.commit(declare)
+
+    def rewrite(self, tables: Sequence[str], run_ts: str) -> None:
+        """M4: each table in few large files; merges the small ones of many appends, partitioning stays."""
         change = self.begin(run_ts, "rewrite")
         for table in tables:
-            keys = list((partition_by or {}).get(table, ()))
-            rows = self.read(table)
+            rows, keys = self.rows_with_places(table).drop(BATCH), self.keys(table)
             rows = rows.hint("rebalance", *keys) if keys else rows.hint("rebalance")
-            change.replace(table, rows, partition_by=keys, expect_rows=self.rows(table))
-        return change.commit()
+            change.replace(table, rows, expect_rows=self.rows(table))
+        change.commit()
 
-    def migrate_column(self, table: str, name: str, value, after: str, run_ts: str) -> int:
-        """M5 on a stored table."""
+    def migrate_column(self, table: str, name: str, value, after: str, run_ts: str) -> None:
+        """M5 on a stored table: rewritten with the column, then the table is declared anew over the new files."""
         change = self.begin(run_ts, f"add {name}")
-        change.replace(table, add_column(self.read(table), name, value, after), expect_rows=self.rows(table))
-        return change.commit()
+        rows, keys = add_column(self.read(table), name, value, after), self.keys(table)
+        # Partition keys stand last in a table, whatever column the new one follows.
+        rows = rows.select(*[c for c in rows.columns if c not in keys], *[k for k in keys if k != BUCKET])
+        change.replace(table, rows, expect_rows=self.rows(table))
+        change.commit(declare={table: (rows.schema, keys, [*self.added_columns(table), name])})
 
-    def reset(self, table: str, run_ts: str) -> int:
+    def reset(self, table: str, run_ts: str) -> None:
         """An empty staged table; its rows stay in the history table."""
         change = self.begin(run_ts, f"reset {table}")
         change.clear(table)
-        return change.commit()
+        change.commit()
+
+    def expired_folders(self, table: str) -> list[str]:
+        """Batches below the table's folder that no table shows: what a clean-up may delete."""
+        shown = {b for t in self.spark.catalog.listTables(self.database) for b in self.batches(t.name)}
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{self.root}/{table}")
+        batch = F.regexp_extract("path", f"{BATCH}=([^/]+)", 1)
+        found = files.select(batch.alias("batch")).filter("batch <> ''").distinct().collect()
+        return sorted(r.batch for r in found if r.batch not in shown)
 
 
 class Change:
-    """New files of one run; ``commit`` makes all of them visible at once."""
+    """New files of one run; ``commit`` shows all of them."""
 
     def __init__(self, store: LedgerStore, run_ts: str, source: str):
         self.store, self.run_ts, self.source = store, run_ts, source
-        self.number = store.head() + 1
-        self.state = store.state()
-        self.touched: dict[str, dict] = {}
-
-    def _write(self, table: str, rows: DataFrame, partition_by: Sequence[str]) -> dict:
-        path = f"{table}/version={self.number:010d}"
-        # Only files of an attempt that never committed can be there.
-        writer = rows.write.mode("overwrite").format(self.store.fmt)
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.save(f"{self.store.root}/{path}")
-        entry = {"paths": [path], "schema_json": rows.schema.json(), "row_count": None}
-        # Counted from what was written, which needs the file footers only.
-        entry["row_count"] = self.store._frame(entry).count()
-        return entry
-
-    def _present(self, table: str) -> dict:
-        return self.touched.get(table) or self.state.get(table) or {"paths": [], "row_count": 0, "schema_json": None}
-
-    def append(self, table: str, rows: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        """K1, K4, K5: add rows by name; returns them as read back from the new files."""
-        present = self._present(table)
-        if present["schema_json"] and present["paths"]:
-            stored = StructType.fromJson(json.loads(present["schema_json"]))
-            if {(f.name, f.dataType) for f in stored} != {(f.name, f.dataType) for f in rows.schema}:
-                raise LedgerMismatch(f"columns of {table} differ from the appended ones")
-        entry = self._write(table, rows, partition_by)
-        self.touched[table] = {
-            **entry,
-            "paths": [*present["paths"], *entry["paths"]],
-            "row_count": present["row_count"] + entry["row_count"],
-        }
-        return self.store._frame(entry)
+        self.batch = uuid.uuid4().hex
+        self.added: dict[str, list[tuple[dict, str]]] = {}  # table -> (partition, folder)
+        self.dropped: dict[str, list[str]] = {}  # table -> partitions as SHOW PARTITIONS names them
+        self.written: dict[str, int] = {}
+        self.replaced_rows: dict[str, int] = {}
+        self.seen = {t.name: store.paths(t.name) for t in store.spark.catalog.listTables(store.database)}
+
+    def _write(self, table: str, rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[tuple[dict, str]]]:
+        """The rows as read back from their new folders, and the partitions these make."""
+        base = f"{self.store.root}/{table}"
+        bucketed = BUCKET in keys and BUCKET not in rows.columns
+        # Each bucket is written by one task or few, whatever partitions the rows come in.
+        placed = rows.withColumn(BUCKET, bucket_of()).hint("rebalance", BUCKET) if bucketed else rows
+        # The batch is the upper folder level, so that a batch is one folder.
+        folder = f"{base}/{BATCH}={self.batch}"
+        writer = placed.write.mode("errorifexists").format(self.store.fmt)
+        (writer.partitionBy(*keys) if keys else writer).save(folder)
+        back = self.store.spark.read.schema(placed.schema).format(self.store.fmt).load(folder)
+        if not keys:
+            return back, [({}, folder)]
+        # Months (six digits or a word), buckets and routes: plain folder names, and few of them in one run.
+        found = back.select(*keys).distinct().collect()
+        return back, [
+            (row.asDict(), "/".join([folder, *(f"{k}={row[k]}" for k in keys)])) for row in found
+        ]
+
+    def append(self, table: str, rows: DataFrame) -> DataFrame:
+        """K1, K4, K5: add rows by name; returns them as read back from the new files.
+
+        Columns that the table got by a migration and the rows do not have are NULL.
+        """
+        stored = self.store.read(table).schema
+        extra = set(rows.columns) - set(stored.names)
+        types = {f.name: f.dataType for f in stored}
+        if extra or any(types[f.name] != f.dataType for f in rows.schema):
+            raise LedgerMismatch(f"columns of {table} differ from the appended ones")
+        missing = [f for f in stored if f.name not in rows.columns]
+        added = self.store.added_columns(table) if missing else []
+        required = [f.name for f in missing if f.name not in added]
+        if required:
+            raise LedgerMismatch(f"columns of {table} differ from the appended ones: {', '.join(required)}")
+        full = rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}) if missing else rows
+        back, places = self._write(table, full.select(*stored.names), self.store.keys(table))
+        self.written[table] = back.count()
+        self.added[table] = places if self.written[table] else []
+        return back.drop(BUCKET)
 
     def replace(
-        self, table: str, rows: DataFrame, partition_by: Sequence[str] = (), expect_rows: int | None = None
+        self,
+        table: str,
+        rows: DataFrame,
+        expect_rows: int | None = None,
+        buckets: Iterable[int] | None = None,
     ) -> DataFrame:
-        """K3: a new version of a table; an unexpected number of rows stops the run."""
-        entry = self._write(table, rows, partition_by)
-        if expect_rows is not None and entry["row_count"] != expect_rows:
-            raise LedgerMismatch(f"{table}: {entry['row_count']} rows written, {expect_rows} expected")
-        self.touched[table] = entry
-        return self.store._frame(entry)
+        """K3, L1-L4: new rows of a table, or of some of its buckets; a wrong number of rows stops the run."""
+        keys = self.store.keys(table) if self.store.has(table) else []
+        back, places = self._write(table, rows, keys)
+        count = back.count()
+        if expect_rows is not None and count != expect_rows:
+            raise LedgerMismatch(f"{table}: {count} rows written, {expect_rows} expected")
+        old = self.seen.get(table, [])
+        if buckets is not None:
+            self.replaced_rows[table] = count if expect_rows is None else expect_rows
+            levels = {f"{BUCKET}={b}" for b in buckets}
+            old = [p for p in old if levels & set(p.split("/"))]
+        self.written[table], self.added[table], self.dropped[table] = count, places if count else [], old
+        return back.drop(BUCKET)
 
     def point(self, table: str, of: str) -> None:
         """Let ``table`` show only what this change appended to ``of``."""
-        entry = self.touched[of]
-        rows = entry["row_count"] - self.state.get(of, {"row_count": 0})["row_count"]
-        self.touched[table] = {**entry, "paths": entry["paths"][-1:], "row_count": rows}
+        self.added[table], self.written[table] = list(self.added[of]), self.written[of]
+        self.dropped[table] = self.seen.get(table, [])
 
     def clear(self, table: str) -> None:
-        self.touched[table] = {**self._present(table), "paths": [], "row_count": 0}
+        self.added[table], self.written[table], self.dropped[table] = [], 0, self.seen.get(table, [])
 
     def routed(
         self,
         accepted_table: str,
         rejected_table: str,
         rows: DataFrame,
-        accepted_columns: Sequence[str] | None = None,
-        rejected_columns: Sequence[str] | None = None,
+        accepted_columns: Sequence[str],
+        rejected_columns: Sequence[str],
     ) -> tuple[DataFrame, int, DataFrame, int]:
         """K3, K4: write both routes in one job and one pass over the join.
 
@@ -283,48 +300,67 @@ class Change:
         added.  Returns both routes with all columns, and their numbers of rows;
         the tables show the named columns.
         """
-        entry = self._write(accepted_table, rows, ["route"])
-        base = entry["paths"][0]
-        counts = {
-            row["route"]: row["count"] for row in self.store._frame(entry).groupBy("route").count().collect()
-        }
-        everything = rows.drop("route").schema
-
-        def part(route: str, columns: Sequence[str] | None) -> tuple[dict, DataFrame]:
-            n = counts.get(route, 0)
-            shown = StructType([everything[name] for name in columns]) if columns else everything
-            written = {"paths": [f"{base}/route={route}"] if n else [], "row_count": n}
-            return (
-                {**written, "schema_json": shown.json()},
-                self.store._frame({**written, "schema_json": everything.json()}),
-            )
-
-        accepted, accepted_rows = part("accepted", accepted_columns)
-        rejected, rejected_rows = part("rejected", rejected_columns)
-        before = self._present(rejected_table)
-        self.touched[accepted_table] = accepted
-        self.touched[rejected_table] = {
-            **rejected,
-            "paths": [*before["paths"], *rejected["paths"]],
-            "row_count": before["row_count"] + rejected["row_count"],
-        }
-        return accepted_rows, accepted["row_count"], rejected_rows, rejected["row_count"]
+        schema = rows.drop("route").schema
+        for table, columns in ((accepted_table, accepted_columns), (rejected_table, rejected_columns)):
+            if not self.store.has(table):
+                self.store.create_table(table, StructType([schema[name] for name in columns]))
+        back, places = self._write(f"{accepted_table}_routes", rows, ["route"])
+        counts = {r["route"]: r["count"] for r in back.groupBy("route").count().collect()}
+        folders = {place["route"]: folder for place, folder in places}
+
+        def part(route: str) -> tuple[DataFrame, int]:
+            return back.filter(F.col("route") == route).drop("route"), counts.get(route, 0)
+
+        for table, route in ((accepted_table, "accepted"), (rejected_table, "rejected")):
+            self.added[table] = [({}, folders[route])] if route in folders else []
+            self.written[table] = counts.get(route, 0)
+        self.dropped[accepted_table] = self.seen.get(accepted_table, [])
+        return *part("accepted"), *part("rejected")
 
     def count_before(self, table: str) -> int:
-        return self.state[table]["row_count"]
+        return self.store.rows(table)
 
     def count_after(self, table: str) -> int:
-        return self._present(table)["row_count"]
-
-    def commit(self) -> int:
-        self.store._record(
-            self.number,
-            [
-                (self.number, table, e["paths"], e["row_count"], e["schema_json"], self.run_ts, self.source, None)
-                for table, e in self.touched.items()
-            ],
-        )
-        return self.number
+        """The rows that the table will have: those it keeps and those written."""
+        if table not in self.written:
+            return self.store.rows(table)
+        if table in self.dropped and table not in self.replaced_rows:
+            return self.written[table]
+        return self.store.rows(table) - self.replaced_rows.get(table, 0) + self.written[table]
+
+    def commit(self, declare: dict[str, tuple[StructType, Sequence[str], Sequence[str]]] | None = None) -> None:
+        """Catalog statements only; before the first one, what is replaced must be as it was seen."""
+        for table, old in self.dropped.items():
+            now, whole = self.store.paths(table), table not in self.replaced_rows
+            if set(old) - set(now) or (whole and now != self.seen.get(table, [])):
+                raise LedgerMismatch(f"{table} was changed by another run")
+        sql, name = self.store.spark.sql, self.store.name
+        for table, (schema, keys, added) in (declare or {}).items():
+            sql(f"DROP TABLE {name(table)}")
+            self.store.create_table(table, schema, keys, added)
+        for table, places in self.added.items():
+            for start in range(0, len(places), 200):
+                parts = " ".join(
+                    "PARTITION ("
+                    + ", ".join(f"`{k}` = {_literal(v)}" for k, v in [*place.items(), (BATCH, self.batch)])
+                    + f") LOCATION '{folder}'"
+                    for place, folder in places[start : start + 200]
+                )
+                sql(f"ALTER TABLE {name(table)} ADD {parts}")
+        for table, old in self.dropped.items():
+            if old and table not in (declare or {}):
+                parts = ", ".join(f"PARTITION ({_spec(path)})" for path in old)
+                sql(f"ALTER TABLE {name(table)} DROP {parts}")
+
+
+def _copy_name(table: str, tag: str) -> str:
+    return f"{table}_on_{tag}"
+
+
+def _spec(path: str) -> str:
+    """A partition as SHOW PARTITIONS names it, for use in a statement."""
+    levels = (level.split("=", 1) for level in path.split("/"))
+    return ", ".join(f"`{key}` = {_literal(value)}" for key, value in levels)
 
 
 def add_column(rows: DataFrame, name: str, value, after: str) -> DataFrame:

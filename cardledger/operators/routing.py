@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardledger.functions import signed_amount, transaction_key
@@ -25,6 +25,7 @@ UNKNOWN_STATE = "unknown state"
 BAD_AMOUNT = "bad amount"
 IN_LEDGER = "already in ledger"
 IN_MASTER = "already in master"
+REPEATED = "repeated account"
 
 # Fixed values of the partner response: code, text and the accepted field values.
 RESPONSE_TEXTS = {
@@ -36,6 +37,8 @@ RESPONSE_TEXTS = {
     "05": "Type Non Valido",
     "06": "CausalCode Non Valido",
 }
+# The engine's own answer to a movement whose value is no number: it is not booked.
+BAD_AMOUNT_CODE, BAD_AMOUNT_TEXT = "07", "Value Non Valido"
 PARTNER_APPCODE = "CHP"
 PARTNER_COMPANY = "18200"
 MOVEMENT_TYPES = ("VC", "E")
@@ -110,14 +113,20 @@ def route_maintenance(staged: DataFrame, master: DataFrame) -> DataFrame:
 
 
 def route_enrolment(staged: DataFrame, master: DataFrame) -> DataFrame:
-    """Accepted when company, customer and account are not yet in the master.
+    """Accepted when company and account are not in the master and only once in the file.
 
-    Semi and anti join in one pass; a missing key part matches nothing, as in an anti join.
+    The customer is no part of the key: an account of two customers would book each of its
+    movements twice.  All rows of an account that a file brings more than once are
+    rejected, for nothing tells which is right.  A missing key part matches nothing, as in
+    an anti join.
     """
-    keys = ["product_company", "customer_number", "account_number"]
+    keys = ["product_company", "account_number"]
     known = master.select(*keys).distinct().withColumn("_known", F.lit(True))
-    matched = staged.join(known, keys, "left")
-    return _with_route(matched, F.when(F.col("_known"), IN_MASTER)).select(*staged.columns, "route", "reason")
+    counted = staged.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    matched = counted.join(known, keys, "left")
+    whole = F.col("product_company").isNotNull() & F.col("account_number").isNotNull()
+    reason = F.when(F.col("_known"), IN_MASTER).when(whole & (F.col("_rows") > 1), REPEATED)
+    return _with_route(matched, reason).select(*staged.columns, "route", "reason")
 
 
 def customers_of(master: DataFrame) -> DataFrame:
@@ -139,15 +148,12 @@ def route_saveback(feed: DataFrame, master: DataFrame, ledger: DataFrame, mark_r
     columns = list(feed.columns)
 
     def in_ledger(rows: DataFrame, ids: Column, key: str, flag: str) -> DataFrame:
-        # The ledger is far larger than a feed: its ids are cut down to those of
-        # the feed first, which needs no shuffle of the ledger when the feed's
-        # ids are few enough for Spark to broadcast.  The ids are long texts with
+        # One left join with the distinct booked ids.  The ids are long texts with
         # equal beginnings; a number ahead of them makes the sorts cheap.
         number = F.xxhash64(*customer, key).alias("_number")
         keys = ["_number", key, *customer]
+        known = ledger.select(*customer, ids.alias(key)).select("*", number).distinct()
         numbered = rows.withColumn("_number", number)
-        booked = ledger.select(*customer, ids.alias(key)).select("*", number)
-        known = booked.join(numbered.select(*keys).distinct(), keys, "left_semi").distinct()
         return numbered.join(known.withColumn(flag, F.lit(True)), keys, "left").drop("_number")
 
     matched = match_master(
@@ -183,22 +189,24 @@ def reject_union(*routed: DataFrame) -> DataFrame:
 def partner_response(routed: DataFrame) -> DataFrame:
     """One row per response code that applies to a movement, in one pass over the routed rows.
 
-    Codes 03-06 do not reject, so a row may carry 00 and 03; NULL breaches no
-    rule, and a row of unknown state gets neither 00 nor 02 (Q7).
+    Only a booked row is answered 00, and every row gets an answer: one of unknown state
+    counts as not active, one whose value is no number gets a code of its own.  Codes
+    03-06 do not reject, so a row may carry 00 and 03; NULL breaches no rule (Q7).
     """
     reason = F.coalesce("reason", F.lit(""))
     rules = {
-        "00": reason.isin("", BAD_AMOUNT),
+        "00": reason == "",
         "01": reason == UNKNOWN,
-        "02": reason == INACTIVE,
+        "02": reason.isin(INACTIVE, UNKNOWN_STATE),
         "03": F.col("appcode") != PARTNER_APPCODE,
         "04": F.col("product_company") != PARTNER_COMPANY,
         "05": ~F.col("transaction_type").isin(*MOVEMENT_TYPES),
         "06": ~F.col("causalcode").isin(*PARTNER_CAUSALS),
+        BAD_AMOUNT_CODE: reason == BAD_AMOUNT,
     }
     codes = F.array(*[F.when(rule, F.lit(code)) for code, rule in rules.items()])
     code = F.col("response_code")
     text = F.when(F.lit(False), F.lit(""))
-    for value, meaning in RESPONSE_TEXTS.items():
+    for value, meaning in (RESPONSE_TEXTS | {BAD_AMOUNT_CODE: BAD_AMOUNT_TEXT}).items():
         text = text.when(code == value, meaning)
     return routed.withColumn("response_code", F.explode(F.array_compact(codes))).withColumn("response_text", text)

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardledger import functions as cf
 from cardledger.operators import accounts, balances, control, decode, outputs, pivots, routing
-from cardledger.operators.ledgers import LedgerStore, add_column
-from cardledger.plans.feeds import TABLES, TRANSACTION_PARTITIONS
+from cardledger.operators.ledgers import LEDGERS, LedgerStore, add_column
+from cardledger.plans import feeds
+from cardledger.plans.feeds import KEYS, TABLES, TRANSACTION_PARTITIONS
 from cardledger.plans.stand_ins import view
 from cardledger.schemas import MOVEMENT_FIELDS, TRANSACTION
 from cardledger.session import scratch_folder, tune
@@ -49,7 +51,11 @@ def delimited_scan(spark, sf_dir):
     outputs.raw_lines(feed.select(*MOVEMENT_FIELDS)).write.text(folder)
     split = text.split_lines(text.scan_lines(spark, folder, latin1=False))
     rows = text.with_run_columns(text.well_formed(split), len("part-"), 5, RUN_TS)
-    return rows.drop("input_filename", "input_filename_timestamp")
+    # The rejects with their reason beside the rows: every line of the file is in the result.
+    # A part's name is Spark's own choice, so only its fixed beginning is compared.
+    named = rows.withColumn("input_filename", F.substring("input_filename", 1, len("part-")))
+    named = named.withColumn("input_filename_timestamp", F.length("input_filename_timestamp"))
+    return named.unionByName(text.malformed(split).select("line", "reason"), allowMissingColumns=True)
 
 
 @query
@@ -81,7 +87,7 @@ def stage_if_new(spark, sf_dir):
 @query
 def decode_points(spark, sf_dir):
     lines = view(spark, sf_dir, "fx_points_line")
-    rows = decode.with_header_value(decode.points_transactions(lines), decode.points_headers(lines))
+    rows = decode.with_header_value(decode.points_transactions(lines), decode.points_headers(lines), order="line_no")
     return decode.staged_points(rows, RUN_TS)
 
 
@@ -105,14 +111,16 @@ def decode_point_totals(spark, sf_dir):
 @query
 def decode_enrolment(spark, sf_dir):
     lines = view(spark, sf_dir, "fx_enrolment_line")
-    headers = decode.enrolment_headers(lines).withColumn("header_batch_id", F.col("batch_id"))
-    return decode.with_header_value(decode.enrolment_details(lines), headers, "header_batch_id")
+    headers = decode.enrolment_headers(lines, "line_no").withColumn("header_batch_id", F.col("batch_id"))
+    return decode.with_header_value(decode.enrolment_details(lines, "line_no"), headers, "header_batch_id", "line_no")
 
 
 @query
 def enrolment_counts(spark, sf_dir):
     lines = view(spark, sf_dir, "fx_enrolment_line")
-    return control.record_counts(decode.enrolment_headers(lines), decode.enrolment_details(lines))
+    return control.record_counts(
+        decode.enrolment_headers(lines, "line_no"), decode.enrolment_details(lines, "line_no")
+    )
 
 
 @query
@@ -265,7 +273,7 @@ def route_saveback(spark, sf_dir):
 
 
 def _partner(spark, sf_dir):
-    feed = view(spark, sf_dir, "fx_movement").withColumn("customer_number", F.col("account_number"))
+    feed = view(spark, sf_dir, "fx_partner").withColumn("customer_number", F.col("account_number"))
     return routing.route_partner(feed.drop("account_number"), view(spark, sf_dir, "fx_master"))
 
 
@@ -311,8 +319,9 @@ def balance_delta(spark, sf_dir):
 
 @query
 def balance_update(spark, sf_dir):
-    delta = balances.accepted_delta(view(spark, sf_dir, "fx_feed"), view(spark, sf_dir, "fx_master"))
-    return balances.balance_update(view(spark, sf_dir, "fx_balance"), delta)
+    routed = routing.route_points(view(spark, sf_dir, "fx_feed").drop("customer_number"), view(spark, sf_dir, "fx_master"))
+    moved = balances.movements(routing.accepted(routed))
+    return balances.balance_update(view(spark, sf_dir, "fx_balance"), balances.balance_delta(moved))
 
 
 @query
@@ -399,20 +408,20 @@ def _accepted_points(spark, sf_dir):
     return routing.accepted(routed).drop("account_number", "route", "reason")
 
 
-def _store(spark, label: str) -> LedgerStore:
-    return LedgerStore.create(spark, scratch_folder(spark, label), TABLES)
+def _store(spark, label: str, **more) -> LedgerStore:
+    return LedgerStore.create(spark, scratch_folder(spark, label), TABLES | more, partition_by=KEYS)
 
 
-def _append(store, table, rows, partition_by=()):
+def _append(store, table, rows):
     change = store.begin(RUN_TS, f"append {table}")
-    change.append(table, rows, partition_by)
+    change.append(table, rows)
     change.commit()
 
 
 def _appended_ledger(spark, sf_dir) -> LedgerStore:
     store = _store(spark, "append")
     for rows in (_booked_history(spark, sf_dir), _ledger_rows(_accepted_points(spark, sf_dir))):
-        _append(store, "l_transaction", _for_ledger(rows), TRANSACTION_PARTITIONS)
+        _append(store, "l_transaction", _for_ledger(rows))
     return store
 
 
@@ -434,19 +443,28 @@ def partner_lines(spark, sf_dir):
 
 @query
 def points_reconcile(spark, sf_dir):
-    amount = cf.signed_amount(F.col("sign"), F.col("value"))
-    summed = (
-        view(spark, sf_dir, "fx_feed").groupBy("account_number").agg(F.sum(amount).cast("bigint").alias("summed_total"))
-    )
-    return control.points_reconcile(view(spark, sf_dir, "fx_stated_total"), summed, ["account_number"])
+    lines = view(spark, sf_dir, "fx_points_record")
+    stated = control.stated_totals(decode.points_account_totals(lines), "line_no")
+    summed = control.summed_points(decode.points_transactions(lines))
+    return control.points_reconcile(stated, summed, ["programme", "account_number"])
 
 
 @query
 def feed_control(spark, sf_dir):
     feed = view(spark, sf_dir, "fx_movement")
-    routed = routing.route_points(feed, view(spark, sf_dir, "fx_master"))
-    moved = balances.movements(routing.accepted(routed))
-    ledger = _appended_ledger(spark, sf_dir)
+    store = _store(spark, "control")
+    _append(store, "l_transaction", _for_ledger(_booked_history(spark, sf_dir)))
+    before = store.rows("l_transaction")
+    change = store.begin(RUN_TS, "control")
+    shown = [c for c in feed.columns if c != "account_number"]
+    rows, _, rejects, _ = change.routed(
+        "i_control", "i_control_rejected", routing.route_points(feed, view(spark, sf_dir, "fx_master")), shown, [*shown, "reason"]
+    )
+    # One join, written once; everything below reads the two routes.
+    routed = rows.withColumn("route", F.lit(routing.ACCEPTED)).unionByName(rejects.withColumn("route", F.lit(routing.REJECTED)))
+    moved = balances.movements(rows.drop("account_number", "reason"))
+    change.append("l_transaction", _for_ledger(_ledger_rows(rows.drop("account_number", "reason"))))
+    change.commit()
     other = pivots.wrong_company_lines(decode.maintenance_details(view(spark, sf_dir, "fx_maintenance_line")))
 
     def counted(rows, name):
@@ -455,8 +473,8 @@ def feed_control(spark, sf_dir):
     singles = [
         control.route_counts(routed),
         control.unbalanced_movements(balances.balance_delta(moved), view(spark, sf_dir, "fx_balance")),
-        counted(_booked_history(spark, sf_dir), "ledger_before"),
-        counted(ledger.read("l_transaction"), "ledger_after"),
+        spark.range(1).select(F.lit(before).cast("bigint").alias("ledger_before")),
+        counted(store.read("l_transaction"), "ledger_after"),
         counted(other, "maintenance_lines_of_other_company"),
         moved.agg(
             F.coalesce(F.sum(outputs.values_with_delimiter(outputs.transaction_file(moved))), F.lit(0)).alias(
@@ -471,6 +489,128 @@ def feed_control(spark, sf_dir):
     return result
 
 
+# ---- whole feeds -------------------------------------------------------------
+
+# Files are folders of parts here; the four letters that all part names begin with stand for the timestamp.
+FILE_TS = "part"
+
+
+def _fed(spark, sf_dir, feed: str, lines, history=None, **write) -> LedgerStore:
+    """A store with master and balances after a run of ``feed`` over the lines, written as a file first."""
+    store = _store(spark, f"feed-{feed}")
+    balance = (
+        view(spark, sf_dir, "fx_balance")
+        .withColumns({"customer_company": F.col("product_company"), "elaboration_ts": F.lit(RUN_TS)})
+        .select(*TABLES["l_balance"].names)
+    )
+    change = store.begin(RUN_TS, "fill")
+    change.append("l_anag", view(spark, sf_dir, "fx_anag"))
+    change.append("l_balance", balance)
+    if history is not None:
+        change.append("l_transaction", _for_ledger(history))
+    change.commit()
+    folder = scratch_folder(spark, f"in-{feed}")
+    lines.write.options(**write).text(folder)
+    source = feeds.InputFile(folder, f"{feed}.txt", FILE_TS, 0)
+    feeds.run(store, feed, source, scratch_folder(spark, f"out-{feed}"), RUN_TS)
+    return store
+
+
+FED_COLUMNS = (
+    "product_company",
+    "customer_number",
+    "transaction_id",
+    "transaction_date",
+    "loyalty_program_cod",
+    "transaction_value",
+    "value",
+    "balance_extrabonus",
+    "balance_virtualcredit",
+    "line",
+    "reason",
+)
+
+
+ACCOUNT_COLUMNS = (
+    "product_company",
+    "customer_number",
+    "account_number",
+    "account_status",
+    "balance_extrabonus",
+    "balance_virtualcredit",
+    "reason",
+)
+
+
+def _fed_rows(store: LedgerStore, feed: str, columns=FED_COLUMNS, ledger="l_transaction"):
+    """What the run left: balances, ledger, both routes, rejected lines; and no staged rows."""
+    sides = []
+    for table in ("l_balance", ledger, f"i_{feed}", f"i_{feed}_rejected", "rejected_lines", f"e_{feed}"):
+        rows = store.read(table)
+        shown = [
+            (F.col(c).cast("string") if c in rows.columns else F.lit(None).cast("string")).alias(c) for c in columns
+        ]
+        sides.append(rows.select(F.lit(table.replace(feed, "feed")).alias("table_name"), *shown))
+    return reduce(DataFrame.unionByName, sides)
+
+
+@query
+def feed_points(spark, sf_dir):
+    header = view(spark, sf_dir, "fx_points_line").filter("line_no = -1 AND input_filename = 'POINTS_0.txt'").select("line")
+    lines = header.unionByName(view(spark, sf_dir, "fx_fixed").select("line"))
+    latin1 = lines.select(F.encode("line", "ISO-8859-1").cast("string").alias("value"))
+    return _fed_rows(_fed(spark, sf_dir, "points", latin1, lineSep="\r\n"), "points")
+
+
+def _movement_lines(rows):
+    return outputs.raw_lines(rows.select(*MOVEMENT_FIELDS))
+
+
+@query
+def feed_partner(spark, sf_dir):
+    rows = view(spark, sf_dir, "fx_partner").withColumn("customer_number", F.col("account_number"))
+    return _fed_rows(_fed(spark, sf_dir, "partner", _movement_lines(rows)), "partner")
+
+
+@query
+def feed_saveback(spark, sf_dir):
+    rows = view(spark, sf_dir, "fx_movement")
+    booked = rows.filter(F.col("transaction_id").cast("bigint") % 3 == 0).drop("account_number")
+    history = _ledger_rows(booked.withColumn("input_filename_timestamp", F.lit(FILE_TS)))
+    return _fed_rows(_fed(spark, sf_dir, "saveback", _movement_lines(rows), history), "saveback")
+
+
+def _one_file(lines):
+    """A partner's file is one file: attributes of an account are gathered within it."""
+    return lines.repartition(1).sortWithinPartitions("line_no").select(F.encode("line", "ISO-8859-1").cast("string").alias("value"))
+
+
+@query
+def feed_enrolment(spark, sf_dir):
+    lines = view(spark, sf_dir, "fx_enrolment_line").filter("input_filename <> 'ENROL_9.txt'")
+    # One header: the others become lines that no account has.
+    lines = lines.filter("line_no >= 0 OR input_filename = 'ENROL_0.txt'")
+    store = _fed(spark, sf_dir, "enrolment", _one_file(lines), lineSep="\r\n")
+    return _fed_rows(store, "enrolment", ACCOUNT_COLUMNS, "l_anag")
+
+
+@query
+def feed_maintenance(spark, sf_dir):
+    store = _fed(spark, sf_dir, "maintenance", _one_file(view(spark, sf_dir, "fx_maintenance_line")))
+    return _fed_rows(store, "maintenance", ACCOUNT_COLUMNS, "l_anag")
+
+
+@query
+def decoded_load(spark, sf_dir):
+    store = _store(spark, "decoded")
+    folder = scratch_folder(spark, "decoded-lines")
+    rows = view(spark, sf_dir, "fx_movement").select(*TABLES["e_partner"].names)
+    outputs.raw_lines(rows).write.text(folder)
+    feeds.load_decoded(store, "partner", folder, RUN_TS)
+    wrong = store.read("rejected_lines").select("line", "reason")
+    return store.read("e_partner").unionByName(wrong, allowMissingColumns=True)
+
+
 # ---- table maintenance -----------------------------------------------------
 
 
@@ -483,10 +623,7 @@ def feed_reset(spark, sf_dir):
     change.point("e_partner", of="p_partner")
     change.commit()
     store.reset("e_partner", RUN_TS)
-    sides = [
-        store.read(t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
-        for t in ("e_partner", "p_partner")
-    ]
+    sides = [store.read(t).select(F.lit(t).alias("table_name"), "*") for t in ("e_partner", "p_partner")]
     return sides[0].unionByName(sides[1])
 
 
@@ -501,43 +638,67 @@ def _filled_store(spark, sf_dir, label) -> LedgerStore:
     change.append("l_anag", view(spark, sf_dir, "fx_anag"))
     change.append("l_balance", balance)
     movements = _ledger_rows(view(spark, sf_dir, "fx_movement").drop("account_number"))
-    change.append("l_transaction", _for_ledger(movements), TRANSACTION_PARTITIONS)
+    change.append("l_transaction", _for_ledger(movements))
     change.commit()
     return store
 
 
-def _zeroed(store: LedgerStore) -> None:
-    change = store.begin(RUN_TS, "zero")
-    rows = balances.balance_zero_all(store.read("l_balance"), "balance_extrabonus")
-    change.replace("l_balance", rows, expect_rows=store.rows("l_balance"))
+def _damaged(store: LedgerStore) -> None:
+    """Real changes to all three ledgers: balances to 0, half of the master gone, a month's movements twice."""
+    change = store.begin(RUN_TS, "damage")
+    change.replace("l_balance", balances.balance_zero_all(store.read("l_balance"), "balance_extrabonus"))
+    change.replace("l_anag", store.read("l_anag").filter(F.col("account_number").cast("bigint") % 2 == 0))
+    change.append("l_transaction", store.read("l_transaction"))
     change.commit()
 
 
+def _ledger_sides(store: LedgerStore, tag: str | None = None):
+    """The three ledgers side by side, so that every row counts."""
+    sides = [store.read(t, tag).select(F.lit(t).alias("table_name"), "*") for t in LEDGERS[:3]]
+    shown = [
+        side.select(
+            "table_name",
+            *[F.col(c).cast("string") for c in SNAPSHOT_COLUMNS if c in side.columns],
+        )
+        for side in sides
+    ]
+    return shown[0].unionByName(shown[1], True).unionByName(shown[2], True)
+
+
+SNAPSHOT_COLUMNS = (
+    "product_company",
+    "customer_number",
+    "account_number",
+    "account_status",
+    "balance_extrabonus",
+    "balance_virtualcredit",
+    "transaction_id",
+    "transaction_date",
+    "value",
+)
+
+
 @query
 def ledger_snapshot(spark, sf_dir):
     store = _filled_store(spark, sf_dir, "snapshot")
     store.snapshot("20240202", RUN_TS)
-    _zeroed(store)
-    sides = [
-        store.read(t, "20240202").agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
-        for t in ("l_anag", "l_balance", "l_transaction")
-    ]
-    return sides[0].unionByName(sides[1]).unionByName(sides[2])
+    _damaged(store)
+    return _ledger_sides(store, "20240202")
 
 
 @query
 def ledger_restore(spark, sf_dir):
     store = _filled_store(spark, sf_dir, "restore")
     store.snapshot("20240202", RUN_TS)
-    _zeroed(store)
+    _damaged(store)
     store.restore("20240202", RUN_TS)
-    return store.read("l_balance")
+    return _ledger_sides(store)
 
 
 @query
 def table_rewrite(spark, sf_dir):
-    store = _store(spark, "rewrite")
     feed = view(spark, sf_dir, "fx_feed")
+    store = _store(spark, "rewrite", p_feed=feed.schema)
     plus = F.col("sign") == "+"
     _append(store, "p_feed", feed.filter(plus))
     _append(store, "p_feed", feed.filter(~plus))
@@ -547,8 +708,9 @@ def table_rewrite(spark, sf_dir):
 
 @query
 def table_column(spark, sf_dir):
-    store = _store(spark, "column")
-    _append(store, "p_feed", view(spark, sf_dir, "fx_feed"))
+    feed = view(spark, sf_dir, "fx_feed")
+    store = _store(spark, "column", p_feed=feed.schema)
+    _append(store, "p_feed", feed)
     store.migrate_column("p_feed", "transaction_value", 0, "transaction_date", RUN_TS)
     return store.read("p_feed")
 

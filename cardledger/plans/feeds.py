@@ -9,6 +9,7 @@ rows (counts, one header, file names) reach the driver.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation
@@ -23,9 +24,10 @@ from cardledger.operators.control import (
     stated_totals,
     summed_points,
 )
-from cardledger.operators.ledgers import Change, LedgerMismatch, LedgerStore
+from cardledger.operators.ledgers import BATCH, BUCKET, Change, LedgerMismatch, LedgerStore, bucket_of
 from cardledger.schemas import (
     BALANCE,
+    BOOKED_BATCHES,
     LOADED_FILES,
     MASTER,
     REJECTED_LINES,
@@ -45,6 +47,7 @@ TABLES = {
     "l_anag": MASTER,
     "l_balance": BALANCE,
     "l_transaction": StructType([*TRANSACTION.fields, StructField("transaction_month", StringType())]),
+    "l_booked": BOOKED_BATCHES,
     "loaded_files": LOADED_FILES,
     "rejected_lines": REJECTED_LINES,
     **{f"{role}_enrolment": STAGED_ENROLMENT for role in "ep"},
@@ -56,6 +59,7 @@ TABLES = {
 # Nearly all rows belong to one product company, so the month alone is the level
 # by which readers can skip files; a run appends to the few months of its feed.
 TRANSACTION_PARTITIONS = ("transaction_month",)
+KEYS = {"l_transaction": TRANSACTION_PARTITIONS, "l_anag": (BUCKET,), "l_balance": (BUCKET,)}
 
 
 @dataclass
@@ -70,14 +74,18 @@ class InputFile:
 
 @dataclass
 class Booking:
-    """What a run did: control totals and the folders it wrote for delivery."""
+    """What a run did: control totals and the folders it wrote for delivery.
+
+    Documents wait until the ledgers are committed; they are made from the written routes.
+    """
 
     totals: dict = field(default_factory=dict)
     documents: list[str] = field(default_factory=list)
+    waiting: list[Callable[[], None]] = field(default_factory=list)
 
 
 def create_store(spark, root: str, fmt: str = "parquet") -> LedgerStore:
-    return LedgerStore.create(tune(spark), root, TABLES, fmt)
+    return LedgerStore.create(tune(spark), root, TABLES, fmt, KEYS)
 
 
 def next_file(
@@ -158,7 +166,7 @@ def read_enrolment(store: LedgerStore, source: InputFile, run_ts: str) -> bool:
     if _loaded_before(store, "enrolment", "input_filename", source.name):
         return False
     lines = text.single_backslashes(_lines(store, source, latin1=True))
-    header = decode.enrolment_headers(lines).first()
+    header = decode.enrolment_headers(lines).first()  # of the one file: its first line or nothing
     if header is None or _loaded_before(store, "enrolment", "internallog_ts", header["batch_id"]):
         return _skip(store, "enrolment", source, run_ts)
     pivoted = pivots.pivot_enrolment(decode.enrolment_details(lines))
@@ -173,7 +181,7 @@ def read_points(store: LedgerStore, source: InputFile, run_ts: str, causal: str
     if _loaded_before(store, "points", "input_filename", source.name):
         return False
     lines = text.single_backslashes(_lines(store, source, latin1=True))
-    header = decode.points_headers(lines).first()
+    header = decode.first_headers(decode.points_headers(lines), "internallog_ts").first()
     batch = header["internallog_ts"] if header else ""
     if batch and _loaded_before(store, "points", "internallog_ts", batch):
         return _skip(store, "points", source, run_ts)
@@ -232,9 +240,23 @@ def check_file(store: LedgerStore, feed: str, source: InputFile) -> DataFrame:
 
 
 def load_decoded(store: LedgerStore, feed: str, path: str, run_ts: str) -> int:
-    """A folder of already decoded lines becomes the staged table; returns its rows."""
+    """A folder of already decoded lines becomes the staged table; returns its rows.
+
+    Lines that are no row of the table go to ``rejected_lines`` with the reason.
+    """
     change = store.begin(run_ts, f"load {feed}")
-    change.replace(f"e_{feed}", load_decoded_folder(store.spark, path, TABLES[f"e_{feed}"]))
+    rows, wrong = load_decoded_folder(store.spark, path, TABLES[f"e_{feed}"])
+    change.replace(f"e_{feed}", rows)
+    change.append("rejected_lines", conform(wrong.withColumn("elaboration_ts", F.lit(run_ts)), REJECTED_LINES))
+    change.commit()
+    return store.rows(f"e_{feed}")
+
+
+def restage(store: LedgerStore, feed: str, batch: str, run_ts: str) -> int:
+    """A batch of the history is staged again, for booking after a restore; returns its rows."""
+    change = store.begin(run_ts, f"restage {feed}")
+    change.batch = batch
+    change.replace(f"e_{feed}", store.rows_with_places(f"p_{feed}").filter(F.col(BATCH) == batch).drop(BATCH))
     change.commit()
     return store.rows(f"e_{feed}")
 
@@ -244,41 +266,37 @@ def load_decoded(store: LedgerStore, feed: str, path: str, run_ts: str) -> int:
 
 def _open_change(store: LedgerStore, feed: str, run_ts: str) -> Change | None:
     """A change for the staged batch; None when nothing is staged, an error when it was booked before."""
-    batch = store.paths(f"e_{feed}")
+    batch = store.batches(f"e_{feed}")
     if not batch:
         return None
-    source = f"book {batch[0]}"
-    if store.applied(source):
+    source = f"book {feed} {batch[0]}"
+    if store.booked(source):
         raise LedgerMismatch(f"the staged batch {batch[0]} is booked already")
     return store.begin(run_ts, source)
 
 
-# A feed with less than one row per so many master rows cuts the master down first.
-MASTER_PER_ROW = 10
-
+def _document(booking: Booking, rows: DataFrame, folder: str, name: str, ordered: bool = False) -> None:
+    path = f"{folder.rstrip('/')}/{name}"
 
-def _master_for(store: LedgerStore, feed: str, staged: DataFrame, keys: dict[str, str]) -> DataFrame:
-    """The master, or for a small feed only the rows its keys can meet.
+    def write() -> None:
+        if ordered:
+            outputs.write_sorted_document(rows, path)
+        else:
+            booking.totals["delimiters_replaced"] = outputs.write_document(rows, path)
+        booking.documents.append(path)
 
-    The semi join filters the master where it is read when Spark can broadcast
-    the feed's distinct keys; the large master is then not shuffled.
-    """
-    master = store.read("l_anag")
-    if store.rows(f"e_{feed}") * MASTER_PER_ROW > store.rows("l_anag"):
-        return master
-    wanted = staged.select(*[F.col(ours).alias(theirs) for ours, theirs in keys.items()]).distinct()
-    return master.join(wanted, list(keys.values()), "left_semi").select(*master.columns)
+    booking.waiting.append(write)
 
 
-BY_ACCOUNT = {"product_company": "product_company", "account_number": "account_number"}
-BY_CUSTOMER = {"product_company": "product_company", "customer_number": "customer_number"}
-PARTNER_ACCOUNT = {"product_company": "product_company", "customer_number": "account_number"}
+def _touched(rows: DataFrame) -> list[int]:
+    """The buckets of the customers of some rows: at most ``BUCKETS`` numbers."""
+    return [r[BUCKET] for r in rows.select(bucket_of().alias(BUCKET)).distinct().collect()]
 
 
-def _document(booking: Booking, rows: DataFrame, folder: str, name: str) -> None:
-    path = f"{folder.rstrip('/')}/{name}"
-    booking.totals["delimiters_replaced"] = outputs.write_document(rows, path)
-    booking.documents.append(path)
+def _rewritten(change: Change, table: str, buckets: list[int], update: Callable[[DataFrame], DataFrame]) -> None:
+    """Rewrite the touched buckets of a table; all others keep their files."""
+    old = change.store.rows_with_places(table).filter(F.col(BUCKET).isin(buckets)).drop(BATCH, BUCKET)
+    change.replace(table, update(old), expect_rows=old.count(), buckets=buckets)
 
 
 def _book_movements(
@@ -293,11 +311,7 @@ def _book_movements(
     delta = balances.balance_delta(rows, from_partner).persist()
     booking.totals["customers_moved"] = delta.count()
     matched = Observation()
-    change.replace(
-        "l_balance",
-        balances.balance_update(change.store.read("l_balance"), delta, matched),
-        expect_rows=change.count_before("l_balance"),
-    )
+    _rewritten(change, "l_balance", _touched(delta), lambda old: balances.balance_update(old, delta, matched))
     delta.unpersist()
     booking.totals["movements_without_balance"] = booking.totals["rows_accepted"] - matched.get["movements"]
     booked = outputs.with_partner_units(rows) if from_partner else rows
@@ -305,18 +319,22 @@ def _book_movements(
         "transaction_month", outputs.transaction_month(F.col("transaction_date"))
     )
     # Rebalancing keeps files large and cuts a month that holds most rows.
-    change.append(
-        "l_transaction", ledger.hint("rebalance", *TRANSACTION_PARTITIONS), partition_by=TRANSACTION_PARTITIONS
-    )
+    change.append("l_transaction", ledger.hint("rebalance", *TRANSACTION_PARTITIONS))
     return booked
 
 
 def _finish(change: Change, booking: Booking, feed: str, ledger: str, read: int, added: int) -> Booking:
     booking.totals |= {"feed": feed, "rows_read": read}
     booking.totals |= ledger_check(change.count_before(ledger), added, change.count_after(ledger))
+    if read != booking.totals["rows_accepted"] + booking.totals["rows_rejected"]:
+        raise LedgerMismatch(f"{feed}: rows were lost or multiplied, is an account twice in the master? {booking.totals}")
     if not booking.totals["ledger_agrees"]:
         raise LedgerMismatch(f"{ledger}: {booking.totals}")
+    booked = change.store.spark.createDataFrame([(feed, change.source, change.run_ts)], BOOKED_BATCHES)
+    change.append("l_booked", booked.coalesce(1))
     change.commit()
+    for write in booking.waiting:
+        write()
     return booking
 
 
@@ -336,7 +354,7 @@ def book_points(store: LedgerStore, folder: str, run_ts: str, file_prefix: str =
         return None
     booking = Booking()
     staged = store.read("e_points")
-    routed = routing.route_points(staged, _master_for(store, "points", staged, BY_ACCOUNT))
+    routed = routing.route_points(staged, store.read("l_anag"))
     rows, accepted, _ = _routed(change, "points", routed, booking)
     if accepted:
         moved = balances.movements(rows)
@@ -353,12 +371,11 @@ def book_partner(store: LedgerStore, folder: str, run_ts: str, file_prefix: str
         return None
     booking = Booking()
     staged = store.read("e_partner")
-    routed = routing.route_partner(staged, _master_for(store, "partner", staged, PARTNER_ACCOUNT))
+    routed = routing.route_partner(staged, store.read("l_anag"))
     rows, accepted, rejects = _routed(change, "partner", routed, booking)
     response = routing.partner_response(rows.unionByName(rejects))
     name = staged.agg(F.min(outputs.response_file_name(F.col("input_filename"))).alias("name")).first()["name"]
-    outputs.write_sorted_document(outputs.response_file(response), f"{folder.rstrip('/')}/{name}")
-    booking.documents.append(f"{folder.rstrip('/')}/{name}")
+    _document(booking, outputs.response_file(response), folder, name, ordered=True)
     if accepted:
         moved = balances.movements(rows)
         booked = _book_movements(change, moved, booking, outputs.PARTNER_PROGRAMME, from_partner=True)
@@ -367,20 +384,14 @@ def book_partner(store: LedgerStore, folder: str, run_ts: str, file_prefix: str
     return _finish(change, booking, "partner", "l_transaction", store.rows("e_partner"), accepted)
 
 
-# Months of one feed file up to which the ledger is read by partition.
-PRUNED_MONTHS = 1200
-
-
 def _ledger_months(store: LedgerStore, staged: DataFrame) -> DataFrame:
     """The part of the transaction ledger that can hold repeats of the staged rows.
 
-    A repeat carries the same transaction date, so only the partitions of the
-    feed's own months are read; a feed with more months than the bound reads all.
+    A repeat carries the same transaction date; the semi join lets Spark prune the
+    ledger's month partitions by those of the feed.
     """
-    ledger = store.read("l_transaction")
-    month = outputs.transaction_month(F.col("transaction_date")).alias("month")
-    months = [r["month"] for r in staged.select(month).distinct().limit(PRUNED_MONTHS + 1).collect()]
-    return ledger.filter(F.col("transaction_month").isin(months)) if len(months) <= PRUNED_MONTHS else ledger
+    month = outputs.transaction_month(F.col("transaction_date")).alias("transaction_month")
+    return store.read("l_transaction").join(staged.select(month).distinct(), "transaction_month", "left_semi")
 
 
 def book_saveback(store: LedgerStore, folder: str, run_ts: str) -> Booking | None:
@@ -390,8 +401,7 @@ def book_saveback(store: LedgerStore, folder: str, run_ts: str) -> Booking | Non
         return None
     booking = Booking()
     staged = store.read("e_saveback")
-    master = _master_for(store, "saveback", staged, BY_CUSTOMER)
-    routed = routing.route_saveback(staged, master, _ledger_months(store, staged))
+    routed = routing.route_saveback(staged, store.read("l_anag"), _ledger_months(store, staged))
     rows, accepted, _ = _routed(change, "saveback", routed, booking)
     if accepted:
         moved = balances.movements(rows)
@@ -406,7 +416,7 @@ def book_enrolment(store: LedgerStore, folder: str, run_ts: str, file_prefix: st
         return None
     booking = Booking()
     staged = store.read("e_enrolment")
-    routed = routing.route_enrolment(staged, _master_for(store, "enrolment", staged, BY_ACCOUNT))
+    routed = routing.route_enrolment(staged, store.read("l_anag"))
     rows, accepted, _ = _routed(change, "enrolment", routed, booking)
     added = 0
     if accepted:
@@ -430,7 +440,7 @@ def book_maintenance(store: LedgerStore, folder: str, run_ts: str, file_prefix:
         return None
     booking = Booking()
     staged = store.read("e_maintenance")
-    routed = routing.route_maintenance(staged, _master_for(store, "maintenance", staged, BY_ACCOUNT))
+    routed = routing.route_maintenance(staged, store.read("l_anag"))
     rows, accepted, _ = _routed(
         change, "maintenance", routed, booking, ("customer_name_an", "customer_surname_an", "taxid_number")
     )
@@ -442,11 +452,12 @@ def book_maintenance(store: LedgerStore, folder: str, run_ts: str, file_prefix:
         closing = accounts.closing_customers(acting).persist()
         booking.totals["customers_closed"] = closing.count()
         if booking.totals["customers_closed"]:
-            for table, closed in (
-                ("l_balance", balances.balance_close(store.read("l_balance"), closing)),
-                ("l_anag", accounts.account_disable(store.read("l_anag"), closing)),
-            ):
-                change.replace(table, closed, expect_rows=change.count_before(table))
+            buckets = _touched(closing)
+            # Closing also turns every missing balance into 0 (Q20), so their buckets are touched too.
+            missing = store.rows_with_places("l_balance").filter("balance_extrabonus IS NULL OR balance_virtualcredit IS NULL")
+            without = {r[BUCKET] for r in missing.select(BUCKET).distinct().collect()}
+            _rewritten(change, "l_balance", sorted({*buckets, *without}), lambda old: balances.balance_close(old, closing))
+            _rewritten(change, "l_anag", buckets, lambda old: accounts.account_disable(old, closing))
         closing.unpersist()
         acting.unpersist()
     return _finish(change, booking, "maintenance", "l_anag", store.rows("e_maintenance"), 0)

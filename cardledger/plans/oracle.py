@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cardledger.functions.currency import currency_pairs
+from cardledger.functions.currency import CURRENCIES
 from cardledger.plans.catalogue import RUN_TS
 from cardledger.plans.stand_ins import with_views
 from cardledger.schemas import ACTION_FILE, ENROLMENT_ALIASES, MAINTENANCE_DETAIL
@@ -26,8 +26,14 @@ FROM fx_feed ORDER BY input_filename LIMIT 1"""
 
 SQL["delimited_scan"] = f"""
 SELECT appcode, product_company, customer_number, transaction_id, transaction_date, transaction_type, sign, currency,
-       value, causal, causalcode, '{RUN_TS}' AS elaboration_ts, internallog_ts
-FROM fx_movement WHERE causal NOT LIKE '%;%'"""
+       value, causal, causalcode, 'part-' AS input_filename, CAST(5 AS INTEGER) AS input_filename_timestamp,
+       '{RUN_TS}' AS elaboration_ts, internallog_ts, CAST(NULL AS VARCHAR) AS line, CAST(NULL AS VARCHAR) AS reason
+FROM fx_movement WHERE causal NOT LIKE '%;%'
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+       concat_ws(';', appcode, product_company, customer_number, transaction_id, transaction_date, transaction_type, sign,
+                 currency, value, causal, causalcode, internallog_ts), 'field count'
+FROM fx_movement WHERE causal LIKE '%;%'"""
 
 SQL["fixed_width_scan"] = "SELECT line FROM fx_fixed"
 
@@ -96,12 +102,21 @@ SELECT '20240101120000' AS issuer_batch_id, concat('IBR', CAST(line_no % 100 AS
        key_id AS key_of_function, key_type, alias_id, value,
        concat('ENROL_', CAST(line_no % 3 AS VARCHAR), '.txt') AS input_filename, line_no,
        '2024010' || CAST(line_no % 3 + 1 AS VARCHAR) || '120000' AS header_batch_id
-FROM fx_attribute"""
+FROM fx_attribute
+UNION ALL
+SELECT '20240101 H2024', 'LATE', 'LATEHEADER', 'P', 'LATE', 'A', 'LATE', 'no header', 'ENROL_0.txt', max(line_no) + 1,
+       '20240101120000'
+FROM fx_attribute
+UNION ALL
+SELECT '20240101120000', 'IBR', 'NOHEADER', 'P', key_id, 'A', alias_id, 'no header', 'ENROL_9.txt', line_no, NULL
+FROM fx_attribute WHERE line_no % 50 = 1"""
 
 SQL["enrolment_counts"] = """
 SELECT concat('ENROL_', CAST(line_no % 3 AS VARCHAR), '.txt') AS input_filename, count(*) AS lines_stated,
-       count(*) AS lines_read, true AS counts_agree
-FROM fx_attribute GROUP BY line_no % 3"""
+       count(*) + CASE WHEN line_no % 3 = 0 THEN 1 ELSE 0 END AS lines_read, line_no % 3 <> 0 AS counts_agree
+FROM fx_attribute GROUP BY line_no % 3
+UNION ALL
+SELECT 'ENROL_9.txt', NULL, count(*), false FROM fx_attribute WHERE line_no % 50 = 1"""
 
 SQL["decode_maintenance"] = f"""
 SELECT {_pieces(MAINTENANCE_DETAIL)}, input_filename, input_filename_timestamp, line_no,
@@ -124,7 +139,7 @@ FROM fx_date"""
 SQL["currency_lookup"] = """
 SELECT c.o_orderkey, c.currency_number, coalesce(t.code, 'EUR') AS currency_code
 FROM fx_currency c LEFT JOIN (VALUES {}) t(number, code) ON c.currency_number = t.number""".format(
-    ", ".join(f"('{n}', '{c}')" for n, c in currency_pairs())
+    ", ".join(f"('{n}', '{c}')" for n, c in CURRENCIES.items())
 )
 
 SQL["name_split"] = """
@@ -238,13 +253,18 @@ FROM pivoted p LEFT JOIN fx_anag m ON m.product_company = '18200' AND m.account_
 
 _IN_MASTER = (
     "EXISTS (SELECT 1 FROM fx_master m WHERE m.product_company = f.product_company "
-    "AND m.customer_number = f.customer_number AND m.account_number = f.account_number)"
+    "AND m.account_number = f.account_number)"
+)
+
+_ENROLMENT_REASON = (
+    f"CASE WHEN {_IN_MASTER} THEN 'already in master' WHEN (SELECT count(*) FROM fx_enrolled g WHERE "
+    "g.product_company = f.product_company AND g.account_number = f.account_number) > 1 THEN 'repeated account' END"
 )
 
 SQL["route_enrolment"] = f"""
 SELECT product_company, customer_number, account_number,
-       CASE WHEN known THEN 'rejected' ELSE 'accepted' END AS route, CASE WHEN known THEN 'already in master' END AS reason
-FROM (SELECT f.*, {_IN_MASTER} AS known FROM fx_enrolled f) k"""
+       CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS route, reason
+FROM (SELECT f.*, {_ENROLMENT_REASON} AS reason FROM fx_enrolled f) k"""
 
 _SAVEBACK = f"""
   SELECT f.transaction_id, f.product_company, f.customer_number,
@@ -261,13 +281,15 @@ _SAVEBACK = f"""
 SQL["route_saveback"] = f"SELECT *, {_ROUTE} FROM ({_SAVEBACK}) r"
 
 _CODES = f"""
-  SELECT f.*, m.account_number AS found, m.is_customer_number_active AS active
-  FROM fx_movement f LEFT JOIN {_BY_ACCOUNT}"""
+  SELECT f.*, m.account_number AS found, m.is_customer_number_active AS active,
+         TRY_CAST(f.value AS DECIMAL(18,3)) AS amount
+  FROM fx_partner f LEFT JOIN {_BY_ACCOUNT}"""
 
 _CODE_RULES = [
-    ("00", "Elaborato Con Successo", "found IS NOT NULL AND active"),
+    ("00", "Elaborato Con Successo", "found IS NOT NULL AND active AND amount IS NOT NULL"),
     ("01", "CustomerNumber Inesistente", "found IS NULL"),
-    ("02", "CustomerNumber Non Attivo", "found IS NOT NULL AND NOT active"),
+    ("02", "CustomerNumber Non Attivo", "found IS NOT NULL AND active IS NOT TRUE"),
+    ("07", "Value Non Valido", "found IS NOT NULL AND active AND amount IS NULL"),
     ("03", "ApplicationCode Non Valido", "appcode <> 'CHP'"),
     ("04", "ClientNumber Non Valido", "product_company <> '18200'"),
     ("05", "Type Non Valido", "transaction_type NOT IN ('VC', 'E')"),
@@ -287,9 +309,13 @@ SELECT DISTINCT substring(input_filename, 1, 30) || '_SIAResponse.csv' AS respon
 SQL["reject_union"] = f"""
 WITH by_account AS (SELECT f.transaction_id, {_reason("m.account_number", "m.is_customer_number_active")} AS reason
                     FROM fx_feed f LEFT JOIN {_BY_ACCOUNT}),
+     by_partner AS (SELECT transaction_id, CASE WHEN reason IS NULL AND amount IS NULL THEN 'bad amount' ELSE reason END AS reason
+                    FROM (SELECT f.transaction_id, TRY_CAST(f.value AS DECIMAL(18,3)) AS amount,
+                                 {_reason("m.account_number", "m.is_customer_number_active")} AS reason
+                          FROM fx_partner f LEFT JOIN {_BY_ACCOUNT}) p),
      by_customer AS ({_SAVEBACK})
 SELECT 'points' AS feed, transaction_id, reason FROM by_account WHERE reason IS NOT NULL
-UNION ALL SELECT 'partner', transaction_id, reason FROM by_account WHERE reason IS NOT NULL
+UNION ALL SELECT 'partner', transaction_id, reason FROM by_partner WHERE reason IS NOT NULL
 UNION ALL SELECT 'saveback', transaction_id, reason FROM by_customer WHERE reason IS NOT NULL"""
 
 SQL["distinct_rows"] = "SELECT DISTINCT account_number, plastic_status_old, plastic_status_new FROM fx_transition"
@@ -399,7 +425,7 @@ SELECT DISTINCT product_company AS customer_company, product_company, customer_n
        CAST(0 AS DECIMAL(18,3)) AS balance_extrabonus, CAST(0 AS DECIMAL(18,3)) AS balance_virtualcredit,
        '{RUN_TS}' AS elaboration_ts
 FROM fx_enrolled f
-WHERE NOT {_IN_MASTER} AND NOT EXISTS (SELECT 1 FROM fx_balance b
+WHERE {_ENROLMENT_REASON} IS NULL AND NOT EXISTS (SELECT 1 FROM fx_balance b
       WHERE b.product_company = f.product_company AND b.customer_number = f.customer_number)"""
 
 _LEDGER_COLUMNS = f"""f.loyalty_program_cod, {_LEDGER_ID} AS transaction_id, f.transaction_date,
@@ -423,12 +449,14 @@ SELECT concat_ws(';', f.appcode, f.product_company, f.customer_number, {_LEDGER_
                  replace(f.causal, ';', ' '), f.causalcode, f.elaboration_ts) AS line
 FROM fx_movement f"""
 
-SQL["points_reconcile"] = """
-SELECT coalesce(s.account_number, t.account_number) AS account_number, t.stated_total, s.summed_total,
-       coalesce(t.stated_total, 0) - coalesce(s.summed_total, 0) AS difference
-FROM (SELECT account_number, CAST(sum(CAST(concat(sign, value) AS BIGINT)) AS BIGINT) AS summed_total
-      FROM fx_feed GROUP BY account_number) s
-FULL JOIN fx_stated_total t ON s.account_number = t.account_number"""
+SQL["points_reconcile"] = f"""
+SELECT 'PGM01' AS programme, coalesce(s.account_number, t.account_number) AS account_number, t.stated_total, s.summed_total,
+       CAST(coalesce(t.stated_total, 0) - coalesce(s.summed_total, 0) AS BIGINT) AS difference
+FROM (SELECT substring(line, 43, 23) AS account_number,
+             CAST(sum(CAST({_sign("substring(line, 131, 15)")} || {_points_text("substring(line, 131, 15)")} AS BIGINT)) AS BIGINT) AS summed_total
+      FROM fx_fixed GROUP BY 1) s
+FULL JOIN (SELECT account_number, CASE WHEN CAST(account_number AS BIGINT) % 10 = 0 THEN 7 ELSE stated_total END AS stated_total
+           FROM fx_stated_total) t ON s.account_number = t.account_number"""
 
 SQL["feed_control"] = f"""
 WITH routed AS (SELECT f.product_company, f.causal, m.customer_number,
@@ -445,21 +473,173 @@ UNION ALL SELECT 'ledger_after', (SELECT count(*) FROM fx_history) + (SELECT cou
 UNION ALL SELECT 'maintenance_lines_of_other_company', count(*) FROM fx_eav WHERE line_no % 19 = 0
 UNION ALL SELECT 'delimiters_replaced', count(*) FROM routed WHERE reason IS NULL AND causal LIKE '%;%'"""
 
+# ---- whole feeds -------------------------------------------------------------
+
+
+def _fed(staged: str, credit: str, bonus: str, routes: str, ledger: str, more: str = "") -> str:
+    """What a run leaves, from its staged rows with customer (``found``), ``amount`` and ``reason``.
+
+    ``credit`` and ``bonus`` are what a row adds to a balance; ``routes`` and ``ledger`` list the seven
+    columns that the route tables and the ledger show; ``more`` adds rows of other tables.
+    """
+    nothing = ", ".join(["NULL"] * 3)
+    return f"""
+WITH staged AS ({staged}),
+moved AS (SELECT product_company, found, sum({credit}) AS credit, sum({bonus}) AS bonus
+          FROM staged WHERE reason IS NULL GROUP BY product_company, found)
+SELECT 'l_balance' AS table_name, b.product_company, b.customer_number, CAST(NULL AS VARCHAR) AS transaction_id,
+       CAST(NULL AS VARCHAR) AS transaction_date, CAST(NULL AS VARCHAR) AS loyalty_program_cod,
+       CAST(NULL AS VARCHAR) AS transaction_value, CAST(NULL AS VARCHAR) AS value,
+       CAST(CAST(b.balance_extrabonus + coalesce(m.bonus, 0) AS DECIMAL(18,3)) AS VARCHAR) AS balance_extrabonus,
+       CAST(CAST(b.balance_virtualcredit + coalesce(m.credit, 0) AS DECIMAL(18,3)) AS VARCHAR) AS balance_virtualcredit,
+       CAST(NULL AS VARCHAR) AS line, CAST(NULL AS VARCHAR) AS reason
+FROM fx_balance b LEFT JOIN moved m ON b.product_company = m.product_company AND b.customer_number = m.found
+UNION ALL SELECT 'i_feed', {routes}, {nothing}, NULL FROM staged WHERE reason IS NULL
+UNION ALL SELECT 'i_feed_rejected', {routes}, {nothing}, reason FROM staged WHERE reason IS NOT NULL
+UNION ALL SELECT 'l_transaction', {ledger}, {nothing}, NULL FROM staged WHERE reason IS NULL
+{more}"""
+
+
+def _feed_reason(active: str, found: str, booked: str = "false") -> str:
+    return (
+        f"CASE WHEN {found} IS NULL THEN 'unknown account' WHEN {active} IS NULL THEN 'unknown state' "
+        f"WHEN NOT {active} THEN 'inactive' WHEN TRY_CAST(concat(sign, value) AS DECIMAL(18,3)) IS NULL THEN 'bad amount' "
+        f"WHEN {booked} THEN 'already in ledger' END AS reason"
+    )
+
+
+def _feed_id(appcode: str = "appcode") -> str:
+    return f"{appcode} || transaction_id || '_' || transaction_date || '_part'"
+
+
+_MONEY = "CAST(CAST({} AS DECIMAL(18,{})) AS VARCHAR)"
+
+SQL["feed_points"] = _fed(
+    f"""SELECT p.*, m.customer_number AS found, CAST(sign || value AS DECIMAL(18,3)) AS amount,
+               {_feed_reason("m.is_customer_number_active", "m.account_number")}
+        FROM ({SQL["decode_points"]}) p LEFT JOIN fx_master m
+             ON p.product_company = m.product_company AND p.account_number = m.account_number""",
+    "amount",
+    "0",
+    "product_company, NULL, transaction_id, transaction_date, loyalty_program_cod, "
+    "CAST(transaction_value AS VARCHAR), value",
+    f"product_company, found, {_feed_id()}, transaction_date, loyalty_program_cod, "
+    f"{_MONEY.format('transaction_value', 2)}, {_MONEY.format('value', 3)}",
+)
+
+_BAD_LINES = """UNION ALL SELECT 'rejected_lines', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+    concat_ws(';', appcode, product_company, {customer}, transaction_id, transaction_date, transaction_type, sign,
+              currency, value, causal, causalcode, internallog_ts), 'field count'
+FROM {table} WHERE causal LIKE '%;%'"""
+
+SQL["feed_partner"] = _fed(
+    f"""SELECT f.*, m.customer_number AS found, TRY_CAST(concat(sign, value) AS DECIMAL(18,3)) AS amount,
+               TRY_CAST(value AS BIGINT) AS sent, {_feed_reason("m.is_customer_number_active", "m.account_number")}
+        FROM (SELECT * FROM fx_partner WHERE causal NOT LIKE '%;%') f LEFT JOIN {_BY_ACCOUNT}""",
+    "CASE WHEN transaction_type = 'VC' THEN amount * 0.001 ELSE 0 END",
+    "CASE WHEN transaction_type = 'E' THEN amount ELSE 0 END",
+    "product_company, account_number, transaction_id, transaction_date, NULL, NULL, value",
+    f"product_company, found, {_feed_id()}, transaction_date, '0', "
+    + _MONEY.format("CASE WHEN transaction_type = 'VC' THEN sent // 10 ELSE sent * 100 END", 2)
+    + ", "
+    + _MONEY.format("CASE WHEN transaction_type = 'VC' THEN sent // 1000 ELSE sent * 100 END", 3),
+    _BAD_LINES.format(table="fx_partner", customer="account_number"),
+)
+
+SQL["feed_saveback"] = _fed(
+    f"""SELECT f.*, c.customer_number AS found, CAST(concat(sign, value) AS DECIMAL(18,3)) AS amount,
+               {_feed_reason("c.active", "c.customer_number", "CAST(transaction_id AS BIGINT) % 3 = 0")}
+        FROM (SELECT * FROM fx_movement WHERE causal NOT LIKE '%;%') f
+        LEFT JOIN (SELECT product_company, customer_number, bool_or(is_customer_number_active) AS active
+                   FROM fx_master GROUP BY product_company, customer_number) c
+             ON f.product_company = c.product_company AND f.customer_number = c.customer_number""",
+    "CASE WHEN transaction_type = 'VC' THEN amount ELSE 0 END",
+    "CASE WHEN transaction_type = 'E' THEN amount ELSE 0 END",
+    "product_company, customer_number, transaction_id, transaction_date, NULL, NULL, value",
+    f"product_company, found, {_feed_id()}, transaction_date, '', '0.00', {_MONEY.format('value', 3)}",
+    _BAD_LINES.format(table="fx_movement", customer="customer_number")
+    + f"""
+UNION ALL SELECT 'l_transaction', product_company, customer_number, {_feed_id()}, transaction_date, loyalty_program_cod,
+    {_MONEY.format("transaction_value", 2)}, {_MONEY.format("value", 3)}, NULL, NULL, NULL, NULL
+FROM fx_movement WHERE CAST(transaction_id AS BIGINT) % 3 = 0""",
+)
+
+SQL["feed_enrolment"] = f"""
+WITH wide AS ({SQL["pivot_enrolment"]}),
+staged AS (SELECT product_company, customer_number, account_number,
+                  CASE WHEN EXISTS (SELECT 1 FROM fx_master m WHERE m.product_company = w.product_company
+                                    AND m.account_number = w.account_number) THEN 'already in master'
+                       WHEN count(*) OVER (PARTITION BY product_company, account_number) > 1 THEN 'repeated account' END AS reason
+           FROM wide w)
+SELECT 'l_anag' AS table_name, product_company, customer_number, account_number, account_status,
+       CAST(NULL AS VARCHAR) AS balance_extrabonus, CAST(NULL AS VARCHAR) AS balance_virtualcredit, CAST(NULL AS VARCHAR) AS reason
+FROM fx_anag
+UNION ALL SELECT 'l_anag', product_company, customer_number, account_number, '', NULL, NULL, NULL FROM staged WHERE reason IS NULL
+UNION ALL SELECT 'i_feed', product_company, customer_number, account_number, '', NULL, NULL, NULL FROM staged WHERE reason IS NULL
+UNION ALL SELECT 'i_feed_rejected', product_company, customer_number, account_number, '', NULL, NULL, reason
+FROM staged WHERE reason IS NOT NULL
+UNION ALL SELECT 'l_balance', product_company, customer_number, NULL, NULL, CAST(balance_extrabonus AS VARCHAR),
+       CAST(balance_virtualcredit AS VARCHAR), NULL FROM fx_balance
+UNION ALL SELECT DISTINCT 'l_balance', product_company, customer_number, NULL, NULL, '0.000', '0.000', NULL
+FROM staged s WHERE reason IS NULL AND NOT EXISTS (SELECT 1 FROM fx_balance b
+     WHERE b.product_company = s.product_company AND b.customer_number = s.customer_number)"""
+
+SQL["feed_maintenance"] = f"""
+WITH pivoted AS ({_PIVOTED}),
+routed AS (SELECT p.*, m.customer_number AS found, {_RULE} AS action_rule
+           FROM pivoted p LEFT JOIN fx_anag m ON m.product_company = '18200' AND m.account_number = p.key_id),
+closing AS (SELECT found, min(plastic_status_new) AS status FROM routed WHERE found IS NOT NULL AND action_rule = 2 GROUP BY found),
+zero AS (SELECT count(*) > 0 AS any_closed FROM closing)
+SELECT 'l_anag' AS table_name, a.product_company, a.customer_number, a.account_number,
+       coalesce(c.status, a.account_status) AS account_status,
+       CAST(NULL AS VARCHAR) AS balance_extrabonus, CAST(NULL AS VARCHAR) AS balance_virtualcredit, CAST(NULL AS VARCHAR) AS reason
+FROM fx_anag a LEFT JOIN closing c ON a.product_company = '18200' AND a.customer_number = c.found
+UNION ALL
+SELECT 'l_balance', b.product_company, b.customer_number, NULL, NULL,
+       CAST(CASE WHEN c.found IS NOT NULL THEN CAST(0 AS DECIMAL(18,3)) WHEN any_closed THEN coalesce(balance_extrabonus, 0)
+                 ELSE balance_extrabonus END AS VARCHAR),
+       CAST(CASE WHEN c.found IS NOT NULL THEN CAST(0 AS DECIMAL(18,3)) WHEN any_closed THEN coalesce(balance_virtualcredit, 0)
+                 ELSE balance_virtualcredit END AS VARCHAR), NULL
+FROM fx_balance b LEFT JOIN closing c ON b.product_company = '18200' AND b.customer_number = c.found CROSS JOIN zero
+UNION ALL SELECT 'i_feed', '18200', found, key_id, '', NULL, NULL, NULL FROM routed WHERE found IS NOT NULL
+UNION ALL SELECT 'i_feed_rejected', '18200', NULL, key_id, '', NULL, NULL, 'unknown account' FROM routed WHERE found IS NULL"""
+
+SQL["decoded_load"] = """
+SELECT appcode, product_company, customer_number, transaction_id, transaction_date, transaction_type, sign, currency, value,
+       causal, causalcode, input_filename, input_filename_timestamp, elaboration_ts, internallog_ts,
+       CAST(NULL AS VARCHAR) AS line, CAST(NULL AS VARCHAR) AS reason
+FROM fx_movement WHERE causal NOT LIKE '%;%'
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+       concat_ws(';', appcode, product_company, customer_number, transaction_id, transaction_date, transaction_type, sign,
+                 currency, value, causal, causalcode, input_filename, input_filename_timestamp, elaboration_ts,
+                 internallog_ts), 'field count'
+FROM fx_movement WHERE causal LIKE '%;%'"""
+
 # ---- table maintenance -----------------------------------------------------
 
 SQL["feed_reset"] = """
-SELECT 'e_partner' AS table_name, CAST(0 AS BIGINT) AS row_count
-UNION ALL SELECT 'p_partner', count(*) FROM fx_movement"""
+SELECT 'p_partner' AS table_name, appcode, product_company, customer_number, transaction_id, transaction_date,
+       transaction_type, sign, currency, value, causal, causalcode, input_filename, input_filename_timestamp,
+       elaboration_ts, internallog_ts
+FROM fx_movement"""
 
-SQL["ledger_snapshot"] = """
-SELECT 'l_anag' AS table_name, count(*) AS row_count FROM fx_anag
-UNION ALL SELECT 'l_balance', count(*) FROM fx_balance
-UNION ALL SELECT 'l_transaction', count(*) FROM fx_movement"""
+_LEDGERS = f"""
+SELECT 'l_anag' AS table_name, product_company, customer_number, account_number, account_status,
+       CAST(NULL AS VARCHAR) AS balance_extrabonus, CAST(NULL AS VARCHAR) AS balance_virtualcredit,
+       CAST(NULL AS VARCHAR) AS transaction_id, CAST(NULL AS VARCHAR) AS transaction_date, CAST(NULL AS VARCHAR) AS value
+FROM fx_anag
+UNION ALL
+SELECT 'l_balance', product_company, customer_number, NULL, NULL, CAST(balance_extrabonus AS VARCHAR),
+       CAST(balance_virtualcredit AS VARCHAR), NULL, NULL, NULL
+FROM fx_balance
+UNION ALL
+SELECT 'l_transaction', f.product_company, f.customer_number, NULL, NULL, NULL, NULL, {_LEDGER_ID}, f.transaction_date,
+       CAST(CAST(f.value AS DECIMAL(18,3)) AS VARCHAR)
+FROM fx_movement f"""
 
-SQL["ledger_restore"] = f"""
-SELECT product_company AS customer_company, product_company, customer_number, balance_extrabonus, balance_virtualcredit,
-       '{RUN_TS}' AS elaboration_ts
-FROM fx_balance"""
+SQL["ledger_snapshot"] = _LEDGERS
+SQL["ledger_restore"] = _LEDGERS
 
 SQL["table_rewrite"] = "SELECT * FROM fx_feed"
 

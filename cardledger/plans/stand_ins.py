@@ -99,6 +99,14 @@ SELECT appcode, product_company, customer_number, account_number, transaction_id
        concat('2024010', CAST(CAST(transaction_id AS BIGINT) % 7 + 1 AS STRING), '0000000') AS internallog_ts
 FROM fx_feed"""
 
+# Partner movements of which every 17th has a value that is no number.
+VIEWS["fx_partner"] = """
+SELECT appcode, product_company, customer_number, account_number, transaction_id, transaction_date, loyalty_program_cod,
+       transaction_value, transaction_type, sign, currency,
+       CASE WHEN CAST(transaction_id AS BIGINT) % 17 = 0 THEN 'n/a' ELSE value END AS value,
+       causal, causalcode, input_filename, input_filename_timestamp, elaboration_ts, internallog_ts
+FROM fx_movement"""
+
 # Load log by name and by header timestamp: files 0 and 3 by name, file 5 by its timestamp.
 VIEWS["fx_loaded_log"] = """
 SELECT input_filename, CAST(NULL AS STRING) AS internallog_ts FROM fx_loaded
@@ -133,7 +141,10 @@ VIEWS["fx_enrolled"] = """
 SELECT DISTINCT product_company,
        CASE WHEN CAST(account_number AS BIGINT) % 20 = 0 THEN concat('9', substring(customer_number, 2, 14)) ELSE customer_number END AS customer_number,
        account_number
-FROM fx_feed"""
+FROM fx_feed
+UNION ALL
+SELECT DISTINCT product_company, concat('8', substring(customer_number, 2, 14)) AS customer_number, account_number
+FROM fx_feed WHERE CAST(account_number AS BIGINT) % 40 = 0"""
 
 # Enrolment lines, one attribute per line; 21 known attributes and two unknown ones.
 VIEWS["fx_attribute"] = """
@@ -170,7 +181,17 @@ SELECT concat('ENROL_', CAST(line_no % 3 AS STRING), '.txt') AS input_filename,
        concat('ISSUER001', 'H', rpad('SENDER', 9, ' '), '2024010', CAST(line_no % 3 + 1 AS STRING), '120000',
               lpad(CAST(count(*) AS STRING), 9, '0'), rpad('', 34, ' '), 'SND01', 'CMP01', 'OWN01', 'OWN02', 'OWN03',
               '000000001', 'HEADER ') AS line
-FROM fx_attribute GROUP BY line_no % 3"""
+FROM fx_attribute GROUP BY line_no % 3
+UNION ALL
+SELECT 'ENROL_0.txt' AS input_filename, max(line_no) + 1 AS line_no,
+       concat('20240101 H2024', rpad('LATE', 11, ' '), rpad('LATEHEADER', 10, ' '), 'P', rpad('LATE', 23, ' '), 'A',
+              rpad('LATE', 8, ' '), rpad('no header', 132, ' ')) AS line
+FROM fx_attribute
+UNION ALL
+SELECT 'ENROL_9.txt' AS input_filename, line_no,
+       concat('20240101120000', rpad('IBR', 11, ' '), rpad('NOHEADER', 10, ' '), 'P', rpad(key_id, 23, ' '), 'A',
+              rpad(alias_id, 8, ' '), rpad('no header', 132, ' ')) AS line
+FROM fx_attribute WHERE line_no % 50 = 1"""
 
 # The maintenance lines in the fixed-width layout; every 19th line names another company.
 VIEWS["fx_maintenance_line"] = """
@@ -203,6 +224,16 @@ SELECT 'POINTS_0.txt' AS input_filename, '20240110000000' AS input_filename_time
        concat('99', CAST(o_orderkey AS STRING)) AS line
 FROM orders WHERE o_orderkey % 50 = 0"""
 
+# The points lines with a second total record for every tenth account; the last one of an account counts.
+VIEWS["fx_points_record"] = """
+SELECT input_filename, line_no, line FROM fx_points_line
+UNION ALL
+SELECT 'POINTS_0.txt' AS input_filename, CAST(account_number AS BIGINT) + 1000000000 AS line_no,
+       concat('18', '18200', rpad('', 15, ' '), 'PGM01', rpad('', 15, ' '), account_number, '1240101', '1251231',
+              rpad('', 118, ' '), '1240131', '0991231', lpad('0', 15, '0'), lpad('7', 13, '0'), '0', 'à',
+              lpad('0', 45, '0'), lpad('0', 15, '0'), lpad('0', 15, '0'), rpad('', 15, ' '), 'N') AS line
+FROM fx_stated_total WHERE CAST(account_number AS BIGINT) % 10 = 0"""
+
 # Order dates in both encodings, with a few that are none.
 VIEWS["fx_date"] = """
 SELECT o_orderkey,

@@ -118,32 +118,84 @@ ENROLMENT_ALIASES = {
 
 # ---- stored tables --------------------------------------------------------
 
-RUN_COLUMNS = "input_filename input_filename_timestamp elaboration_ts internallog_ts"
+# ---- stored tables and files (fixed values: names and order are agreed with the partners) ----
 
 
-def text_table(names: str, **typed: DataType) -> StructType:
+def text_table(names: list[str], **typed: DataType) -> StructType:
     """A schema of text columns, but for those given a type."""
-    return StructType([StructField(name, typed.get(name, StringType())) for name in names.split()])
+    return StructType([StructField(name, typed.get(name, StringType())) for name in names])
 
 
 MASTER = text_table(
-    "appcode issuer_id customer_company product_company customer_number account_number "
-    "is_customer_number_active is_account_number_active customer_status account_status "
-    "customer_name customer_surname customer_address customer_city customer_state zip country_cod "
-    "date_birth home_tel work_tel taxid_number document_type city_birth gender nationality email " + RUN_COLUMNS,
+    [
+        "appcode",
+        "issuer_id",
+        "customer_company",
+        "product_company",
+        "customer_number",
+        "account_number",
+        "is_customer_number_active",
+        "is_account_number_active",
+        "customer_status",
+        "account_status",
+        "customer_name",
+        "customer_surname",
+        "customer_address",
+        "customer_city",
+        "customer_state",
+        "zip",
+        "country_cod",
+        "date_birth",
+        "home_tel",
+        "work_tel",
+        "taxid_number",
+        "document_type",
+        "city_birth",
+        "gender",
+        "nationality",
+        "email",
+        "input_filename",
+        "input_filename_timestamp",
+        "elaboration_ts",
+        "internallog_ts",
+    ],
     is_customer_number_active=BooleanType(),
     is_account_number_active=BooleanType(),
 )
 
 BALANCE = text_table(
-    "customer_company product_company customer_number balance_extrabonus balance_virtualcredit elaboration_ts",
+    [
+        "customer_company",
+        "product_company",
+        "customer_number",
+        "balance_extrabonus",
+        "balance_virtualcredit",
+        "elaboration_ts",
+    ],
     balance_extrabonus=DecimalType(18, 3),
     balance_virtualcredit=DecimalType(18, 3),
 )
 
 TRANSACTION = text_table(
-    "appcode product_company customer_number loyalty_program_cod transaction_id transaction_date "
-    "transaction_value transaction_type sign currency value causal causalcode " + RUN_COLUMNS,
+    [
+        "appcode",
+        "product_company",
+        "customer_number",
+        "loyalty_program_cod",
+        "transaction_id",
+        "transaction_date",
+        "transaction_value",
+        "transaction_type",
+        "sign",
+        "currency",
+        "value",
+        "causal",
+        "causalcode",
+        "input_filename",
+        "input_filename_timestamp",
+        "elaboration_ts",
+        "internallog_ts",
+    ],
     transaction_value=DecimalType(18, 2),
     value=DecimalType(18, 3),
 )
@@ -152,44 +204,160 @@ TRANSACTION = text_table(
 STAGED_ENROLMENT = MASTER
 
 STAGED_POINTS = text_table(
-    "appcode product_company account_number loyalty_program_cod transaction_id transaction_date "
-    "transaction_value transaction_type sign currency value causal causalcode " + RUN_COLUMNS,
+    [
+        "appcode",
+        "product_company",
+        "account_number",
+        "loyalty_program_cod",
+        "transaction_id",
+        "transaction_date",
+        "transaction_value",
+        "transaction_type",
+        "sign",
+        "currency",
+        "value",
+        "causal",
+        "causalcode",
+        "input_filename",
+        "input_filename_timestamp",
+        "elaboration_ts",
+        "internallog_ts",
+    ],
     transaction_value=DecimalType(15, 2),
 )
 
 STAGED_MAINTENANCE = text_table(
-    "appcode product_company keytype customer_number account_number customer_status account_status "
-    + RUN_COLUMNS
-    + " plastic_status_old plastic_status_new cup_old cup_new livrea_old livrea_new dealer_old dealer_new "
-    "convenzione_old convenzione_new"
+    [
+        "appcode",
+        "product_company",
+        "keytype",
+        "customer_number",
+        "account_number",
+        "customer_status",
+        "account_status",
+        "input_filename",
+        "input_filename_timestamp",
+        "elaboration_ts",
+        "internallog_ts",
+        "plastic_status_old",
+        "plastic_status_new",
+        "cup_old",
+        "cup_new",
+        "livrea_old",
+        "livrea_new",
+        "dealer_old",
+        "dealer_new",
+        "convenzione_old",
+        "convenzione_new",
+    ],
 )
 
 # The twelve fields of a partner or save-back line, in line order.
-MOVEMENT_FIELDS = (
-    "appcode product_company customer_number transaction_id transaction_date transaction_type sign "
-    "currency value causal causalcode internallog_ts"
-).split()
-
-STAGED_MOVEMENT = text_table(" ".join(MOVEMENT_FIELDS[:11]) + " " + RUN_COLUMNS)
-
-LOADED_FILES = text_table("feed input_filename internallog_ts elaboration_ts")
+MOVEMENT_FIELDS = [
+    "appcode",
+    "product_company",
+    "customer_number",
+    "transaction_id",
+    "transaction_date",
+    "transaction_type",
+    "sign",
+    "currency",
+    "value",
+    "causal",
+    "causalcode",
+    "internallog_ts",
+]
+
+STAGED_MOVEMENT = text_table(
+    [
+        "appcode",
+        "product_company",
+        "customer_number",
+        "transaction_id",
+        "transaction_date",
+        "transaction_type",
+        "sign",
+        "currency",
+        "value",
+        "causal",
+        "causalcode",
+        "input_filename",
+        "input_filename_timestamp",
+        "elaboration_ts",
+        "internallog_ts",
+    ],
+)
 
-REJECTED_LINES = text_table("line reason input_filename elaboration_ts")
+# Tables of the engine's own: load log, booked batches, lines that are no rows.
+LOADED_FILES = text_table(["feed", "input_filename", "internallog_ts", "elaboration_ts"])
+BOOKED_BATCHES = text_table(["feed", "source", "elaboration_ts"])
+REJECTED_LINES = text_table(["line", "reason", "input_filename", "elaboration_ts"])
 
 # Fields of the two partner files and of the response file, in file order.
-ACTION_FILE = (
-    "appcode product_company customer_number cup livrea convenzione dealer plastic_type customer_name "
-    "customer_surname customer_address customer_city customer_state zip country_cod date_birth home_tel "
-    "work_tel taxid_number city_birth gender nationality email data actionid action_anagrafica "
-    "action_bonus action_extrabonus elaboration_ts"
-).split()
-
-TRANSACTION_FILE = (
-    "appcode product_company customer_number transaction_id transaction_date transaction_value "
-    "transaction_type sign currency value causal causalcode elaboration_ts"
-).split()
-
-RESPONSE_FILE = MOVEMENT_FIELDS[:11] + ["input_filename_timestamp", "response_code", "response_text"]
+ACTION_FILE = [
+    "appcode",
+    "product_company",
+    "customer_number",
+    "cup",
+    "livrea",
+    "convenzione",
+    "dealer",
+    "plastic_type",
+    "customer_name",
+    "customer_surname",
+    "customer_address",
+    "customer_city",
+    "customer_state",
+    "zip",
+    "country_cod",
+    "date_birth",
+    "home_tel",
+    "work_tel",
+    "taxid_number",
+    "city_birth",
+    "gender",
+    "nationality",
+    "email",
+    "data",
+    "actionid",
+    "action_anagrafica",
+    "action_bonus",
+    "action_extrabonus",
+    "elaboration_ts",
+]
+
+TRANSACTION_FILE = [
+    "appcode",
+    "product_company",
+    "customer_number",
+    "transaction_id",
+    "transaction_date",
+    "transaction_value",
+    "transaction_type",
+    "sign",
+    "currency",
+    "value",
+    "causal",
+    "causalcode",
+    "elaboration_ts",
+]
+
+RESPONSE_FILE = [
+    "appcode",
+    "product_company",
+    "customer_number",
+    "transaction_id",
+    "transaction_date",
+    "transaction_type",
+    "sign",
+    "currency",
+    "value",
+    "causal",
+    "causalcode",
+    "input_filename_timestamp",
+    "response_code",
+    "response_text",
+]
 
 
 def conform(rows: DataFrame, schema: StructType) -> DataFrame:

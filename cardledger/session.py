@@ -1,11 +1,11 @@
-"""Session settings, scratch folder, run timestamp and size-checked broadcast."""
+"""Session settings, scratch folder and run timestamp."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 # One card account, customer or input file can own a third of a feed.  Every
@@ -23,10 +23,6 @@ ADAPTIVE_SETTINGS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "32m",
 }
 
-# Rows up to which a side without size statistics goes to every executor; the
-# widest such side has about 200 bytes a row.
-BROADCAST_ROWS = 10_000
-
 
 def tune(spark: SparkSession) -> SparkSession:
     """Switch on the adaptive features the plans count on."""
@@ -60,15 +56,3 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     return f"{root.rstrip('/')}/cardledger-{uuid.uuid4().hex}/{label}"
-
-
-def broadcast_if_small(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``side`` as a broadcast table when it has at most ``max_rows`` rows, else for a shuffle join.
-
-    Meant for control data: headers, file names.  The check fetches no more
-    than ``max_rows + 1`` rows and keeps them, so a small side is computed once.
-    """
-    fetched = side.limit(max_rows + 1).toArrow()
-    if fetched.num_rows > max_rows:
-        return side
-    return F.broadcast(side.sparkSession.createDataFrame(fetched, side.schema))

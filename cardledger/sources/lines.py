@@ -34,10 +34,10 @@ def single_backslashes(lines: DataFrame) -> DataFrame:
     return lines.withColumn("line", F.replace(F.col("line"), F.lit("\\\\"), F.lit("\\")))
 
 
-def split_lines(lines: DataFrame, delimiter: str = ";") -> DataFrame:
-    """S3: fields of every delimited line, no quoting; lines with fewer than two fields are dropped."""
-    pattern = "\\" + delimiter
-    return lines.withColumn("fields", F.split("line", pattern, -1)).filter(F.size("fields") > 1)
+def split_lines(lines: DataFrame, delimiter: str = ";", keep_short: bool = False) -> DataFrame:
+    """S3: fields of every delimited line, no quoting; lines with fewer than two fields are dropped unless kept."""
+    split = lines.withColumn("fields", F.split("line", "\\" + delimiter, -1))
+    return split if keep_short else split.filter(F.size("fields") > 1)
 
 
 def well_formed(split: DataFrame, names: Sequence[str] = MOVEMENT_FIELDS) -> DataFrame:

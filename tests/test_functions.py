@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cardledger import functions as cf
 from cardledger.functions.amounts import NEGATIVE_SIGNS, POSITIVE_SIGNS
-from cardledger.functions.currency import currency_pairs, with_currency
+from cardledger.functions.currency import CURRENCIES, with_currency
 
 
 def column(spark, values, *exprs, type_="string"):
@@ -72,7 +72,7 @@ def test_century_dates(spark):
 
 
 def test_every_currency_and_unknown_ones(spark):
-    pairs = currency_pairs()
+    pairs = list(CURRENCIES.items())
     assert len(pairs) == len(dict(pairs)) == 173
     frame = spark.createDataFrame([(n,) for n, _ in pairs] + [("000",), (None,)], "n string")
     found = {r["n"]: r["currency_code"] for r in with_currency(frame, "n").collect()}

@@ -114,27 +114,44 @@ def test_response_codes_add_up_and_nulls_breach_nothing(spark, master):
     found: dict[str, list] = {}
     for r in response.collect():
         found.setdefault(r["transaction_id"], []).append(r["response_code"])
-        assert r["response_text"] == routing.RESPONSE_TEXTS[r["response_code"]]
+        texts = routing.RESPONSE_TEXTS | {routing.BAD_AMOUNT_CODE: routing.BAD_AMOUNT_TEXT}
+        assert r["response_text"] == texts[r["response_code"]]
     assert {k: sorted(v) for k, v in found.items()} == {
         "ok": ["00"],
         "app": ["00", "03", "05", "06"],
         "company": ["01", "04"],
         "nulls": ["02"],
-        "amount": ["00"],
+        "state": ["02"],
+        "amount": ["07"],
     }
 
 
-def test_enrolment_routes_by_three_keys(spark, master):
+def test_enrolment_routes_by_company_and_account(spark, master):
     rows = spark.createDataFrame(
-        [("18200", "C1", "A1"), ("18200", "C2", "A1"), ("18200", None, "A1")],
+        [
+            ("18200", "C1", "A1"),
+            ("18200", "C2", "A1"),
+            ("18200", "C1", None),
+            ("18200", "C1", None),
+            ("18200", "C3", "N1"),
+            ("18210", "C3", "N1"),
+            ("18200", "C4", "N2"),
+            ("18200", "C5", "N2"),
+        ],
         "product_company string, customer_number string, account_number string",
     )
     twice = master.unionByName(master)
-    assert sorted((r["customer_number"] or "", r["route"]) for r in routing.route_enrolment(rows, twice).collect()) == [
-        ("", "accepted"),
-        ("C1", "rejected"),
-        ("C2", "accepted"),
-    ]
+    found = routing.route_enrolment(rows, twice).collect()
+    assert len(found) == 8
+    assert {(r["product_company"], r["customer_number"], r["account_number"], r["reason"]) for r in found} == {
+        ("18200", "C1", "A1", "already in master"),
+        ("18200", "C2", "A1", "already in master"),
+        ("18200", "C1", None, None),
+        ("18200", "C3", "N1", None),
+        ("18210", "C3", "N1", None),
+        ("18200", "C4", "N2", "repeated account"),
+        ("18200", "C5", "N2", "repeated account"),
+    }
 
 
 # ---- pivots ----------------------------------------------------------------
@@ -285,9 +302,14 @@ def test_summing_before_the_join_changes_nothing(spark, master):
     accepted = routing.accepted(routing.route_points(rows, master)).withColumn(
         "customer_number", F.col("master_customer_number")
     )
-    late = balances.balance_delta(accepted)
-    early = balances.accepted_delta(rows, master)
-    assert sorted(map(tuple, late.collect())) == sorted(map(tuple, early.collect()))
+    expected: dict[tuple, list] = {}
+    for r in accepted.collect():
+        sums = expected.setdefault((r["product_company"], r["customer_number"]), [Decimal(0), Decimal(0), 0])
+        sums[2] += 1
+        if r["transaction_type"] in ("VC", "E"):
+            sums[("VC", "E").index(r["transaction_type"])] += Decimal(r["sign"] + r["value"])
+    found = {tuple(r)[:2]: list(tuple(r)[2:]) for r in balances.balance_delta(accepted).collect()}
+    assert found == expected
 
 
 def transitions(spark, rows):

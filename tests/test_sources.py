@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import os
 
+import pytest
+
 from cardledger.operators import decode, pivots
 from cardledger.schemas import MOVEMENT_FIELDS, STAGED_POINTS
-from cardledger.session import broadcast_if_small, scratch_folder
+from cardledger.session import scratch_folder
 from cardledger.sources import lines as text
 from cardledger.sources.listing import oldest_file, staged_file_name, waiting_files
 from cardledger.sources.staging import load_decoded_folder, stage_if_new
@@ -80,31 +82,32 @@ def test_staged_file_name_of_nothing_is_nothing(spark):
     assert staged_file_name(frame.limit(0)).isEmpty()
 
 
-def test_stage_if_new_with_many_files_goes_on_without_broadcast(spark, monkeypatch):
+def test_stage_if_new_runs_no_job_while_it_is_planned(spark):
     rows = spark.createDataFrame([(f"F{i % 50}", f"T{i % 50}", i) for i in range(500)], "input_filename string, internallog_ts string, n int")
     loaded = spark.createDataFrame([("F1", None), ("F2", "T3"), (None, "T4")], "input_filename string, internallog_ts string")
-    keys = ("input_filename", "internallog_ts")
-    small = sorted(r["n"] for r in stage_if_new(rows, loaded, keys).collect())
-    assert small == [i for i in range(500) if i % 50 not in (1, 2, 3, 4)]
-    from cardledger.sources import staging
-
-    monkeypatch.setattr(staging, "broadcast_if_small", lambda side: broadcast_if_small(side, max_rows=3))
-    assert sorted(r["n"] for r in stage_if_new(rows, loaded, keys).collect()) == small
-    assert sorted(r["n"] for r in stage_if_new(rows, loaded).collect()) == [i for i in range(500) if i % 50 not in (1, 2)]
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup()
+    fresh = stage_if_new(rows, loaded, ("input_filename", "internallog_ts"))
+    only_names = stage_if_new(rows, loaded)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup() == jobs
+    assert sorted(r["n"] for r in fresh.collect()) == [i for i in range(500) if i % 50 not in (1, 2, 3, 4)]
+    assert sorted(r["n"] for r in only_names.collect()) == [i for i in range(500) if i % 50 not in (1, 2)]
 
 
 def test_decoded_folder(spark, tmp_path):
     values = ["v"] * len(STAGED_POINTS)
     values[6] = "12.34"
     put(tmp_path, "part-0", (";".join(values) + "\nshort;line\n").encode())
-    frame = load_decoded_folder(spark, str(tmp_path), STAGED_POINTS)
+    frame, wrong = load_decoded_folder(spark, str(tmp_path), STAGED_POINTS)
     assert frame.schema.simpleString() == STAGED_POINTS.simpleString()
     assert str(frame.first()["transaction_value"]) == "12.34" and frame.count() == 1
+    assert [tuple(r)[:2] for r in wrong.collect()] == [("short;line", "field count")]
 
 
 def test_header_values_reach_every_row_of_their_file(spark):
     rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4)], "input_filename string, n int")
-    headers = spark.createDataFrame([("a", "H1"), ("b", "H2")], "input_filename string, internallog_ts string")
+    headers = spark.createDataFrame(
+        [("a", "H1", 1), ("b", "H3", 9), ("b", "H2", 4)], "input_filename string, internallog_ts string, line_order int"
+    )
     found = decode.with_header_value(rows, headers)
     assert sorted((r["n"], r["internallog_ts"]) for r in found.collect()) == [(1, "H1"), (2, "H1"), (3, "H2"), (4, None)]
 
@@ -115,8 +118,18 @@ def test_scratch_folders_lie_in_the_shared_folder_and_are_new(spark):
     assert first != second and first.startswith(shared)
 
 
-def test_broadcast_is_kept_for_small_sides_only(spark):
-    side = spark.range(10)
-    joined = spark.range(100).join(broadcast_if_small(side, 10), "id")
-    assert "Broadcast" in joined._jdf.queryExecution().executedPlan().toString()
-    assert broadcast_if_small(side, 9) is side
+def test_scratch_folders_need_a_shared_folder_on_a_cluster(monkeypatch):
+    class Conf:
+        def __init__(self, master):
+            self.master = master
+
+        def get(self, key, default=None):
+            return {"spark.master": self.master}.get(key, default)
+
+    class Session:
+        def __init__(self, master):
+            self.conf = Conf(master)
+
+    assert scratch_folder(Session("local[4]"), "x").startswith("/tmp/run-")
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        scratch_folder(Session("spark://host:7077"), "x")
