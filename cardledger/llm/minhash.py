@@ -57,7 +57,7 @@ def dart_signatures(
     seed = mixed(np.repeat(elements, cells) + cell.astype(_U) * _U(0xA24BAED4963EE407))
     room = np.repeat(weights, cells) - cell
     owner = np.repeat(owner, cells)
-    total = np.bincount(owner, weights=np.minimum(room, 1.0), minlength=n)
+    total = np.bincount(owner, weights=np.minimum(room, 1.0), minlength=n).astype(np.float64)
     signature = np.zeros(n * coordinates, dtype=_U)
     darts = coordinates * (np.log(coordinates) + 2)
     reach = np.divide(darts, total, out=np.zeros(n), where=total > 0)
@@ -121,7 +121,7 @@ def sketches(docs: DataFrame, width: int, bands: int, rows: int, weighted: bool)
                     total = np.zeros(len(texts), dtype=_U)
                     np.add.at(total, owner, mixed(named ^ _U(salt)))
                     prints.append(total.view(np.int64))
-                size = np.bincount(owner, weights=weights, minlength=len(texts))
+                size = np.bincount(owner, weights=weights, minlength=len(texts)).astype(np.float64)
                 some = size > 0
                 offsets = np.concatenate([[0], np.cumsum(np.where(some, bands, 0))]).astype(np.int32)
                 part = batch.slice(at, len(texts))
