@@ -218,3 +218,29 @@ def test_scores_on_odd_rows(spark):
     unseen = ppm.score_texts(docs, F.lit(False)).collect()
     assert all(r.n_known == 0 and r.train_tokens == 0 and math.isfinite(r.score) for r in unseen)
     assert ppm.score_texts(spark.createDataFrame([], SCHEMA), F.lit(True)).count() == 0
+
+
+def _plain_ppm(texts, training):
+    """Scores by the model in memory, with every context that the training texts hold."""
+    pieces = [ppm._pieces((t or "").encode().lower().split()) for t in texts]
+    followers: dict[bytes, Counter] = {}
+    for own, used in zip(pieces, training, strict=True):
+        for piece in own if used else ():
+            path = ppm.END * ppm.ORDER + piece
+            for i in range(ppm.ORDER, len(path)):
+                for order in range(ppm.ORDER + 1):
+                    followers.setdefault(path[i - order : i], Counter())[path[i]] += 1
+    trie = ppm.Trie({c: dict(f) for c, f in followers.items()})
+    paths = [[ppm.END * ppm.ORDER + piece for piece in own] for own in pieces]
+    return [sum(trie[p[i - ppm.ORDER : i + 1]] for p in own for i in range(ppm.ORDER, len(p))) for own in paths]
+
+
+@pytest.mark.parametrize("head", [0, 40, 1 << 20])
+def test_scores_use_every_counted_context(spark, monkeypatch, head):
+    monkeypatch.setattr(ppm, "HEAD_GRAMS", head)
+    # One very common word, so that all other entries are far below 2^-18 of the bytes.
+    texts = ["common " * 60_000] + [words(i, 12 + i, 300) for i in range(30)] + ["", None, "Éé zq zz", "w1 q"]
+    training = [i % 5 != 1 for i in range(len(texts))]
+    docs = documents(spark, texts)
+    rows = sorted(ppm.score_texts(docs, F.col("doc_id") % 5 != 1).collect(), key=lambda r: r.doc_id)
+    assert [r.score for r in rows] == pytest.approx(_plain_ppm(texts, training), rel=1e-9)
