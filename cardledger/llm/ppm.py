@@ -157,12 +157,12 @@ def build_trie(words: DataFrame, entry_share: float = 0.0) -> dict[bytes, dict[i
 
 
 def _pieces(words: list[bytes]) -> list[bytes]:
-    """What is coded of a text: byte strings, each without any context before it."""
-    return [*(w + b" " for w in words), END]
+    """What is coded of a text: all its words in one byte string, so that contexts reach across blanks, and its end."""
+    return [b" ".join(words) + END]
 
 
 def _grams(pieces: list[bytes]) -> np.ndarray:
-    """For every byte of ``pieces``: the ``ORDER`` bytes before it, then the byte, as a number."""
+    """For every byte of ``pieces``: the ``ORDER`` bytes before it, then the byte, as a number; none is before a piece."""
     codes = np.frombuffer(b"".join(END * ORDER + piece for piece in pieces), dtype=np.uint8)
     gram = np.zeros(len(codes) - ORDER, dtype=np.int64)
     for back in range(ORDER, -1, -1):

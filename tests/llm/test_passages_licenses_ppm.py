@@ -244,3 +244,9 @@ def test_scores_use_every_counted_context(spark, monkeypatch, head):
     docs = documents(spark, texts)
     rows = sorted(ppm.score_texts(docs, F.col("doc_id") % 5 != 1).collect(), key=lambda r: r.doc_id)
     assert [r.score for r in rows] == pytest.approx(_plain_ppm(texts, training), rel=1e-9)
+
+
+def test_the_order_of_words_counts(spark):
+    docs = documents(spark, ["red fox ran over icy hill now " * 9] * 20 + ["red fox ran over icy hill now", "hill icy now over fox red ran"])
+    rows = {r.doc_id: r for r in ppm.score_texts(docs, F.col("doc_id") < 20).collect()}
+    assert rows[20].base_score == pytest.approx(rows[21].base_score) and rows[20].score > rows[21].score + 1
