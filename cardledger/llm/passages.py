@@ -62,11 +62,13 @@ def selected_places(words: np.ndarray, first: np.ndarray, seed_words: int, min_w
     most = _sliding(padded, window, np.maximum)[: len(seeds)]
     at = np.flatnonzero((most == seeds) & (seeds > 0))
     values = seeds[at]
-    # Of a run of equal seeds (one word over and over) the two ends are enough.
+    # Of a run of equal seeds (one word over and over) the two ends, and between them places whose contexts meet.
     inner = np.zeros(len(at), dtype=bool)
     if len(at) > 2:
         steady = (np.diff(at) == 1) & (values[1:] == values[:-1])
         inner[1:-1] = steady[:-1] & steady[1:]
+        begins = np.maximum.accumulate(np.where(np.concatenate([[False], steady]), 0, np.arange(len(at))))
+        inner &= (np.arange(len(at)) - begins) % max(1, min_words - seed_words) != 0
     return at[~inner], values[~inner]
 
 

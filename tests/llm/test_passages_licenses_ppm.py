@@ -250,3 +250,8 @@ def test_the_order_of_words_counts(spark):
     docs = documents(spark, ["red fox ran over icy hill now " * 9] * 20 + ["red fox ran over icy hill now", "hill icy now over fox red ran"])
     rows = {r.doc_id: r for r in ppm.score_texts(docs, F.col("doc_id") < 20).collect()}
     assert rows[20].base_score == pytest.approx(rows[21].base_score) and rows[20].score > rows[21].score + 1
+
+
+def test_one_word_over_and_over_is_found_whole(spark):
+    same = documents(spark, ["again " * 300, "again " * 200, "start " + "again " * 1000 + "stop"])
+    assert _found(passages.repeated_passages(same)) == {(0, 0, 300), (1, 0, 200), (2, 1, 1001)}
