@@ -5,13 +5,14 @@ the smallest of all that a passage of ``min_words`` can hold around it.  Two tex
 share a passage of that length have selected a place of it alike, whatever stands around.
 Suffixes whose seed occurs in one document only are dropped; the others get the words
 after and before the seed, as hashes.  They are sorted once by what follows and once by
-what precedes, over all partitions, neighbours from different documents are compared, and
-each match is extended to both sides.  What adds up to ``min_words`` or more is a span;
+what precedes, over all partitions, neighbours from different documents are compared (however
+many places of one document stand between them), and each match is extended to both sides.  What adds up to ``min_words`` or more is a span;
 overlapping spans of a document become one passage.
 
 The sort deals suffixes by seed, context and row, so a passage that a third of all
 documents share is cut over as many partitions as its rows need; the few suffixes at the
-ends of partitions are compared once more together.
+ends of partitions, with the first and the last document's whole run there, are compared
+once more together.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from cardledger.llm.shingles import shingle_hashes, word_hashes
 _U = np.uint64
 MIN_WORDS = 50
 SEED_WORDS = 20
-#: Following suffixes that one is compared with.
+#: Following suffixes that one is compared with, besides the nearest ones of other rows.
 REACH = 4
 
 _SUFFIX = "seed bigint, row bigint, at int, right binary, left binary"
@@ -138,7 +139,21 @@ def _codes(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return table.reshape(len(texts), width), np.array([len(t) // 4 for t in texts], dtype=np.int64)
 
 
-def _common(table: np.ndarray, sizes: np.ndarray, a: slice, b: slice) -> np.ndarray:
+def _run_starts(seeds: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Where runs of one row's places begin in a sorted batch."""
+    return np.concatenate([[0], 1 + np.flatnonzero((rows[1:] != rows[:-1]) | (seeds[1:] != seeds[:-1]))])
+
+
+def _starts_of(batch: pa.RecordBatch) -> np.ndarray:
+    return _run_starts(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+
+
+def _tail(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """What later rows are compared with: the last run, at most one document's places, and the row before it."""
+    return batch.slice(max(0, min(batch.num_rows - REACH, int(_starts_of(batch)[-1]) - 1)))
+
+
+def _common(table: np.ndarray, sizes: np.ndarray, a: slice | np.ndarray, b: slice | np.ndarray) -> np.ndarray:
     same = table[a] == table[b]
     length = np.where(same.all(axis=1), table.shape[1], np.argmin(same, axis=1))
     return np.minimum(length, np.minimum(sizes[a], sizes[b]))
@@ -153,11 +168,21 @@ def _compared(batch: pa.RecordBatch, fresh: int, seed_words: int, min_words: int
     left, left_size = _codes(batch.column(4), reach)
     found = []
     n = len(seeds)
+    pairs = []
     for step in range(1, REACH + 1):
         begin = max(fresh - step, 0)
-        if n - step <= begin:
-            continue
-        a, b = slice(begin, n - step), slice(begin + step, n)
+        if n - step > begin:
+            pairs.append((slice(begin, n - step), slice(begin + step, n)))
+    # Inside a longer run of one row: the last place before the run and the first one after it.
+    starts = _run_starts(seeds, rows)
+    sizes = np.diff(np.concatenate([starts, [n]]))
+    every, before_run = np.arange(n), np.repeat(starts - 1, sizes)
+    after_run = np.repeat(starts + sizes, sizes)
+    far = (after_run < n) & (after_run >= fresh) & (after_run - every > REACH)
+    pairs.append((every[far], after_run[far]))
+    far = (before_run >= 0) & (every >= fresh) & (every - before_run > REACH)
+    pairs.append((before_run[far], every[far]))
+    for a, b in pairs:
         after, before = _common(right, right_size, a, b), _common(left, left_size, a, b)
         good = (seeds[a] == seeds[b]) & (rows[a] != rows[b]) & (after + before + seed_words >= min_words)
         for x, y in ((a, b), (b, a)):
@@ -175,18 +200,21 @@ def _neighbours(suffixes: DataFrame, context: str, seed_words: int, min_words: i
     ends_kind = f"struct<{_SUFFIX}>".replace(" ", ":").replace(",:", ",")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, first_rows, seen = None, [], 0
+        held, opening, opened = None, None, False
         for batch in batches:
             if not batch.num_rows:
                 continue
-            if seen < REACH:
-                first_rows.append(batch.slice(0, REACH - seen))
-            seen += batch.num_rows
+            if not opened:
+                # The first run and the row after it.
+                opening = batch if opening is None else pa.concat_batches([opening, batch])
+                starts = _starts_of(opening)
+                if len(starts) > 1 and opening.num_rows >= REACH:
+                    opening, opened = opening.slice(0, max(REACH, int(starts[1]) + 1)), True
             whole = batch if held is None else pa.concat_batches([held, batch])
             yield from _spans(_compared(whole, 0 if held is None else held.num_rows, seed_words, min_words))
-            held = whole.slice(max(0, whole.num_rows - REACH))
+            held = _tail(whole)
         if held is not None:
-            for rows in (*first_rows, held):
+            for rows in (opening, held):
                 yield _ends(rows)
 
     def _spans(spans: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -211,9 +239,9 @@ def _neighbours(suffixes: DataFrame, context: str, seed_words: int, min_words: i
         for batch in batches:
             whole = batch if held is None else pa.concat_batches([held, batch])
             yield _compared(whole, 0 if held is None else held.num_rows, seed_words, min_words)
-            held = whole.slice(max(0, whole.num_rows - REACH))
+            held = _tail(whole)
 
-    # At most 2 x REACH rows of each partition; distinct, as a small partition's ends overlap.
+    # Some 2 x REACH rows of each partition, more where a long run of one row stands at its end; distinct, as a small partition's ends overlap.
     ends = found.filter("end IS NOT NULL").select("end.*").distinct().coalesce(1).sortWithinPartitions(*order)
     across = ends.select(*names).mapInArrow(compare_ends, _SPAN)
     return found.filter("end IS NULL").drop("end").unionByName(across)

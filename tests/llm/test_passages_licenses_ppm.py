@@ -255,3 +255,12 @@ def test_the_order_of_words_counts(spark):
 def test_one_word_over_and_over_is_found_whole(spark):
     same = documents(spark, ["again " * 300, "again " * 200, "start " + "again " * 1000 + "stop"])
     assert _found(passages.repeated_passages(same)) == {(0, 0, 300), (1, 0, 200), (2, 1, 1001)}
+
+
+def test_places_of_one_row_use_up_no_reach(spark):
+    paragraph, boilerplate = words(11, 60, 9000), words(12, 100, 9000)
+    own = " ".join(f"{words(100 + i, 30, 9000)} {boilerplate}" for i in range(40))
+    texts = [f"{paragraph} " * 200, f"{paragraph} " * 150, own, f"{words(90, 20, 9000)} {boilerplate}"]
+    docs = documents(spark, texts)
+    assert _found(passages.repeated_passages(docs)) == _plain_passages(texts)
+    assert _found(passages.repeated_passages(docs.repartition(3))) == _plain_passages(texts)
