@@ -4,7 +4,8 @@ Fitting: for every unit (a word, or the first 4, 5 or 6 bytes of one) the docume
 either label that hold it are counted, and its log-odds between the labels are taken
 under an informative Dirichlet prior, whose pseudo-counts follow the unit's overall
 rate.  Units whose log-odds are large and stand ``MIN_Z`` standard deviations above zero
-form the lexicon.  Scanning: a word scores the log-odds of its longest unit in the lexicon,
+form the lexicon; so do those whose toxic documents are more than chance gives any unit, by
+a one-sided test, as the standard deviation of a word that no clean document uses is large.  Scanning: a word scores the log-odds of its longest unit in the lexicon,
 every other word a small negative number, and one linear pass finds all maximal
 segments.  Calibration: the best of n words' segments follows an extreme-value law,
 p = 1 - exp(-K n exp(-lambda S)), whose lambda and K come from clean documents; the
@@ -193,11 +194,20 @@ def fit_toxicity(
 
     log_odds = odds("t", toxic) - odds("c", clean)
     error = F.sqrt(1 / (F.col("t") + prior) + 1 / (F.col("c") + prior))
+    # Chance that t of t + c documents are toxic is at most exp(-surprise): Chernoff's bound for t above its share.
+    rate = F.lit(toxic / (toxic + clean))
+    used = F.col("t") + F.col("c")
+    surprise = F.col("t") * F.log(F.col("t") / (used * rate)) + F.when(
+        F.col("c") > 0, F.col("c") * F.log(F.col("c") / (used * (1 - rate)))
+    ).otherwise(0.0)
+    surprise = F.when(F.col("t") > used * rate, F.greatest(surprise, F.lit(0.0))).otherwise(0.0)
+    # Less than one unit of all is expected beyond this by chance.
+    least = math.log(max(counts.count(), 2))
     lexicon_rows = (
         counts.filter("length(unit) > 0 AND t > 0")
-        .select("unit", log_odds.alias("log_odds"), (log_odds / error).alias("z"))
-        .filter((F.col("z") >= MIN_Z) & (F.col("log_odds") >= MIN_LOG_ODDS))
-        .orderBy(F.desc("z"), "unit")
+        .select("unit", log_odds.alias("log_odds"), (log_odds / error).alias("z"), surprise.alias("surprise"))
+        .filter(((F.col("z") >= MIN_Z) | (F.col("surprise") > least)) & (F.col("log_odds") >= MIN_LOG_ODDS))
+        .orderBy(F.desc(F.greatest("z", F.sqrt(2 * F.col("surprise")))), "unit")
         .limit(MAX_UNITS)
         .collect()
     )

@@ -122,3 +122,17 @@ def test_quality_on_odd_rows(spark):
     assert len(rows) == odd.count() and all(0 <= r.quality_.score <= 1 and r.quality == "mine" for r in rows)
     empty = quality.score_quality(spark.createDataFrame([], SCHEMA), spark.createDataFrame([], LABELS))
     assert empty.count() == 0
+
+
+def test_a_tail_of_purely_toxic_words_is_learned(spark):
+    texts, labels = [], []
+    for i in range(4000):
+        toxic = int(i % 9 == 0)
+        slur = f" {i // 9 % 20:02d}slur" if toxic else ""  # 20 words of some 18 training documents each
+        texts.append(words(i, 40) + slur)
+        labels.append((i, 1, toxic))
+    docs, labels = documents(spark, texts), spark.createDataFrame(labels, LABELS)
+    model = toxicity.fit_toxicity(docs, labels)
+    assert {f"{k:02d}slur".encode() for k in range(20)} <= set(model.lexicon)
+    scored = toxicity.score_toxicity(docs, model).join(labels, "doc_id").filter(fold_of(F.col("doc_id")) == 0)
+    assert scored.filter((F.col("toxicity.score") >= 0.5) != (F.col("toxic") == 1)).count() == 0
