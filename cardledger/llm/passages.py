@@ -179,13 +179,14 @@ def _compared(batch: pa.RecordBatch, fresh: int, seed_words: int, min_words: int
     every, before_run = np.arange(n), np.repeat(starts - 1, sizes)
     after_run = np.repeat(starts + sizes, sizes)
     far = (after_run < n) & (after_run >= fresh) & (after_run - every > REACH)
-    pairs.append((every[far], after_run[far]))
+    beside = [(every[far], after_run[far])]
     far = (before_run >= 0) & (every >= fresh) & (every - before_run > REACH)
-    pairs.append((before_run[far], every[far]))
-    for a, b in pairs:
+    beside.append((every[far], before_run[far]))
+    for number, (a, b) in enumerate([*pairs, *beside]):
         after, before = _common(right, right_size, a, b), _common(left, left_size, a, b)
         good = (seeds[a] == seeds[b]) & (rows[a] != rows[b]) & (after + before + seed_words >= min_words)
-        for x, y in ((a, b), (b, a)):
+        # The row beside a run has a nearest neighbour of its own; only the run's place gains.
+        for x, y in ((a, b), (b, a))[: 2 if number < len(pairs) else 1]:
             found.append(
                 (rows[x][good], (at[x] - before)[good], (at[x] + seed_words + after)[good], rows[y][good])
             )
