@@ -36,12 +36,15 @@ ISLANDS = 2
 EPOCHS = 2
 GENERATIONS = 4
 POPULATION = 4
-#: Documents of one input partition, and partitions, that row numbers have room for.
-ROW_BITS, PIECE_BITS = 26, 19
+#: Bits for the documents, and for the whole sequences, of one input partition; 23 are left for the partition.
+ROW_BITS = 40
 
+#: Fixed value: the special token of the public vocabulary; its id follows the ranks.
+SPECIAL = "<|endoftext|>"
 
-def _encoder(path: str):
-    """The byte-level BPE of a rank file, kept by the library between tasks."""
+
+def byte_encoder(path: str):
+    """The byte-level BPE of a rank file with its special token, kept by the library between tasks."""
     import public_tokenizers
     import tiktoken
     from tiktoken import registry
@@ -50,7 +53,7 @@ def _encoder(path: str):
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         registry.ENCODINGS[path] = tiktoken.Encoding(
-            path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+            path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={SPECIAL: len(ranks)}
         )
     return registry.ENCODINGS[path]
 
@@ -72,24 +75,30 @@ def tokenised(
     vocabulary: str | None = None,
     with_ids: bool = False,
 ) -> DataFrame:
-    """(row, doc_id, tokens, crcs, ids) per document: its token count and the crc32 of every piece.
+    """(row, whole, doc_id, tokens, crcs, ids) per document: its token count and the crc32 of every piece.
+
+    ``row`` numbers documents, ``whole`` the whole sequences that are cut from them: it is the
+    document's first one's, each further one has the next number.
 
-    Ids end with ``END_TOKEN``, so an empty or null text is one token.  Strings that spell
-    special tokens are ordinary text.  ``ids`` is null unless asked for.
+    Ids end with ``END_TOKEN``, so an empty or null text is one token.  As in the vocabulary's
+    tokenizers file, a string that spells the special token is that token.  ``ids`` is null
+    unless asked for.
     """
     path = vocabulary or default_vocabulary()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
-        partition, row = TaskContext.get().partitionId(), 0
+        encoder = byte_encoder(path)
+        partition, row, whole = TaskContext.get().partitionId(), 0, 0
+        if partition >> (63 - ROW_BITS):
+            raise ValueError("more partitions than row numbers have room for")
         for batch in batches:
-            rows, tokens, crcs, kept = [], [], [], []
+            rows, wholes, tokens, crcs, kept = [], [], [], [], []
             for text in batch.column(1).to_pylist():
-                ids = np.array([*encoder.encode_ordinary(text or ""), END_TOKEN], dtype="<u4")
-                if row >> ROW_BITS or partition >> (63 - ROW_BITS - PIECE_BITS) or len(ids) // capacity >> PIECE_BITS:
-                    raise ValueError("more rows or pieces in one partition than their numbers have room for")
+                ids = np.array([*encoder.encode(text or "", allowed_special={SPECIAL}), END_TOKEN], dtype="<u4")
                 rows.append(partition << ROW_BITS | row)
+                wholes.append(partition << ROW_BITS | whole)
                 row += 1
+                whole += len(ids) // capacity
                 tokens.append(len(ids))
                 head = len(ids) % capacity
                 cuts = [0, *range(head or capacity, len(ids) + 1, capacity)]
@@ -98,17 +107,18 @@ def tokenised(
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(rows, pa.int64()),
+                    pa.array(wholes, pa.int64()),
                     batch.column(0),
                     pa.array(tokens, pa.int64()),
                     pa.array(crcs, pa.list_(pa.int64())),
                     pa.array(kept, pa.list_(pa.int32())),
                 ],
-                names=["row", "doc_id", "tokens", "crcs", "ids"],
+                names=["row", "whole", "doc_id", "tokens", "crcs", "ids"],
             )
 
     kind = docs.schema[id_column].dataType.simpleString()
     return docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text")).mapInArrow(
-        encode, f"row bigint, doc_id {kind}, tokens bigint, crcs array<bigint>, ids array<int>"
+        encode, f"row bigint, whole bigint, doc_id {kind}, tokens bigint, crcs array<bigint>, ids array<int>"
     )
 
 
@@ -294,7 +304,7 @@ def pack_documents(
             ),
         )
     )
-    alone = -1 - (F.shiftleft("row", PIECE_BITS) + F.col("piece"))
+    alone = -1 - (F.col("whole") + F.col("piece") - (F.col("head") > 0).cast("int"))
     columns = [
         "doc_id",
         F.col("piece").cast("int").alias("piece"),
