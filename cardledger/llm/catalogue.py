@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardledger.llm import exact_dedup, licenses, minhash, mixing, neighbours, packing, passages, ppm, quality, toxicity
+from cardledger.llm import (
+    alignment,
+    contamination,
+    exact_dedup,
+    licenses,
+    minhash,
+    mixing,
+    neighbours,
+    packing,
+    passages,
+    ppm,
+    quality,
+    toxicity,
+    whitening,
+)
 from cardledger.llm.common import fold_of, read_table, whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +119,24 @@ def op10_ppm_score(spark, sf_dir):
     return scored.select("doc_id", held_out.alias("held_out"), *scored.columns[1:])
 
 
+@query
+def op11_benchmark_phrases(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination.find_leaks(docs, read_table(spark, sf_dir, "benchmark"), keep=("doc_id",))
+    return found.select("doc_id", "leak.*").drop("items", "near_items")
+
+
+@query
+def op12_aligned_tokens(spark, sf_dir):
+    documents, _ = alignment.align_tokenizers(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return documents
+
+
+@query
+def op13_whitened_vectors(spark, sf_dir):
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 @query
 def pipeline(spark, sf_dir):
     import corpus_pipeline
@@ -202,5 +234,53 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(len(p) AS BIGINT) AS n_base,
 FROM met"""
 
 
+_WORDS_SQL = r"""regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+_LEAKS_SQL = f"""
+WITH docs AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS_SQL} AS w FROM documents),
+items AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS_SQL} AS w FROM benchmark),
+cut AS (
+    SELECT DISTINCT item, w[i + 1:i + {contamination.WINDOW_WORDS}] AS win
+    FROM (SELECT item, w, unnest(range(0, greatest(len(w) - {contamination.WINDOW_WORDS}, 0) + 1)) AS i FROM items WHERE len(w) > 0)
+),
+windows AS (SELECT DISTINCT win, len(win) AS n FROM cut),
+places AS (SELECT r, i, w[i + 1] AS word FROM (SELECT r, w, unnest(range(0, len(w))) AS i FROM docs)),
+starts AS (
+    SELECT r, n, unnest(range(0, len(w) - n + 1)) AS i, w FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n
+),
+met AS (
+    SELECT s.r, s.i, s.n, s.win FROM (SELECT r, i, n, w[i + 1:i + n] AS win FROM starts) s SEMI JOIN windows v ON s.win = v.win
+),
+hits AS (SELECT r, count(DISTINCT pos) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS pos FROM met) GROUP BY r),
+held AS (
+    SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+    FROM (SELECT DISTINCT m.r, c.item FROM met m JOIN cut c ON m.win = c.win) GROUP BY r
+),
+counts AS (SELECT word, count(*) AS n FROM places GROUP BY word),
+ranked AS (
+    SELECT win, arg_min(word, n * 1000 + pos) AS rarest
+    FROM (SELECT v.win, u.pos, v.win[u.pos + 1] AS word FROM windows v, unnest(range(0, v.n)) AS u(pos)) JOIN counts USING (word)
+    GROUP BY win HAVING count(*) = len(win)
+),
+near AS (
+    SELECT p.r, count(DISTINCT c.item) AS n_near
+    FROM places p JOIN ranked k ON p.word = k.rarest JOIN docs d ON d.r = p.r JOIN cut c ON c.win = k.win
+    WHERE list_has_all(d.w[greatest(p.i - {contamination.REACH}, 0) + 1:p.i + 1 + {contamination.REACH}], k.win)
+    GROUP BY p.r
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(i.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(i.listed, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AS contaminated, CAST(coalesce(n.n_near, 0) AS BIGINT) AS n_near
+FROM docs d LEFT JOIN hits h USING (r) LEFT JOIN held i USING (r) LEFT JOIN near n USING (r)
+"""
+
+
 def oracle_statements() -> dict[str, str]:
-    return {"op1_poisson_mix": _MIX_SQL, "op7_exact_copies": _COPIES_SQL, "op9_license_blocks": _license_sql()}
+    return {
+        "op1_poisson_mix": _MIX_SQL,
+        "op7_exact_copies": _COPIES_SQL,
+        "op9_license_blocks": _license_sql(),
+        "op11_benchmark_phrases": _LEAKS_SQL,
+    }
