@@ -16,9 +16,7 @@ public_tokenizers = pytest.importorskip("public_tokenizers")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def _ids(tokenizer, text):
@@ -50,13 +48,25 @@ def _check(rows, texts, tokenizer, capacity=1024):
 
 def test_packing_is_a_round_trip_near_the_bound(spark, tokenizer):
     texts = {i: words(i, 30 + 37 * i % 900, 3000) for i in range(160)}
-    texts |= {900: "<|endoftext|> é世界  \n\n\t", 901: "", 902: None}
+    texts |= {900: "<|endoftext|> é世界  \n\n\t", 901: "", 902: None, 903: "a <|endoftext|> b", 904: "<|endoftext|>" * 1500}
     rows = packing.pack_documents(documents(spark, list(texts.items()))).collect()
     used = _check(rows, texts, tokenizer)
     total = sum(len(_ids(tokenizer, t)) for t in texts.values())
     assert used <= -(-total // 1024) + 2
 
 
+def test_the_special_token_is_one_id(spark):
+    rows = packing.pack_documents(documents(spark, ["a <|endoftext|> b"]), with_ids=True).collect()
+    assert [r.ids for r in rows] == [[64, 220, 50256, 275, packing.END_TOKEN]]
+
+
+def test_whole_sequences_of_many_documents_are_told_apart(spark):
+    long = documents(spark, [words(i, 4000, 3000) for i in range(6)]).repartition(3)
+    rows = packing.pack_documents(long).collect()
+    alone = [r.sequence_id for r in rows if r.length == 1024]
+    assert len(alone) > 20 and len(set(alone)) == len(alone)
+
+
 def test_many_small_shards_and_islands(spark, tokenizer):
     texts = {i: words(i, 20 + 53 * i % 400, 3000) for i in range(120)}
     docs = documents(spark, list(texts.items())).repartition(5)
@@ -153,6 +163,44 @@ def test_equal_vectors_go_by_id(spark):
     assert [r.vec_id for r in sorted(rows, key=lambda r: r["rank"])] == [0, 1, 2, 4, 5]
 
 
+def test_equal_scores_of_different_vectors_go_by_id(spark):
+    vectors = [(0, [1.0, 0.0])] + [(i, [1.0, float(i)]) for i in range(1, 402)]
+    rows = neighbours.nearest(spark.createDataFrame(vectors, VECTORS), F.col("vec_id") == 0, k=5, factor=1.0, shard_rows=150).collect()
+    assert [r.vec_id for r in sorted(rows, key=lambda r: r["rank"])] == [1, 2, 3, 4, 5]
+
+
+@pytest.mark.parametrize("length", [1e8, 1e160, 1e300, 1e-200])
+def test_one_vector_of_another_magnitude(spark, length):
+    chance = np.random.default_rng(4)
+    vectors = {i: v.tolist() for i, v in enumerate(chance.normal(size=(1500, 8)))}
+    vectors[777] = (np.array(vectors[777]) * length).tolist()
+    frame = spark.createDataFrame(list(vectors.items()), "vec_id bigint, embedding array<double>")
+    rows = neighbours.nearest(frame, F.col("vec_id").isin(0, 100, 777), k=20, factor=1.0, shard_rows=500).collect()
+    with np.errstate(over="ignore"):
+        for query in (0, 100, 777):
+            own = np.array(vectors[query])
+            near = sorted((-(np.array(v) * own).sum(), i) for i, v in vectors.items() if i != query)[:20]
+            found = sorted((r["rank"], r.vec_id, r.score) for r in rows if r.query_id == query)
+            assert [(i, -s) for s, i in near] == [(i, s) for _, i, s in found]
+
+
+@pytest.mark.parametrize("clusters", [0, 40])
+def test_recall_at_full_shards(clusters):
+    """8,192 rows of 64 dimensions in one tree, at the production factor."""
+    chance = np.random.default_rng(9)
+    rows = chance.normal(size=(8192, 64))
+    if clusters:
+        rows = chance.normal(size=(clusters, 64))[chance.integers(clusters, size=8192)] + rows * 0.3
+    ids = np.arange(8192)
+    asked = neighbours.Queries(ids[::64], rows[::64], rows, ids, 20)
+    neighbours.VantageTree(asked.lifted).search(asked, neighbours.FACTOR)
+    exact = rows[::64] @ rows.T
+    exact[np.arange(128), ids[::64]] = -np.inf
+    expected = np.argsort(-exact, axis=1)[:, :20]
+    hits = sum(len({*a} & {*b}) for a, b in zip(expected.tolist(), asked.found.tolist(), strict=True))
+    assert hits / expected.size >= 0.95
+
+
 def test_neighbours_on_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     vectors = [
