@@ -107,8 +107,9 @@ def op8_repeated_passages(spark, sf_dir):
 @query
 def op9_license_blocks(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = licenses.license_scan(docs).select("doc_id", "license.*")
-    return found.withColumn("n_blocks", F.size("blocks")).drop("blocks")
+    found = licenses.license_scan(docs, keep=("doc_id",)).select("doc_id", "license.*")
+    blocks = F.aggregate("blocks", F.lit(0), lambda n, run: n + run["blocks"])
+    return found.withColumn("n_blocks", blocks).drop("blocks")
 
 
 @query
@@ -214,7 +215,6 @@ def _license_sql() -> str:
         blocks.append(f"list_transform({here}, lambda i: {{'label': '{label}', 'share': {shared}::DOUBLE / {len(held)}}})")
     concat = lambda parts: " || ".join(parts)
     names = "list_sort(list_distinct(list_transform({}, lambda x: x.label)))"
-    last = licenses.BLOCK_WORDS - licenses.BLOCK_STEP + 1
     return f"""
 WITH words AS (
     SELECT doc_id, regexp_extract_all(
@@ -222,7 +222,7 @@ WITH words AS (
                '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
     FROM documents
 ),
-cut AS (SELECT *, range(0, greatest(len(w) - {last}, 0) + 1, {licenses.BLOCK_STEP}) AS starts FROM words),
+cut AS (SELECT *, range(0, greatest(len(w) - {licenses.BLOCK_WORDS}, 0) + 1) AS starts FROM words),
 met AS (SELECT doc_id, len(w) AS n, {concat(places)} AS p, {concat(blocks)} AS b FROM cut)
 SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(len(p) AS BIGINT) AS n_base,
        CAST(list_min(list_transform(p, lambda x: x.at)) AS BIGINT) AS first_word,

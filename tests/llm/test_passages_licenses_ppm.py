@@ -98,7 +98,7 @@ def _plain_licenses(text):
             if found[i : i + len(parts)] == parts:
                 starts.append(i)
                 base.add(label)
-    for at in range(0, max(len(found) - licenses.BLOCK_WORDS + licenses.BLOCK_STEP - 1, 0) + 1, licenses.BLOCK_STEP):
+    for at in range(max(len(found) - licenses.BLOCK_WORDS, 0) + 1):
         block = set(found[at : at + licenses.BLOCK_WORDS])
         for label, template in licenses.TEMPLATES.items():
             held = set(template.split())
@@ -139,6 +139,31 @@ def test_license_scan_matches_brute_force(spark):
     assert _license_rows(licenses.license_scan(docs)) == [_plain_licenses(t) for t in texts]
 
 
+def test_blocks_are_found_at_every_word(spark):
+    """The wording with 3 of its inner words replaced, and the wording spread over 24 words, wherever they start."""
+    gpl = licenses.TEMPLATES["gpl"].split()
+    worn = [w if i not in (4, 9, 13) else f"other{i}" for i, w in enumerate(gpl)]
+    spread = [w for i, w in enumerate(gpl) for w in ([w, f"between{i}"] if i % 3 == 2 else [w])]
+    texts = [" ".join([words(1, at, 50), *wording, words(2, 70, 50)]) for at in range(34) for wording in (worn, spread)]
+    texts += [" ".join([*(["gpl", "general", "public"] * 200), *gpl, *(["license"] * 100)]), " ".join(gpl * 3), " ".join(gpl[:16])]
+    docs = documents(spark, texts).withColumn("n", F.col("doc_id"))
+    found = licenses.license_scan(docs)
+    assert all("gpl" in r.license.labels for r in found.collect())
+    assert _license_rows(found) == [_plain_licenses(t) for t in texts]
+    blocks = {r.doc_id: sum(b.blocks for b in r.license.blocks if b.label == "gpl") for r in found.collect()}
+    held = set(gpl)
+    for i, text in enumerate(texts):
+        w = plain_words(text)
+        starts = range(max(len(w) - licenses.BLOCK_WORDS, 0) + 1)
+        assert blocks[i] == sum(len(held & set(w[at : at + licenses.BLOCK_WORDS])) >= 0.8 * len(held) for at in starts)
+
+
+def test_only_what_is_asked_for_is_kept(spark):
+    docs = documents(spark, ["permission is granted"])
+    assert licenses.license_scan(docs, keep=("doc_id",)).columns == ["doc_id", "license"]
+    assert licenses.license_scan(docs, templates={}).first().license.labels == ""
+
+
 def test_any_order_gives_the_same_join(spark):
     texts = [t + " and more" for t in licenses.TEMPLATES.values()]
     docs = documents(spark, texts).withColumn("n", F.col("doc_id"))
