@@ -12,7 +12,8 @@ p = 1 - exp(-K n exp(-lambda S)), whose lambda and K come from clean documents;
 document's score is that law's distribution function moved to the cut between the
 labels.
 
-The lexicon is at most ``MAX_UNITS`` entries, so it can travel to every task.
+The lexicon comes from at most ``TRAINING_ROWS`` labelled rows and holds every unit that passes
+the tests, so it grows with those rows and not with the corpus, and can travel to every task.
 """
 
 from __future__ import annotations
@@ -33,8 +34,6 @@ from cardledger.llm.common import WORD_BYTES, fold_of, free_name, stored
 
 #: Labelled rows that the lexicon is fitted on, drawn by a hash of the id.
 TRAINING_ROWS = 40_000
-#: Entries of the lexicon, by evidence.
-MAX_UNITS = 20_000
 #: Weight of the Dirichlet prior in documents.
 PRIOR = 100.0
 MIN_Z = 4.0
@@ -91,25 +90,25 @@ def maximal_segments(positions: list[int], scores: list[float], drift: float = D
     Given are the positions and scores of the positive words; every other word scores
     ``drift``.  A segment is maximal when no segment around or inside it scores more.
     """
-    stack: list[tuple[int, int, float, float]] = []  # first, last, sum before, sum up to its end
+    # Of every candidate: first, last, sum before, sum up to its end, and the nearest earlier one that starts lower.
+    stack: list[tuple[int, int, float, float, int]] = []
     total, previous = 0.0, -1
     for at, score in zip(positions, scores, strict=True):
         total += (at - previous - 1) * drift
         previous = at
         first, before = at, total
         total += score
-        after = total
-        while stack:
-            # The nearest earlier segment that starts lower; if it also ends lower the two join.
-            j = len(stack) - 1
-            while j >= 0 and stack[j][2] >= before:
-                j -= 1
-            if j < 0 or stack[j][3] >= after:
-                break
-            first, before = stack[j][0], stack[j][2]
-            del stack[j:]
-        stack.append((first, at, before, after))
-    return [(first, last, after - before) for first, last, before, after in stack]
+        # Candidates passed over by their links are never looked at again: the next one links past them.
+        link = len(stack) - 1
+        while link >= 0 and stack[link][2] >= before:
+            link = stack[link][4]
+        # If that candidate also ends lower the two join, and the joined one has its link already.
+        while link >= 0 and stack[link][3] < total:
+            first, _, before, _, beyond = stack[link]
+            del stack[link:]
+            link = beyond
+        stack.append((first, at, before, total, link))
+    return [(first, last, after - before) for first, last, before, after, _ in stack]
 
 
 def _segments(text: bytes | None, scores: UnitScores) -> tuple[int, list[tuple[int, int, float]]]:
@@ -207,8 +206,7 @@ def fit_toxicity(
         counts.filter("length(unit) > 0 AND t > 0")
         .select("unit", log_odds.alias("log_odds"), (log_odds / error).alias("z"), surprise.alias("surprise"))
         .filter(((F.col("z") >= MIN_Z) | (F.col("surprise") > least)) & (F.col("log_odds") >= MIN_LOG_ODDS))
-        .orderBy(F.desc(F.greatest("z", F.sqrt(2 * F.col("surprise")))), "unit")
-        .limit(MAX_UNITS)
+        .select("unit", "log_odds")
         .collect()
     )
     lexicon = {bytes(r.unit): float(r.log_odds) for r in lexicon_rows}

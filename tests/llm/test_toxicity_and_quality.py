@@ -136,3 +136,14 @@ def test_a_tail_of_purely_toxic_words_is_learned(spark):
     assert {f"{k:02d}slur".encode() for k in range(20)} <= set(model.lexicon)
     scored = toxicity.score_toxicity(docs, model).join(labels, "doc_id").filter(fold_of(F.col("doc_id")) == 0)
     assert scored.filter((F.col("toxicity.score") >= 0.5) != (F.col("toxic") == 1)).count() == 0
+
+
+@pytest.mark.parametrize("gap", [3, 20])
+def test_segments_of_a_hundred_thousand_hits_in_linear_time(gap):
+    import time
+
+    positions = list(range(0, 100_000 * gap, gap))
+    for scores in ([1.0] * 100_000, [0.3 + i % 7 for i in range(100_000)]):
+        start = time.process_time()
+        toxicity.maximal_segments(positions, scores)
+        assert time.process_time() - start < 1
