@@ -23,12 +23,11 @@ SEED = 20240501
 def source_rates(
     docs: DataFrame, weights: Mapping[str, float], source_column: str = "source", size: Column | None = None
 ) -> DataFrame:
-    """(source, amount, rate, steps): mean repetitions of each source and its Poisson distribution.
+    """(source, amount, rate): mean repetitions of each source.
 
     ``weights`` holds shares of the mixture (each in 0..1, together at most 1).  Sources
     without one share the rest in proportion to their amount.  The mixture is as large
-    as the input; where named sources are absent it is smaller by their share.  ``steps``
-    is the cumulative distribution up to where it no longer grows in double precision.
+    as the input; where named sources are absent it is smaller by their share.
     """
     if any(not 0 <= w <= 1 for w in weights.values()) or sum(weights.values()) > 1 + 1e-9:
         raise ValueError("weights are shares between 0 and 1 of one mixture")
@@ -46,34 +45,35 @@ def source_rates(
     total, unnamed = totals.first()
     share = F.coalesce(weight, F.lit(1.0 - sum(weights.values())) * F.col("amount") / F.lit(float(unnamed or 1)))
     rate = F.when(F.col("amount") > 0, share * F.lit(float(total or 0)) / F.col("amount")).otherwise(0.0)
-    last = F.ceil(F.col("rate") + 12 * F.sqrt("rate") + 40).cast("int")
-    log_factorials = F.aggregate(
-        F.sequence(F.lit(1), F.col("last")),
-        F.array(F.lit(0.0)),
-        lambda done, k: F.concat(done, F.array(F.element_at(done, -1) + F.log(k.cast("double")))),
-    )
-    probabilities = F.transform(
-        "log_factorials",
-        lambda f, k: F.when(
-            F.col("rate") > 0, F.exp(F.log("rate") * k.cast("double") - F.col("rate") - f)
-        ).otherwise(F.when(k == 0, 1.0).otherwise(0.0)),
-    )
-    steps = F.slice(
-        F.aggregate(
-            "probabilities",
-            F.array(F.lit(0.0)),
-            lambda done, p: F.concat(done, F.array(F.element_at(done, -1) + p)),
-        ),
-        2,
-        1_000_000,
-    )
-    return (
-        amounts.withColumn("rate", rate)
-        .withColumn("last", last)
-        .withColumn("log_factorials", log_factorials)
-        .withColumn("probabilities", probabilities)
-        .select("source", "amount", "rate", steps.alias("steps"))
-    )
+    return amounts.select("source", "amount", rate.alias("rate"))
+
+
+def poisson_copies(rate: Column, drawn: Column) -> Column:
+    """The quantile of a Poisson distribution at ``drawn``, a number in [0, 1): how many steps of it lie at or below.
+
+    Probabilities are summed from 0 on, in plain numbers while the first one is not too small
+    for a double.  Beyond that the sum starts 25 standard deviations below the mean: all that is
+    left out is far below the last digit, and the steps grow with the root of the rate.
+    """
+    from_start = F.lit(700.0)
+    low = F.when(rate <= from_start, F.lit(0)).otherwise(F.floor(rate - 25 * F.sqrt(rate))).cast("long")
+    low = F.greatest(low, F.lit(0).cast("long"))
+    steps = F.ceil(F.when(rate <= from_start, rate + 12 * F.sqrt(rate) + 40).otherwise(37 * F.sqrt(rate) + 40)).cast("int")
+    k = low.cast("double")
+    # log of k!: exact sums are not needed, the series is good to the last digits beyond 100.
+    log_factorial = F.when(k > 0, k * F.log(k) - k + 0.5 * F.log(2 * F.pi() * k) + 1 / (12 * k) - 1 / (360 * k * k * k)).otherwise(0.0)
+    first = F.when(rate > 0, F.exp(F.log(rate) * k - rate - log_factorial)).otherwise(1.0)
+    start = F.struct(first.alias("p"), first.alias("sum"), low.alias("k"), F.lit(True).alias("going"))
+
+    def step(state: Column, i: Column) -> Column:
+        # Still going: the sum up to k is at or below the drawn number, so k + 1 copies are reached.
+        going = state["going"] & (state["sum"] <= drawn) & (state["p"] >= 0)
+        k = state["k"] + going.cast("long")
+        p = F.when(going, state["p"] * rate / k).otherwise(state["p"])
+        total = F.when(going, state["sum"] + p).otherwise(state["sum"])
+        return F.struct(p.alias("p"), total.alias("sum"), k.alias("k"), going.alias("going"))
+
+    return F.aggregate(F.sequence(F.lit(1), steps), start, step, lambda state: state["k"])
 
 
 def hashed_uniform(*parts: Column) -> Column:
@@ -97,6 +97,7 @@ def mix_sources(
     are rows unless ``size`` says otherwise.  An empty table gives an empty mixture.
     """
     rates = stored(source_rates(docs, weights, source_column, size), "rates")
+    copies = poisson_copies(F.col("rate"), F.col("drawn")).cast("int")
     key = F.coalesce(F.col(id_column).cast("string"), F.lit(""))
     body = F.md5(whole_text(text_column))
     drawn = docs.select(
@@ -105,7 +106,6 @@ def mix_sources(
         hashed_uniform(F.lit(str(seed)), key).alias("drawn"),
         F.concat_ws("|", F.lit(str(seed)), key, body).alias("name"),
     )
-    copies = F.size(F.filter("steps", lambda step: step <= F.col("drawn")))
     return (
         drawn.join(rates, F.col("own_source").eqNullSafe(F.col("source")))
         .select("doc", "rate", "name", copies.alias("copies"))

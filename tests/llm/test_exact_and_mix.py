@@ -102,3 +102,26 @@ def test_mixing_on_odd_rows(spark):
     assert mixing.mix_sources(spark.createDataFrame([], SCHEMA), {"src2": 0.5}).count() == 0
     with pytest.raises(ValueError):
         mixing.mix_sources(docs, {"src0": 0.7, "src1": 0.6})
+
+
+def test_copies_at_any_rate(spark):
+    """The quantile against sums of the distribution, up to rates of a million."""
+    from math import exp, lgamma, log
+
+    rates = [0.0, 0.3, 1.0, 7.5, 600.0, 699.9, 700.1, 12_345.6, 1e6]
+    drawn = [0.0, 1e-9, 0.1, 0.5, 0.9, 0.999999]
+    rows = [(r, u) for r in rates for u in drawn]
+    frame = spark.createDataFrame(rows, "rate double, drawn double")
+    found = frame.withColumn("copies", mixing.poisson_copies(F.col("rate"), F.col("drawn"))).collect()
+    for r in found:
+        if not r.rate:
+            assert r.copies == 0
+            continue
+        low = max(0, int(r.rate - 35 * r.rate**0.5))
+        total, k = 0.0, low
+        while True:
+            total += exp(k * log(r.rate) - r.rate - lgamma(k + 1))
+            if total > r.drawn or k > r.rate + 40 * r.rate**0.5 + 60:
+                break
+            k += 1
+        assert abs(r.copies - k) <= (r.rate > 1e5), (r.rate, r.drawn, r.copies, k)
