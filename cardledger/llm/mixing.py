@@ -73,7 +73,8 @@ def poisson_copies(rate: Column, drawn: Column) -> Column:
         total = F.when(going, state["sum"] + p).otherwise(state["sum"])
         return F.struct(p.alias("p"), total.alias("sum"), k.alias("k"), going.alias("going"))
 
-    return F.aggregate(F.sequence(F.lit(1), steps), start, step, lambda state: state["k"])
+    reached = F.aggregate(F.sequence(F.lit(1), steps), start, step, lambda state: state["k"])
+    return F.when(drawn > 0, reached).otherwise(F.lit(0).cast("long"))  # below every step
 
 
 def hashed_uniform(*parts: Column) -> Column:
