@@ -58,25 +58,34 @@ def is_enrolment_header() -> Column:
     return F.substring("line", 10, 1) == "H"
 
 
-def first_lines(lines: DataFrame, order: str = "line_order") -> DataFrame:
-    """The place of every file's first line, one row per file."""
-    return lines.groupBy("input_filename").agg(F.min(order).alias(order))
+def file_heads(lines: DataFrame, order: str = "line_order") -> DataFrame:
+    """One row per file: the place of its first line, and that line where it is a header.  One scan."""
+    header = F.when(is_enrolment_header(), F.struct("line", *_others(lines)))
+    narrow = lines.select(F.col("input_filename"), F.col(order).alias("_order"), header.alias("_line"))
+    return narrow.groupBy("input_filename").agg(
+        F.min("_order").alias("_first"), F.min_by("_line", "_order").alias("_header")
+    )
 
 
 def enrolment_headers(lines: DataFrame, order: str = "line_order") -> DataFrame:
     """Header fields of the files whose first line is a header."""
-    headers = lines.filter(is_enrolment_header()).join(first_lines(lines, order), ["input_filename", order], "left_semi")
+    headers = file_heads(lines, order).filter("_header IS NOT NULL").select("_header.*")
     return headers.select(*cut(ENROLMENT_HEADER), *_others(lines))
 
 
-def enrolment_details(lines: DataFrame, order: str = "line_order") -> DataFrame:
-    """D3: the eight fields of every line that is no header.
+def enrolment_details(lines: DataFrame, order: str = "line_order", batch_as: str | None = None) -> DataFrame:
+    """D3: the eight fields of every line that is no header; with ``batch_as`` also the batch of its file's header.
 
-    Only lines that look like a header are held against the first lines of their files.
+    One scan of the lines meets one row per file, on the left side: a file with most lines can be cut.
     """
-    details = lines.filter(~is_enrolment_header())
-    later = lines.filter(is_enrolment_header()).join(first_lines(lines, order), ["input_filename", order], "left_anti")
-    return details.unionByName(later).select(*cut(ENROLMENT_DETAIL), *_others(lines))
+    heads = file_heads(lines, order).select("input_filename", "_first", F.col("_header.line").alias("_header"))
+    met = lines.join(heads, "input_filename", "left")
+    details = met.filter(~(is_enrolment_header() & (F.col(order) == F.col("_first"))))
+    columns = [*cut(ENROLMENT_DETAIL), *_others(lines)]
+    if batch_as:
+        start, end = ENROLMENT_HEADER["batch_id"]
+        columns.append(stripped(F.substring("_header", start + 1, end - start)).alias(batch_as))
+    return details.select(*columns)
 
 
 # ---- points ---------------------------------------------------------------

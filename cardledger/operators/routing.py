@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardledger.functions import signed_amount, transaction_key
@@ -45,12 +45,27 @@ MOVEMENT_TYPES = ("VC", "E")
 PARTNER_CAUSALS = ("BB", "DA", "PC", "PB", "CC", "WB")
 
 
-def match_master(feed: DataFrame, master: DataFrame, keys: dict[str, str], carry: Sequence[str]) -> DataFrame:
-    """Left join of feed columns to master columns; carried master columns end in ``_an``."""
+def match_master(
+    feed: DataFrame, master: DataFrame, keys: dict[str, str], carry: Sequence[str], stored: bool = False
+) -> DataFrame:
+    """Left join of feed columns to master columns; carried master columns end in ``_an``.
+
+    A ``stored`` master lies in sorted buckets of its key.  The feed's distinct keys are looked
+    up there first: the keys move to the buckets, the master stays where it is.  The feed
+    then meets the few rows found; a hash beside the key makes that a join of its own, so
+    that a hot account is cut there and never lands in one bucket's task.
+    """
     names = list(dict.fromkeys([*keys.values(), *carry]))
     right = master.select(*[F.col(name).alias(f"{name}_an") for name in names])
-    condition = reduce(lambda a, b: a & b, [F.col(ours) == F.col(f"{theirs}_an") for ours, theirs in keys.items()])
-    return feed.join(right, condition, "left")
+    ours, theirs = list(keys), [f"{name}_an" for name in keys.values()]
+    condition = reduce(lambda a, b: a & b, [F.col(a) == F.col(b) for a, b in zip(ours, theirs, strict=True)])
+    if not stored:
+        return feed.join(right, condition, "left")
+    asked = feed.select(*[F.col(a).alias(f"_{b}") for a, b in zip(ours, theirs, strict=True)]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(f"_{b}") == F.col(b) for b in theirs])
+    found = asked.join(right, same).select(*right.columns, F.xxhash64(*theirs).alias("_number_an"))
+    numbered = feed.withColumn("_number", F.xxhash64(*ours))
+    return numbered.join(found, condition & (F.col("_number") == F.col("_number_an")), "left").drop("_number", "_number_an")
 
 
 def _with_route(matched: DataFrame, reason: Column) -> DataFrame:
@@ -70,35 +85,37 @@ def _activity_reason(key: str, active: str = "is_customer_number_active_an") ->
     )
 
 
-def _routed_by_account(feed: DataFrame, master: DataFrame, account_column: str) -> DataFrame:
+def _routed_by_account(feed: DataFrame, master: DataFrame, account_column: str, stored: bool) -> DataFrame:
     matched = match_master(
         feed,
         master,
         {"product_company": "product_company", account_column: "account_number"},
         ["customer_number", "is_customer_number_active"],
+        stored,
     )
     return _with_route(matched, _activity_reason("account_number_an")).select(
         *feed.columns, F.col("customer_number_an").alias("master_customer_number"), "route", "reason"
     )
 
 
-def route_points(feed: DataFrame, master: DataFrame) -> DataFrame:
-    """J3, F1, F2."""
-    return _routed_by_account(feed, master, "account_number")
+def route_points(feed: DataFrame, master: DataFrame, stored: bool = False) -> DataFrame:
+    """J3, F1, F2; ``stored`` as in ``match_master``."""
+    return _routed_by_account(feed, master, "account_number", stored)
 
 
-def route_partner(feed: DataFrame, master: DataFrame) -> DataFrame:
+def route_partner(feed: DataFrame, master: DataFrame, stored: bool = False) -> DataFrame:
     """The feed's customer number really is an account number."""
-    return _routed_by_account(feed, master, "customer_number")
+    return _routed_by_account(feed, master, "customer_number", stored)
 
 
-def route_maintenance(staged: DataFrame, master: DataFrame) -> DataFrame:
+def route_maintenance(staged: DataFrame, master: DataFrame, stored: bool = False) -> DataFrame:
     """Accepted when the account is in the master, active or not; names and tax id come from there."""
     matched = match_master(
         staged,
         master,
         {"product_company": "product_company", "account_number": "account_number"},
         ["customer_number", "customer_name", "customer_surname", "taxid_number"],
+        stored,
     )
     reason = F.when(F.col("account_number_an").isNull(), UNKNOWN)
     kept = [F.col("customer_number_an").alias(c) if c == "customer_number" else F.col(c) for c in staged.columns]
@@ -121,9 +138,12 @@ def route_enrolment(staged: DataFrame, master: DataFrame) -> DataFrame:
     an anti join.
     """
     keys = ["product_company", "account_number"]
+    # Counts and master rows meet per account first, combined in the tasks; a repeated account
+    # is one row there, and the adaptive join may cut it where the file's rows come in.
+    counted = staged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter("product_company IS NOT NULL AND account_number IS NOT NULL")
     known = master.select(*keys).distinct().withColumn("_known", F.lit(True))
-    counted = staged.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-    matched = counted.join(known, keys, "left")
+    states = counted.join(known, keys, "left").withColumn("_number", F.xxhash64(*keys))
+    matched = staged.withColumn("_number", F.xxhash64(*keys)).join(states, [*keys, "_number"], "left")
     whole = F.col("product_company").isNotNull() & F.col("account_number").isNotNull()
     reason = F.when(F.col("_known"), IN_MASTER).when(whole & (F.col("_rows") > 1), REPEATED)
     return _with_route(matched, reason).select(*staged.columns, "route", "reason")

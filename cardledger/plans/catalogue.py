@@ -111,16 +111,12 @@ def decode_point_totals(spark, sf_dir):
 @query
 def decode_enrolment(spark, sf_dir):
     lines = view(spark, sf_dir, "fx_enrolment_line")
-    headers = decode.enrolment_headers(lines, "line_no").withColumn("header_batch_id", F.col("batch_id"))
-    return decode.with_header_value(decode.enrolment_details(lines, "line_no"), headers, "header_batch_id", "line_no")
+    return decode.enrolment_details(lines, "line_no", batch_as="header_batch_id")
 
 
 @query
 def enrolment_counts(spark, sf_dir):
-    lines = view(spark, sf_dir, "fx_enrolment_line")
-    return control.record_counts(
-        decode.enrolment_headers(lines, "line_no"), decode.enrolment_details(lines, "line_no")
-    )
+    return control.enrolment_counts(view(spark, sf_dir, "fx_enrolment_line"), "line_no")
 
 
 @query
@@ -409,7 +405,9 @@ def _accepted_points(spark, sf_dir):
 
 
 def _store(spark, label: str, **more) -> LedgerStore:
-    return LedgerStore.create(spark, scratch_folder(spark, label), TABLES | more, partition_by=KEYS)
+    # As many buckets as joins have partitions, so that neither side of a join by key is dealt anew.
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return LedgerStore.create(spark, scratch_folder(spark, label), TABLES | more, partition_by=KEYS, buckets=buckets)
 
 
 def _append(store, table, rows):
@@ -443,10 +441,7 @@ def partner_lines(spark, sf_dir):
 
 @query
 def points_reconcile(spark, sf_dir):
-    lines = view(spark, sf_dir, "fx_points_record")
-    stated = control.stated_totals(decode.points_account_totals(lines), "line_no")
-    summed = control.summed_points(decode.points_transactions(lines))
-    return control.points_reconcile(stated, summed, ["programme", "account_number"])
+    return control.reconcile_points(view(spark, sf_dir, "fx_points_record"), "line_no")
 
 
 @query

@@ -17,14 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from cardledger.operators import accounts, balances, decode, outputs, pivots, routing
-from cardledger.operators.control import (
-    ledger_check,
-    points_reconcile,
-    record_counts,
-    stated_totals,
-    summed_points,
-)
-from cardledger.operators.ledgers import BATCH, BUCKET, Change, LedgerMismatch, LedgerStore, bucket_of
+from cardledger.operators.control import enrolment_counts, ledger_check, reconcile_points
+from cardledger.operators.ledgers import BATCH, BUCKET, BUCKETS, Change, LedgerMismatch, LedgerStore
 from cardledger.schemas import (
     BALANCE,
     BOOKED_BATCHES,
@@ -59,7 +53,7 @@ TABLES = {
 # Nearly all rows belong to one product company, so the month alone is the level
 # by which readers can skip files; a run appends to the few months of its feed.
 TRANSACTION_PARTITIONS = ("transaction_month",)
-KEYS = {"l_transaction": TRANSACTION_PARTITIONS, "l_anag": (BUCKET,), "l_balance": (BUCKET,)}
+KEYS = {"l_transaction": TRANSACTION_PARTITIONS}
 
 
 @dataclass
@@ -84,8 +78,9 @@ class Booking:
     waiting: list[Callable[[], None]] = field(default_factory=list)
 
 
-def create_store(spark, root: str, fmt: str = "parquet") -> LedgerStore:
-    return LedgerStore.create(tune(spark), root, TABLES, fmt, KEYS)
+def create_store(spark, root: str, fmt: str = "parquet", buckets: int = BUCKETS) -> LedgerStore:
+    """An empty store; master and balances in so many buckets, at least as many as a join has partitions."""
+    return LedgerStore.create(tune(spark), root, TABLES, fmt, KEYS, buckets)
 
 
 def next_file(
@@ -111,9 +106,14 @@ def _loaded_before(store: LedgerStore, feed: str, column: str, value: str) -> bo
     return not log.filter((F.col("feed") == feed) & (F.col(column) == value)).isEmpty()
 
 
+def _one_row(change: Change, schema: StructType, *values) -> DataFrame:
+    """A control row of constants."""
+    columns = [F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(schema.fields, values, strict=True)]
+    return change.store.spark.range(1, numPartitions=1).select(*columns)
+
+
 def _log_load(change: Change, feed: str, source: InputFile, batch: str | None) -> None:
-    entry = [(feed, source.name, batch, change.run_ts)]
-    change.append("loaded_files", change.store.spark.createDataFrame(entry, LOADED_FILES).coalesce(1))
+    change.append("loaded_files", _one_row(change, LOADED_FILES, feed, source.name, batch, change.run_ts))
 
 
 def _skip(store: LedgerStore, feed: str, source: InputFile, run_ts: str) -> bool:
@@ -226,13 +226,10 @@ def check_file(store: LedgerStore, feed: str, source: InputFile) -> DataFrame:
     lines = _lines(store, source, latin1=feed not in ("partner", "saveback"))
     if feed == "enrolment":
         lines = text.single_backslashes(lines)
-        return record_counts(decode.enrolment_headers(lines), decode.enrolment_details(lines))
+        return enrolment_counts(lines)
     if feed == "points":
         lines = text.single_backslashes(lines)
-        stated = stated_totals(decode.points_account_totals(lines))
-        summed = summed_points(decode.points_transactions(lines))
-        both = points_reconcile(stated, summed, ["programme", "account_number"])
-        return both.filter(F.col("difference") != 0)
+        return reconcile_points(lines).filter(F.col("difference") != 0)
     if feed == "maintenance":
         foreign = pivots.wrong_company_lines(decode.maintenance_details(lines))
         return foreign.groupBy("key_company").agg(F.count(F.lit(1)).alias("lines"))
@@ -272,7 +269,7 @@ def _open_change(store: LedgerStore, feed: str, run_ts: str) -> Change | None:
     source = f"book {feed} {batch[0]}"
     if store.booked(source):
         raise LedgerMismatch(f"the staged batch {batch[0]} is booked already")
-    return store.begin(run_ts, source)
+    return store.begin(run_ts, source, booking=True)
 
 
 def _document(booking: Booking, rows: DataFrame, folder: str, name: str, ordered: bool = False) -> None:
@@ -288,15 +285,17 @@ def _document(booking: Booking, rows: DataFrame, folder: str, name: str, ordered
     booking.waiting.append(write)
 
 
-def _touched(rows: DataFrame) -> list[int]:
-    """The buckets of the customers of some rows: at most ``BUCKETS`` numbers."""
-    return [r[BUCKET] for r in rows.select(bucket_of().alias(BUCKET)).distinct().collect()]
+def _touched(store: LedgerStore, table: str, rows: DataFrame) -> list[int]:
+    """The buckets of a table that rows with its key fall into: at most as many numbers as it has buckets."""
+    return sorted(r[BUCKET] for r in rows.select(store.bucket(table).alias(BUCKET)).distinct().collect())
 
 
-def _rewritten(change: Change, table: str, buckets: list[int], update: Callable[[DataFrame], DataFrame]) -> None:
+def _rewritten(
+    change: Change, table: str, buckets: list[int], update: Callable[[DataFrame], DataFrame], placed: bool = False
+) -> None:
     """Rewrite the touched buckets of a table; all others keep their files."""
     old = change.store.rows_with_places(table).filter(F.col(BUCKET).isin(buckets)).drop(BATCH, BUCKET)
-    change.replace(table, update(old), expect_rows=old.count(), buckets=buckets)
+    change.replace(table, update(old), expect_rows=old.count(), buckets=buckets, placed=placed)
 
 
 def _book_movements(
@@ -311,7 +310,8 @@ def _book_movements(
     delta = balances.balance_delta(rows, from_partner).persist()
     booking.totals["customers_moved"] = delta.count()
     matched = Observation()
-    _rewritten(change, "l_balance", _touched(delta), lambda old: balances.balance_update(old, delta, matched))
+    touched = _touched(change.store, "l_balance", delta)
+    _rewritten(change, "l_balance", touched, lambda old: balances.balance_update(old, delta, matched), placed=True)
     delta.unpersist()
     booking.totals["movements_without_balance"] = booking.totals["rows_accepted"] - matched.get["movements"]
     booked = outputs.with_partner_units(rows) if from_partner else rows
@@ -330,8 +330,7 @@ def _finish(change: Change, booking: Booking, feed: str, ledger: str, read: int,
         raise LedgerMismatch(f"{feed}: rows were lost or multiplied, is an account twice in the master? {booking.totals}")
     if not booking.totals["ledger_agrees"]:
         raise LedgerMismatch(f"{ledger}: {booking.totals}")
-    booked = change.store.spark.createDataFrame([(feed, change.source, change.run_ts)], BOOKED_BATCHES)
-    change.append("l_booked", booked.coalesce(1))
+    change.append("l_booked", _one_row(change, BOOKED_BATCHES, feed, change.source, change.run_ts))
     change.commit()
     for write in booking.waiting:
         write()
@@ -354,7 +353,7 @@ def book_points(store: LedgerStore, folder: str, run_ts: str, file_prefix: str =
         return None
     booking = Booking()
     staged = store.read("e_points")
-    routed = routing.route_points(staged, store.read("l_anag"))
+    routed = routing.route_points(staged, store.read("l_anag"), stored=True)
     rows, accepted, _ = _routed(change, "points", routed, booking)
     if accepted:
         moved = balances.movements(rows)
@@ -371,7 +370,7 @@ def book_partner(store: LedgerStore, folder: str, run_ts: str, file_prefix: str
         return None
     booking = Booking()
     staged = store.read("e_partner")
-    routed = routing.route_partner(staged, store.read("l_anag"))
+    routed = routing.route_partner(staged, store.read("l_anag"), stored=True)
     rows, accepted, rejects = _routed(change, "partner", routed, booking)
     response = routing.partner_response(rows.unionByName(rejects))
     name = staged.agg(F.min(outputs.response_file_name(F.col("input_filename"))).alias("name")).first()["name"]
@@ -422,7 +421,7 @@ def book_enrolment(store: LedgerStore, folder: str, run_ts: str, file_prefix: st
     if accepted:
         new = rows.select(*MASTER.names).distinct()
         registered = change.append("l_anag", new)
-        added = change.count_after("l_anag") - change.count_before("l_anag")
+        added = new.count()
         opened = balances.open_balances(registered, store.read("l_balance"), run_ts)
         change.append("l_balance", conform(opened, BALANCE))
         document = accounts.enrolment_actions(registered)
@@ -440,7 +439,7 @@ def book_maintenance(store: LedgerStore, folder: str, run_ts: str, file_prefix:
         return None
     booking = Booking()
     staged = store.read("e_maintenance")
-    routed = routing.route_maintenance(staged, store.read("l_anag"))
+    routed = routing.route_maintenance(staged, store.read("l_anag"), stored=True)
     rows, accepted, _ = _routed(
         change, "maintenance", routed, booking, ("customer_name_an", "customer_surname_an", "taxid_number")
     )
@@ -452,11 +451,14 @@ def book_maintenance(store: LedgerStore, folder: str, run_ts: str, file_prefix:
         closing = accounts.closing_customers(acting).persist()
         booking.totals["customers_closed"] = closing.count()
         if booking.totals["customers_closed"]:
-            buckets = _touched(closing)
             # Closing also turns every missing balance into 0 (Q20), so their buckets are touched too.
             missing = store.rows_with_places("l_balance").filter("balance_extrabonus IS NULL OR balance_virtualcredit IS NULL")
             without = {r[BUCKET] for r in missing.select(BUCKET).distinct().collect()}
-            _rewritten(change, "l_balance", sorted({*buckets, *without}), lambda old: balances.balance_close(old, closing))
+            touched = sorted({*_touched(store, "l_balance", closing), *without})
+            _rewritten(change, "l_balance", touched, lambda old: balances.balance_close(old, closing), placed=True)
+            # The master lies by account: the buckets are those of the closing customers' accounts.
+            theirs = store.rows_with_places("l_anag").join(closing.select(*accounts.CUSTOMER), accounts.CUSTOMER, "left_semi")
+            buckets = sorted(r[BUCKET] for r in theirs.select(BUCKET).distinct().collect())
             _rewritten(change, "l_anag", buckets, lambda old: accounts.account_disable(old, closing))
         closing.unpersist()
         acting.unpersist()

@@ -21,6 +21,9 @@ ADAPTIVE_SETTINGS = {
     # Where every shuffled partition of the keyed table is this small, it is hashed
     # and the feed beside it is not sorted.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "32m",
+    # Buckets are one sorted file each: a bucket is always one task, and is not sorted again.
+    "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
 }
 
 

@@ -70,7 +70,7 @@ def maintenance_lines(rows):
 
 def clone(store, root):
     """A store with the same rows below another folder."""
-    copy = feeds.create_store(store.spark, str(root))
+    copy = feeds.create_store(store.spark, str(root), buckets=4)
     change = copy.begin("R", "clone")
     for table in feeds.TABLES:
         if store.paths(table):
@@ -85,14 +85,14 @@ def prepared(spark, tmp_path_factory):
     base = tmp_path_factory.mktemp("prepared")
     accounts = [("A1", "C1", "ANNA*ROSSI"), ("A2", "C1", "ANNA*ROSSI"), ("A3", "C2", "MARIO")]
     write(str(base / "in"), "ENR_20240101120000.txt", enrolment_lines(accounts), "\r\n", "latin-1")
-    store = feeds.create_store(spark, str(base / "enrolled"))
+    store = feeds.create_store(spark, str(base / "enrolled"), buckets=4)
     source = feeds.next_file(store, "enrolment", str(base / "in"), "ENR_", 14)
     return base, store, feeds.run(store, "enrolment", source, str(base / "out"), "20240102000000")
 
 
 @pytest.fixture
 def store(spark, tmp_path):
-    return feeds.create_store(spark, str(tmp_path / "store"))
+    return feeds.create_store(spark, str(tmp_path / "store"), buckets=4)
 
 
 @pytest.fixture
@@ -479,6 +479,158 @@ def test_two_writers_do_not_touch_each_other(enrolled, spark):
     assert balances_of(store) == {"C1": (1, 0), "C2": (1, 0)}
 
 
+class Died(Exception):
+    pass
+
+
+def dying_before(monkeypatch, number):
+    """Every ``ALTER`` statement changes what readers may see; the run dies before the one of this number."""
+    run, met = LedgerStore.run, []
+
+    def watched(store, statement):
+        if statement.startswith("ALTER"):
+            met.append(statement)
+            if len(met) == number:
+                raise Died(statement)
+        return run(store, statement)
+
+    monkeypatch.setattr(LedgerStore, "run", watched)
+    return met
+
+
+def test_a_booking_may_die_anywhere_and_is_ended_by_its_repetition(prepared, spark, tmp_path, monkeypatch):
+    rows = [("A1", "R1", "00000000001000\u00e0"), ("A9", "R2", "00000000001000\u00e0")]
+    write(str(tmp_path / "p"), "PTS_1.txt", points_lines(rows), "\r\n", "latin-1")
+    for number in range(1, 20):
+        store = clone(prepared[1], tmp_path / f"s{number}")
+        source = feeds.next_file(store, "points", str(tmp_path / "p"), "PTS_", 1)
+        assert feeds.read_points(store, source, "R1")
+        with monkeypatch.context() as patch:
+            met = dying_before(patch, number)
+            try:
+                feeds.book_points(store, str(tmp_path / "out"), "R1")
+            except Died:
+                # Every customer once, with the old balance or the new one.
+                shown = [tuple(r) for r in store.read("l_balance").select("customer_number", "balance_virtualcredit").collect()]
+                assert sorted(shown) in ([("C1", 0), ("C2", 0)], [("C1", 100), ("C2", 0)])
+                assert store.rows("l_transaction") <= 1 and store.rows("i_points") <= 1
+        if len(met) >= number:
+            if sorted(shown)[0][1]:
+                with pytest.raises(LedgerMismatch, match="repeat it first"):
+                    store.begin("R", "another", booking=True)
+            totals = feeds.book_points(store, str(tmp_path / "out"), "R2").totals
+            assert (totals["rows_accepted"], totals["rows_rejected"], totals["movements_without_balance"]) == (1, 1, 0)
+        assert balances_of(store) == {"C1": (0, Decimal("100.000")), "C2": (0, 0)}
+        assert (store.rows("l_transaction"), store.rows("i_points"), store.rows("i_points_rejected")) == (1, 1, 1)
+        with pytest.raises(LedgerMismatch, match="booked already"):
+            feeds.book_points(store, str(tmp_path / "out"), "R3")
+        assert not store.unfinished()
+        if len(met) < number:
+            break
+    assert 5 < number < 19
+
+
+def test_an_enrolment_that_died_is_ended_by_its_repetition(store, spark, tmp_path, monkeypatch):
+    write(str(tmp_path / "e"), "ENR_1.txt", enrolment_lines([("A1", "C1", "X"), ("A2", "C2", "Y")]), "\r\n", "latin-1")
+    assert feeds.read_enrolment(store, feeds.next_file(store, "enrolment", str(tmp_path / "e"), "ENR_", 1), "R1")
+    with monkeypatch.context() as patch:
+        seen = dying_before(patch, 99)
+        patch.setattr(LedgerStore, "run", _dying_at_view(LedgerStore.run, "l_balance"))
+        with pytest.raises(Died):
+            feeds.book_enrolment(store, str(tmp_path / "out"), "R1")
+    assert seen and store.rows("l_anag") == 2 and store.rows("l_balance") == 0
+    totals = feeds.book_enrolment(store, str(tmp_path / "out"), "R2").totals
+    assert (totals["rows_accepted"], totals["rows_rejected"], totals["ledger_added"]) == (2, 0, 2)
+    assert store.rows("l_anag") == 2 and sorted(balances_of(store)) == ["C1", "C2"]
+
+
+def _dying_at_view(run, table):
+    def watched(store, statement):
+        if statement.startswith("ALTER VIEW") and f"`{table}` AS" in statement:
+            raise Died(statement)
+        return run(store, statement)
+
+    return watched
+
+
+def test_joins_by_the_key_of_a_stored_table_move_and_sort_the_feed_only(spark, tmp_path):
+    from cardledger.operators import balances, routing
+
+    store = feeds.create_store(spark, str(tmp_path / "b"), buckets=4)
+    change = store.begin("R", "fill")
+    change.append("l_balance", one_balance(spark, 1))
+    names = {"product_company": "18200", "account_number": "A1", "customer_number": "C1"}
+    master = spark.range(1).select(
+        *[F.lit(names.get(f.name)).cast(f.dataType).alias(f.name) if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in MASTER]
+    )
+    change.append("l_anag", master)
+    change.commit()
+    columns = ("product_company", "account_number", "customer_number", "sign", "value", "transaction_type")
+    feed = spark.createDataFrame([("18200", "A1", "C1", "+", "1", "VC")] * 3, list(columns))
+    delta = balances.balance_delta(feed)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for frame, table in (
+            (balances.balance_update(store.read("l_balance"), delta), "l_balance"),
+            (routing.route_points(feed, store.read("l_anag"), stored=True), "l_anag"),
+        ):
+            frame.collect()
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            assert f"{table}__" in plan and _moved(plan, f"{table}__") == []
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _moved(plan: str, table: str) -> list[str]:
+    """Exchange and Sort nodes between a scan of ``table`` and the join above it, in the final plan."""
+    lines = plan.split("== Initial Plan ==")[0].splitlines()
+    at = next(i for i, line in enumerate(lines) if "FileScan" in line and table in line)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+    found, level = [], depth(lines[at])
+    for line in reversed(lines[:at]):
+        if depth(line) < level:
+            level = depth(line)
+            node = line.lstrip(" :+-*()0123456789")
+            if "Join" in node:
+                return found
+            found += [node] if node.startswith(("Exchange", "Sort ")) else []
+    return found
+
+
+def test_expired_files_go_and_shown_ones_stay(store, spark):
+    for n in (1, 2, 3):
+        change = store.begin(f"2024010{n}", "s")
+        change.replace("l_balance", one_balance(spark, n))
+        change.commit()
+    assert len(store.expired_folders("l_balance")) == 2
+    assert [b.split("-")[0] for b in store.expire("l_balance", "20240102")] == ["20240101"]
+    assert [b.split("-")[0] for b in store.expire("l_balance", "20240109")] == ["20240102"]
+    assert [r["balance_extrabonus"] for r in store.read("l_balance").collect()] == [3]
+
+
+def test_a_rewrite_keeps_large_partitions_and_a_new_column_keeps_all_files(store, spark):
+    def append(day):
+        change = store.begin("R", "s")
+        change.append("l_transaction", one_movement(spark, store, day))
+        change.commit()
+
+    for day in ("20240105", "20240106", "20240205"):
+        append(day)
+    before = set(store.paths("l_transaction"))
+    store.rewrite(["l_transaction"], "R", small_bytes=1)
+    assert set(store.paths("l_transaction")) == before
+    store.rewrite(["l_transaction"], "R")
+    after = set(store.paths("l_transaction"))
+    assert len(after) == 2 and {p for p in before if "202402" in p} <= after and store.rows("l_transaction") == 3
+    files = set(store.read("l_transaction").inputFiles())
+    store.migrate_column("l_transaction", "note", "old", "value", "R")
+    assert set(store.read("l_transaction").inputFiles()) == files
+    assert {r["note"] for r in store.read("l_transaction").collect()} == {"old"}
+    store.rewrite(["l_transaction"], "R", small_bytes=1 << 40)
+    assert {r["note"] for r in store.read("l_transaction").collect()} == {"old"}
+
+
 def test_a_wrong_row_count_commits_nothing(store, spark):
     change = store.begin("R", "s")
     with pytest.raises(LedgerMismatch, match="1 rows written, 7 expected"):
