@@ -44,6 +44,45 @@ def pending_files(spark, sf_dir):
     return oldest_file(files, prefix_length=len("FEED_"), timestamp_length=1)
 
 
+def _named_files(lines, folder: str) -> None:
+    """Writes (value, file): one text file of that name each, a folder as partners fill it."""
+    spark = lines.sparkSession
+    parts = f"{folder}-parts"
+    lines.repartition("file").write.partitionBy("file").text(parts)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path(folder))
+    for level in files.listStatus(path(parts)):
+        name = level.getPath().getName()
+        if name.startswith("file="):
+            part = next(f.getPath() for f in files.listStatus(level.getPath()) if f.getPath().getName().startswith("part-"))
+            files.rename(part, path(f"{folder}/{name.removeprefix('file=')}"))
+
+
+@query
+def waiting_batch(spark, sf_dir):
+    """Five files in a folder, two of them in the load log: what is staged of the others, and the log."""
+    folder = scratch_folder(spark, "waiting")
+    rows = view(spark, sf_dir, "fx_movement").filter(F.col("input_filename") < "FEED_5.csv")
+    line = outputs.joined_fields([F.col(name) for name in MOVEMENT_FIELDS])
+    _named_files(rows.select(line.alias("value"), F.col("input_filename").alias("file")), folder)
+    store = _store(spark, "waiting-store")
+    known = view(spark, sf_dir, "fx_loaded").select(
+        F.lit("partner").alias("feed"), "input_filename", F.lit(None).cast("string").alias("internallog_ts"), F.lit(RUN_TS).alias("elaboration_ts")
+    )
+    _append(store, "loaded_files", known)
+    feeds.read_waiting(store, "partner", folder, "FEED_", 1, RUN_TS)
+    sides = [
+        store.read(table).select(F.lit(table).alias("table_name"), *[c for c in columns if c in store.read(table).columns])
+        for table, columns in (
+            ("e_partner", ("transaction_id", "value", "input_filename", "input_filename_timestamp")),
+            ("rejected_lines", ("line", "input_filename")),
+            ("loaded_files", ("input_filename",)),
+        )
+    ]
+    return sides[0].unionByName(sides[1], True).unionByName(sides[2], True)
+
+
 @query
 def delimited_scan(spark, sf_dir):
     folder = scratch_folder(spark, "delimited")

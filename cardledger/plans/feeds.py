@@ -208,6 +208,35 @@ def _read_movements(store: LedgerStore, feed: str, source: InputFile, run_ts: st
     return _stage(store, feed, source, conform(rows, STAGED_MOVEMENT), run_ts, bad_lines=text.malformed(split))
 
 
+def read_waiting(
+    store: LedgerStore, feed: str, folder: str, prefix: str, timestamp_length: int, run_ts: str
+) -> list[str]:
+    """Every waiting file of a delimited feed, staged as one batch by one plan; returns the names.
+
+    The load log is met by the listing, so no content of a known file is read.  Names reach
+    the driver, since a scan is told its paths; each staged row keeps its file's name and
+    timestamp, and the log gets a row per file.
+    """
+    if feed not in ("partner", "saveback"):
+        raise ValueError(f"files of {feed} are read one by one")
+    done = store.read("loaded_files").filter(F.col("feed") == feed).select("input_filename")
+    waiting = waiting_files(store.spark, folder, prefix).join(done, "input_filename", "left_anti")
+    found = waiting.select("input_filename", "path").orderBy("input_filename").collect()
+    if not found:
+        return []
+    split = text.split_lines(text.scan_lines(store.spark, [r["path"] for r in found], latin1=False))
+    rows = text.with_run_columns(text.well_formed(split), len(prefix), timestamp_length, run_ts)
+    change = store.begin(run_ts, f"read {feed}")
+    change.append(f"p_{feed}", conform(rows, STAGED_MOVEMENT))
+    change.point(f"e_{feed}", of=f"p_{feed}")
+    log = waiting.withColumns({"feed": F.lit(feed), "internallog_ts": F.lit(None).cast("string"), "elaboration_ts": F.lit(run_ts)})
+    change.append("loaded_files", conform(log, LOADED_FILES))
+    bad = text.malformed(split).withColumn("elaboration_ts", F.lit(run_ts))
+    change.append("rejected_lines", conform(bad, REJECTED_LINES))
+    change.commit()
+    return [r["input_filename"] for r in found]
+
+
 def read_partner(store: LedgerStore, source: InputFile, run_ts: str) -> bool:
     return _read_movements(store, "partner", source, run_ts)
 

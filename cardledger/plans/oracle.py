@@ -24,6 +24,19 @@ SELECT input_filename, substring(input_filename, 6, 1) AS input_filename_timesta
        substring(input_filename, 8, 17) AS listed_timestamp
 FROM fx_feed ORDER BY input_filename LIMIT 1"""
 
+SQL["waiting_batch"] = """
+WITH fresh AS (SELECT * FROM fx_movement WHERE input_filename IN ('FEED_1.csv', 'FEED_2.csv', 'FEED_4.csv'))
+SELECT 'e_partner' AS table_name, transaction_id, value, input_filename, substring(input_filename, 6, 1) AS input_filename_timestamp,
+       CAST(NULL AS VARCHAR) AS line
+FROM fresh WHERE causal NOT LIKE '%;%'
+UNION ALL
+SELECT 'rejected_lines', NULL, NULL, input_filename, NULL,
+       concat_ws(';', appcode, product_company, customer_number, transaction_id, transaction_date, transaction_type, sign,
+                 currency, value, causal, causalcode, internallog_ts)
+FROM fresh WHERE causal LIKE '%;%'
+UNION ALL
+SELECT DISTINCT 'loaded_files', NULL, NULL, input_filename, NULL, NULL FROM fx_movement WHERE input_filename < 'FEED_5.csv'"""
+
 SQL["delimited_scan"] = f"""
 SELECT appcode, product_company, customer_number, transaction_id, transaction_date, transaction_type, sign, currency,
        value, causal, causalcode, 'part-' AS input_filename, CAST(5 AS INTEGER) AS input_filename_timestamp,
