@@ -16,8 +16,8 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from cardledger.operators.ledgers import LedgerStore  # noqa: E402
-from cardledger.operators.outputs import write_document  # noqa: E402
+from cardledger.operators.ledgers import BUCKETS, LedgerStore  # noqa: E402
+from cardledger.operators.outputs import deliver, write_document  # noqa: E402
 from cardledger.plans import feeds  # noqa: E402
 from cardledger.session import build_session, run_timestamp  # noqa: E402
 
@@ -48,7 +48,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         sub.add_argument("--run-ts", help="yyyyMMddHHmmss, now (UTC) by default")
         return sub
 
-    command("create", "a new store with empty tables")
+    create = command("create", "a new store with empty tables")
+    create.add_argument("--buckets", type=int, default=BUCKETS, help="of master and balances; some hundred thousand rows each")
     feed = command("feed", "stages of a feed")
     feed.add_argument("--stage", default="all", choices=("all", "read", "book", "clear", "book-and-clear"))
     check = command("check", "write what does not add up in the next file, without staging it")
@@ -64,6 +65,12 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     for name, text in (("snapshot", "name the present state of the ledgers"), ("restore", "go back to a named state")):
         command(name, text).add_argument("tag")
     command("rewrite", "rewrite tables into one folder each").add_argument("tables", nargs="*")
+    expire = command("expire", "delete the files of older runs that no table shows")
+    expire.add_argument("before", help="run timestamp; runs from it on keep their files")
+    expire.add_argument("tables", nargs="*")
+    document = command("deliver", "join the parts of a document into one file")
+    document.add_argument("folder")
+    document.add_argument("file")
     column = command("add-column", "a constant column after another one")
     for name in ("table", "name", "value", "after"):
         column.add_argument(name)
@@ -105,7 +112,7 @@ def main(argv: list[str] | None = None) -> dict:
     run_ts = args.run_ts or run_timestamp(spark)
     result: dict = {"command": args.command, "run_ts": run_ts}
     if args.command == "create":
-        feeds.create_store(spark, args.store, args.format)
+        feeds.create_store(spark, args.store, args.format, args.buckets)
     else:
         store = LedgerStore(spark, args.store, args.format)
         if args.command == "feed":
@@ -114,6 +121,11 @@ def main(argv: list[str] | None = None) -> dict:
             result |= _check(store, args)
         elif args.command == "load-decoded":
             result["rows"] = feeds.load_decoded(store, args.feed, args.folder, run_ts)
+        elif args.command == "expire":
+            names = args.tables or [t for t in (*feeds.TABLES, *(f"i_{f}_routes" for f in feeds.READ)) if store.has(t)]
+            result["deleted"] = {t: gone for t in names if (gone := store.expire(t, args.before))}
+        elif args.command == "deliver":
+            result["joined"] = deliver(spark, args.folder, args.file)
         elif args.command == "snapshot":
             store.snapshot(args.tag, run_ts)
         elif args.command == "restore":

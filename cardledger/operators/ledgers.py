@@ -173,8 +173,9 @@ class LedgerStore:
 
     def keys(self, table: str) -> list[str]:
         """Partition keys before the batch."""
-        columns = self.spark.catalog.listColumns(self.name(self.below(table)))
-        return [c.name for c in columns if c.isPartition and c.name != BATCH]
+        rows = [r[0] for r in self.run(f"DESCRIBE TABLE {self.name(self.below(table))}").collect()]
+        named = rows[rows.index("# Partition Information") + 2 :]
+        return named[: named.index(BATCH)]  # the last level; column defaults may follow
 
     def paths(self, table: str) -> list[str]:
         """The partitions of a table: control rows, one per bucket, or a few per run and month."""
@@ -272,7 +273,7 @@ class LedgerStore:
             raise ValueError(f"no column {after}")
         below = self.below(table)
         kind = "int" if isinstance(value, int) else "string"
-        if name not in [c.name for c in self.spark.catalog.listColumns(self.name(below))]:
+        if name not in self.spark.table(self.name(below)).columns:
             self.run(f"ALTER TABLE {self.name(below)} ADD COLUMNS (`{name}` {kind} DEFAULT {_literal(value)})")
             self.run(f"ALTER TABLE {self.name(below)} SET TBLPROPERTIES ('{ADDED}' = '{' '.join([*self.added_columns(table), name])}')")
         at = shown.index(after) + 1

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.errors import IllegalArgumentException, UnsupportedOperationException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cardledger.functions import (
@@ -78,6 +79,34 @@ def write_document(rows: DataFrame, path: str) -> int:
     return seen.get["replaced"]
 
 
+def deliver(spark: SparkSession, folder: str, path: str) -> bool:
+    """K7, K8, Q13: the parts of a document as one file of the given name, joined by the file system itself.
+
+    HDFS links the blocks of the parts together; a document of one part is renamed on any file
+    system.  No byte passes a task or the driver.  Where the file system cannot join files, or
+    an empty part stands among them that it refuses, nothing changes and False says so: the
+    folder is delivered with ``hadoop fs -getmerge``, which joins its parts in the same order.
+    """
+    gateway, context = spark.sparkContext._gateway, spark.sparkContext
+    name = context._jvm.org.apache.hadoop.fs.Path
+    files = name(path).getFileSystem(context._jsc.hadoopConfiguration())
+    listed = [f for f in files.listStatus(name(folder)) if f.getPath().getName().startswith("part-")]
+    parts = sorted((f.getPath() for f in listed if f.getLen()), key=lambda p: p.getName())
+    if files.exists(name(path)):
+        raise FileExistsError(path)
+    if not parts:
+        return bool(files.createNewFile(name(path)))
+    if len(parts) > 1:
+        rest = gateway.new_array(name, len(parts) - 1)
+        for i, part in enumerate(parts[1:]):
+            rest[i] = part
+        try:
+            files.concat(parts[0], rest)
+        except (UnsupportedOperationException, IllegalArgumentException):
+            return False
+    return bool(files.rename(parts[0], name(path)))
+
+
 def write_sorted_document(rows: DataFrame, path: str) -> None:
     """K7 without the count: for sorted rows, which a sort samples and so reads twice."""
     document_lines(rows).write.mode("overwrite").text(path)

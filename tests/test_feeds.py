@@ -598,6 +598,17 @@ def _moved(plan: str, table: str) -> list[str]:
     return found
 
 
+def test_a_feed_takes_few_jobs(spark):
+    from cardledger.plans.catalogue import QUERIES
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.sparkContext.setJobGroup("feed", "feed")
+    QUERIES["feed_points"](spark, "/root/testdata/sf0.001").collect()
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("feed"))
+    spark.sparkContext.setJobGroup("", "")
+    assert jobs <= 45 and spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_expired_files_go_and_shown_ones_stay(store, spark):
     for n in (1, 2, 3):
         change = store.begin(f"2024010{n}", "s")

@@ -133,3 +133,21 @@ def test_scratch_folders_need_a_shared_folder_on_a_cluster(monkeypatch):
     assert scratch_folder(Session("local[4]"), "x").startswith("/tmp/run-")
     with pytest.raises(ValueError, match="checkpoint.dir"):
         scratch_folder(Session("spark://host:7077"), "x")
+
+
+def test_a_document_becomes_one_file_where_the_file_system_can(spark, tmp_path):
+    import os
+
+    from cardledger.operators.outputs import deliver, write_document
+
+    rows = spark.createDataFrame([(str(i), "x;y") for i in range(9)], "a string, b string")
+    one, many, none = (str(tmp_path / n) for n in ("one", "many", "none"))
+    write_document(rows.coalesce(1), one)
+    assert deliver(spark, one, str(tmp_path / "ONE.csv"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "ONE.csv")).collect()] == [f"{i};x y" for i in range(9)]
+    write_document(rows.repartition(3), many)
+    parts = sorted(os.listdir(many))
+    assert not deliver(spark, many, str(tmp_path / "MANY.csv"))  # a local disk joins no files
+    assert sorted(os.listdir(many)) == parts and not os.path.exists(tmp_path / "MANY.csv")
+    write_document(rows.limit(0), none)
+    assert deliver(spark, none, str(tmp_path / "NONE.csv")) and os.path.getsize(tmp_path / "NONE.csv") == 0
