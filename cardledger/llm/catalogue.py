@@ -66,7 +66,7 @@ def op2_toxic_segments(spark, sf_dir):
 @query
 def op3_near_copies(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return minhash.near_duplicates(docs).select("doc_id", "class_id", "class_size", "kept")
+    return minhash.near_duplicates(docs).drop("row")
 
 
 @query

@@ -179,11 +179,13 @@ def near_duplicates(
     weighted: bool = False,
     row_column: str | None = None,
 ) -> DataFrame:
-    """One row per document: row, doc_id, class_id, class_size, kept.
+    """One row per document: row, doc_id, class_id, class_size, kept, copies, links.
 
     A class is a connected component of documents whose shingle sets (``weighted``: with
     counts) have a Jaccard similarity of ``similarity`` or more.  ``class_id`` is its
-    smallest id; the row that stays has that id, the earliest one where ids repeat.  Texts
+    smallest id; the row that stays has that id, the earliest one where ids repeat.  ``copies``
+    counts the rows of the same shingle set, the row itself included, and ``links`` the other
+    sets that this one was compared with and found similar to: those that hold the class together.  Texts
     of fewer than ``width`` words are one shingle; texts without a word are alone, each a
     class of its own.  Null texts are empty, null ids are last, no other column is read.
     """
@@ -197,7 +199,7 @@ def near_duplicates(
     sketched = stored(sketches(numbered, width, bands, rows, weighted), "near-sketches")
     # Equal sets are one node, named by its smallest row: copies take no further part.
     same = sketched.filter("size > 0").groupBy("print_a", "print_b")
-    nodes = stored(same.agg(F.min("row").alias("node")), "near-nodes")
+    nodes = stored(same.agg(F.min("row").alias("node"), F.count(F.lit(1)).alias("copies")), "near-nodes")
     member = sketched.select("row", "print_a", "print_b").join(nodes, ["print_a", "print_b"])
     buckets = (
         sketched.join(nodes.select(F.col("node").alias("row")), "row", "left_semi")
@@ -213,32 +215,45 @@ def near_duplicates(
     asked = buckets.select(F.col("node").alias("row")).distinct().hint("merge")
     texts = numbered.join(asked, "row", "left_semi").select(F.col("row").alias("node"), "text")
     sets = stored(shingle_sets(texts, width, weighted), "near-sets")
-    labels = _components(buckets, sets, similarity)
+    labels, links = _components(buckets, sets, similarity)
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
+    labels = labels.join(ends, "node", "left")
 
-    classed = member.join(labels, "node", "left").select("row", F.coalesce("component", "node").alias("class"))
+    classed = member.join(labels, "node", "left").select("row", F.coalesce("component", "node").alias("class"), "copies", "links")
     whole = sketched.select("row", "doc_id").join(classed, "row", "left")
     whole = stored(
-        whole.select("row", "doc_id", F.coalesce(F.col("class"), F.col("row")).alias("class")), "near-classes"
+        whole.select(
+            "row",
+            "doc_id",
+            F.coalesce(F.col("class"), F.col("row")).alias("class"),
+            F.coalesce("copies", F.lit(1)).alias("copies"),
+            F.coalesce("links", F.lit(0)).alias("links"),
+        ),
+        "near-classes",
     )
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("best")
-    heads = whole.groupBy("class").agg(best, F.count(F.lit(1)).alias("class_size"))
+    # A table of its own, so that the adaptive skew join can cut a class that many rows share.
+    heads = stored(whole.groupBy("class").agg(best, F.count(F.lit(1)).alias("class_size")), "near-heads")
     return whole.join(heads, "class").select(
         "row",
         "doc_id",
         F.col("best.doc_id").alias("class_id"),
         "class_size",
         (F.col("row") == F.col("best.row")).alias("kept"),
+        "copies",
+        "links",
     )
 
 
-def _components(buckets: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """(node, component) of all nodes that are similar to another one."""
+def _components(buckets: DataFrame, sets: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """(node, component) of all nodes that are similar to another one, and the similar pairs (a, b), each once."""
     alone = buckets.sparkSession.createDataFrame([], "node bigint, component bigint")
     stars = _stars(buckets, alone, "first")
     links = stored(_verified(stars.selectExpr("node AS a", "size AS size_a", "h AS b", "size_h AS size_b"), sets, similarity), "near-links")
     labels = connected_components(links, "near-first")
     more = _linked_apart(_stars(buckets, labels, "second"), sets, similarity)
-    return connected_components(stored(links.union(more), "near-all-links"), "near-second")
+    every = stored(links.union(more).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-all-links")
+    return connected_components(every, "near-second"), every
 
 
 def _stars(buckets: DataFrame, labels: DataFrame, label: str) -> DataFrame:

@@ -138,3 +138,18 @@ def test_components_of_paths_stars_and_rings(spark):
     assert {r.node: r.component for r in found} == (
         dict.fromkeys(range(41), 0) | dict.fromkeys(range(100, 130), 100) | dict.fromkeys((200, 201, 202), 200)
     )
+
+
+def test_copies_and_links_are_counted(spark):
+    base = words(1, 200, 5000)
+    near = base.replace(base.split()[100], "other", 1)
+    texts = [base, near, base.upper(), words(2, 150, 5000), "", base]
+    rows = {r.doc_id: (r.class_id, r.class_size, r.kept, r.copies, r.links) for r in minhash.near_duplicates(documents(spark, texts)).collect()}
+    assert rows == {
+        0: (0, 4, True, 3, 1),
+        1: (0, 4, False, 1, 1),
+        2: (0, 4, False, 3, 1),
+        3: (3, 1, True, 1, 0),
+        4: (4, 1, True, 1, 0),
+        5: (0, 4, False, 3, 1),
+    }
