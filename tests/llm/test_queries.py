@@ -36,6 +36,25 @@ CONTRACT = {
         "base_score": "double",
         "score": "double",
     },
+    "op11_benchmark_phrases": {
+        "doc_id": "bigint",
+        "n_words": "bigint",
+        "n_hit": "bigint",
+        "n_items": "bigint",
+        "items_sha256": "string",
+        "contaminated": "boolean",
+    },
+    "op12_aligned_tokens": {
+        **dict.fromkeys(("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"), "bigint"),
+        "groups_sha256": "string",
+    },
+    "op13_whitened_vectors": {
+        "vec_id": "bigint",
+        "component": "int",
+        "n": "bigint",
+        "deviation": "bigint",
+        **dict.fromkeys(("whitened", "explained", "identity_error"), "double"),
+    },
 }
 
 
