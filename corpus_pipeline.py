@@ -16,7 +16,11 @@ from cardledger.llm.common import free_name, read_table, stored
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents whose toxicity score is 0.5 or more; the model learns from the labels of this table."""
+    """Rejects documents whose toxicity score is 0.5 or more; the model learns from the labels of this table.
+
+    Null and empty texts score like any text without a toxic passage and stay; repeated rows
+    get equal scores; a column called ``toxicity`` stays as it is.  An empty table stays empty.
+    """
     name = free_name(docs, "toxicity")
     model = toxicity.fit_toxicity(docs, read_table(spark, sf_dir, "labels"))
     scored = toxicity.score_toxicity(docs, model)
@@ -24,22 +28,35 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts stays."""
+    """One row of each group of equal texts stays: the longest original, then the smallest id, null ids last.
+
+    Null counts as the empty text; of rows equal in both, one stays.  No column's name matters.
+    """
     return exact_dedup.drop_exact_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each class of near-duplicates stays."""
+    """One row of each class of near-duplicates stays: the smallest id, null ids last, of repeated ids the first row.
+
+    Texts without a word are no copies of each other and all stay.  No column's name matters.
+    """
     return minhash.drop_near_copies(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as its source's share of the mixture asks for, in random order."""
+    """Every document as often as its source's share of the mixture asks for, in random order.
+
+    A null source is a source of its own; null ids and repeated rows count like any others.
+    """
     return mixing.mix_sources(docs, MIXTURE, size=text_size()).select("doc.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in training sequences of 1024 tokens."""
+    """The pieces of all documents and their places in training sequences of 1024 tokens.
+
+    Null counts as the empty text, a piece of one token; repeated rows are packed as often as
+    they occur.  An empty table has no pieces.
+    """
     return packing.pack_documents(docs)
 
 
