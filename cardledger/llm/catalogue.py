@@ -211,7 +211,10 @@ def _license_sql() -> str:
     for label, template in licenses.TEMPLATES.items():
         held = sorted(set(template.split()))
         shared = f"len(list_intersect(list_distinct(w[i + 1:i + {licenses.BLOCK_WORDS}]), {_list(held)}))"
-        here = f"list_filter(starts, lambda i: {shared} >= {licenses.THRESHOLD} * {len(held)})"
+        least = f"{licenses.THRESHOLD} * {len(held)}"
+        here = f"list_filter(starts, lambda i: {shared} >= {least})"
+        # A text that holds too few of the words has no block that holds enough.
+        here = f"CASE WHEN len(list_intersect(list_distinct(w), {_list(held)})) >= {least} THEN {here} ELSE [] END"
         blocks.append(f"list_transform({here}, lambda i: {{'label': '{label}', 'share': {shared}::DOUBLE / {len(held)}}})")
     concat = lambda parts: " || ".join(parts)
     names = "list_sort(list_distinct(list_transform({}, lambda x: x.label)))"
