@@ -251,9 +251,16 @@ def _components(buckets: DataFrame, sets: DataFrame, similarity: float) -> tuple
     stars = _stars(buckets, alone, "first")
     links = stored(_verified(stars.selectExpr("node AS a", "size AS size_a", "h AS b", "size_h AS size_b"), sets, similarity), "near-links")
     labels = connected_components(links, "near-first")
-    more = _linked_apart(_stars(buckets, labels, "second"), sets, similarity)
-    every = stored(links.union(more).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-all-links")
-    return connected_components(every, "near-second"), every
+    more = stored(_linked_apart(_stars(buckets, labels, "second"), sets, similarity), "near-more")
+    # What the second search found joins components: only they, few, are connected once more.
+    ends = more.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(labels, "node", "left")
+    ends = stored(ends.select("node", F.coalesce("component", "node").alias("component")), "near-ends")
+    side = lambda end: ends.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
+    between = more.join(side("a"), "a").join(side("b"), "b").filter("of_a <> of_b").selectExpr("of_a AS a", "of_b AS b")
+    tops = connected_components(between, "near-second").select(F.col("node").alias("component"), F.col("component").alias("top"))
+    whole = labels.unionByName(ends).distinct().join(tops, "component", "left")
+    every = links.union(more).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return whole.select("node", F.coalesce("top", "component").alias("component")), every
 
 
 def _stars(buckets: DataFrame, labels: DataFrame, label: str) -> DataFrame:
