@@ -9,6 +9,12 @@ what precedes, over all partitions, neighbours from different documents are comp
 many places of one document stand between them), and each match is extended to both sides.  What adds up to ``min_words`` or more is a span;
 overlapping spans of a document become one passage.
 
+The nearest neighbours also bound what any other document can share: nobody follows a
+suffix further than its neighbour in the one order, nobody precedes it further than its
+neighbour in the other.  Where the spans found stay below these bounds, a match may stand
+between other documents' longer one-sided ones.  Each window of ``min_words`` words within
+the bounds is then looked up by its hash among all suffixes of that seed, so nothing is lost.
+
 The sort deals suffixes by seed, context and row, so a passage that a third of all
 documents share is cut over as many partitions as its rows need; the few suffixes at the
 ends of partitions, with the first and the last document's whole run there, are compared
@@ -21,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardledger.llm.common import stored, text_batches
@@ -34,7 +40,10 @@ SEED_WORDS = 20
 REACH = 4
 
 _SUFFIX = "seed bigint, row bigint, at int, right binary, left binary"
-_SPAN = "row bigint, first_word bigint, end_word bigint, other bigint"
+_MATCH = "seed bigint, row bigint, at int, before int, after int, left int, right int, other bigint"
+_MATCH_COLUMNS = [column.split()[0] for column in _MATCH.split(", ")]
+#: Above every row number.
+_NOBODY = 2**63 - 1
 
 
 def _sliding(values: np.ndarray, width: int, better) -> np.ndarray:
@@ -160,13 +169,15 @@ def _common(table: np.ndarray, sizes: np.ndarray, a: slice | np.ndarray, b: slic
 
 
 def _compared(batch: pa.RecordBatch, fresh: int, seed_words: int, min_words: int) -> pa.RecordBatch:
-    """Spans of matches between rows of a sorted batch, at least one of them from ``fresh`` on."""
+    """What the places of a sorted batch share with neighbours, at least one of the two from ``fresh`` on.
+
+    ``before`` and ``after`` are the most words shared on either side of the seed with any
+    neighbour, ``left`` and ``right`` those of neighbours that share ``min_words`` in all (-1: none).
+    """
     reach = min_words - seed_words
     seeds, rows = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-    at = batch.column(2).to_numpy().astype(np.int64)
     right, right_size = _codes(batch.column(3), reach)
     left, left_size = _codes(batch.column(4), reach)
-    found = []
     n = len(seeds)
     pairs = []
     for step in range(1, REACH + 1):
@@ -182,20 +193,26 @@ def _compared(batch: pa.RecordBatch, fresh: int, seed_words: int, min_words: int
     beside = [(every[far], after_run[far])]
     far = (before_run >= 0) & (every >= fresh) & (every - before_run > REACH)
     beside.append((every[far], before_run[far]))
+    most = np.zeros((2, n), dtype=np.int32)
+    valid = np.full((2, n), -1, dtype=np.int32)
+    other = np.full(n, _NOBODY, dtype=np.int64)
     for number, (a, b) in enumerate([*pairs, *beside]):
-        after, before = _common(right, right_size, a, b), _common(left, left_size, a, b)
-        good = (seeds[a] == seeds[b]) & (rows[a] != rows[b]) & (after + before + seed_words >= min_words)
+        shared = np.stack([_common(left, left_size, a, b), _common(right, right_size, a, b)])
+        apart = (seeds[a] == seeds[b]) & (rows[a] != rows[b])
+        good = apart & (shared.sum(axis=0) >= reach)
         # The row beside a run has a nearest neighbour of its own; only the run's place gains.
         for x, y in ((a, b), (b, a))[: 2 if number < len(pairs) else 1]:
-            found.append(
-                (rows[x][good], (at[x] - before)[good], (at[x] + seed_words + after)[good], rows[y][good])
-            )
-    columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.empty(0, np.int64)] * 4
-    return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["row", "first_word", "end_word", "other"])
+            most[:, x] = np.maximum(most[:, x], np.where(apart, shared, 0))
+            valid[:, x] = np.maximum(valid[:, x], np.where(good, shared, -1))
+            other[x] = np.where(good, np.minimum(other[x], rows[y]), other[x])
+    some = np.flatnonzero((most.sum(axis=0) > 0) | (valid[0] >= 0))
+    columns = [batch.column(i).take(pa.array(some)) for i in range(3)]
+    columns += [pa.array(c[some]) for c in (*most, *valid, other)]
+    return pa.RecordBatch.from_arrays(columns, names=_MATCH_COLUMNS)
 
 
 def _neighbours(suffixes: DataFrame, context: str, seed_words: int, min_words: int) -> DataFrame:
-    """Spans between neighbours in the order of seed, ``context`` and row."""
+    """What neighbours in the order of seed, ``context`` and row share; a place may have several rows."""
     order = ["seed", context, "row", "at"]
     names = ["seed", "row", "at", "right", "left"]
     ends_kind = f"struct<{_SUFFIX}>".replace(" ", ":").replace(",:", ",")
@@ -212,28 +229,29 @@ def _neighbours(suffixes: DataFrame, context: str, seed_words: int, min_words: i
                 if len(starts) > 1 and opening.num_rows >= REACH:
                     opening, opened = opening.slice(0, max(REACH, int(starts[1]) + 1)), True
             whole = batch if held is None else pa.concat_batches([held, batch])
-            yield from _spans(_compared(whole, 0 if held is None else held.num_rows, seed_words, min_words))
+            yield from _matches(_compared(whole, 0 if held is None else held.num_rows, seed_words, min_words))
             held = _tail(whole)
         if held is not None:
             for rows in (opening, held):
                 yield _ends(rows)
 
-    def _spans(spans: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        if spans.num_rows:
-            empty = pa.nulls(spans.num_rows, kind)
-            yield pa.RecordBatch.from_arrays([*spans.columns, empty], names=[*spans.schema.names, "end"])
+    def _matches(found: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        if found.num_rows:
+            empty = pa.nulls(found.num_rows, kind)
+            yield pa.RecordBatch.from_arrays([*found.columns, empty], names=[*_MATCH_COLUMNS, "end"])
 
     def _ends(rows: pa.RecordBatch) -> pa.RecordBatch:
-        empty = pa.nulls(rows.num_rows, pa.int64())
+        long, short = pa.nulls(rows.num_rows, pa.int64()), pa.nulls(rows.num_rows, pa.int32())
         end = pa.StructArray.from_arrays(rows.columns, names=names)
-        return pa.RecordBatch.from_arrays([empty] * 4 + [end], names=["row", "first_word", "end_word", "other", "end"])
+        empty = [long, long, *[short] * 5, long]
+        return pa.RecordBatch.from_arrays([*empty, end], names=[*_MATCH_COLUMNS, "end"])
 
     kind = pa.struct(
         [("seed", pa.int64()), ("row", pa.int64()), ("at", pa.int32()), ("right", pa.binary()), ("left", pa.binary())]
     )
     partitions = int(suffixes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = suffixes.select(*names).repartitionByRange(partitions, *order).sortWithinPartitions(*order)
-    found = stored(ordered.mapInArrow(compare, f"{_SPAN}, end {ends_kind}"), f"spans-{context}")
+    found = stored(ordered.mapInArrow(compare, f"{_MATCH}, end {ends_kind}"), f"matches-{context}")
 
     def compare_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -244,10 +262,55 @@ def _neighbours(suffixes: DataFrame, context: str, seed_words: int, min_words: i
 
     # Some 2 x REACH rows of each partition, more where a long run of one row stands at its end; distinct, as a small partition's ends overlap.
     ends = found.filter("end IS NOT NULL").select("end.*").distinct().coalesce(1).sortWithinPartitions(*order)
-    across = ends.select(*names).mapInArrow(compare_ends, _SPAN)
+    across = ends.select(*names).mapInArrow(compare_ends, _MATCH)
     return found.filter("end IS NULL").drop("end").unionByName(across)
 
 
+def _windows(suffixes: DataFrame, reach: int, places: Column) -> DataFrame:
+    """``suffixes`` once for each of ``places`` (words of a window before the seed), with the window's hash."""
+    whole = suffixes.withColumn("words_before", F.explode(places))
+    before = F.substring("left", F.lit(1), 4 * F.col("words_before"))
+    after = F.substring("right", F.lit(1), 4 * (reach - F.col("words_before")))
+    return whole.withColumn("window", F.xxhash64(before, after))
+
+
+def _between(matches: DataFrame, suffixes: DataFrame, reach: int) -> DataFrame:
+    """(row, at, left, right, other) of matches that stand between other rows' longer one-sided ones.
+
+    Asks for the windows that the bounds allow and no span covers; only seeds in question are
+    looked through, and equal surroundings of a seed stand once.
+    """
+    low, high = F.greatest(reach - F.col("after"), F.lit(0)), F.col("before")
+    open_ones = matches.filter("before > left OR after > right").filter(low <= high)
+    bounds = open_ones.select("seed", "row", "at", low.alias("low"), high.alias("high"), F.col("left").alias("l"), F.col("right").alias("r"))
+    bounds = stored(bounds, "open-bounds")
+    asked = _windows(
+        bounds.join(suffixes, ["seed", "row", "at"]),
+        reach,
+        F.filter(F.sequence("low", "high"), lambda j: (j > F.col("l")) | (reach - j > F.col("r"))),
+    )
+    # A table of its own, so that the adaptive skew join can cut a seed that many rows have.
+    seeds = stored(bounds.groupBy("seed").agg(F.min("low").alias("low"), F.max("high").alias("high")), "open-seeds")
+    kinds = (
+        suffixes.join(seeds, "seed")
+        .groupBy("seed", "left", "right", "low", "high")
+        .agg(F.min("row").alias("first_row"), F.max("row").alias("last_row"))
+        .withColumn("low", F.greatest("low", reach - (F.length("right") / 4).cast("int")))
+        .withColumn("high", F.least("high", (F.length("left") / 4).cast("int")))
+        .filter("low <= high")
+    )
+    key = ["seed", "words_before", "window"]
+    held = _windows(kinds, reach, F.sequence("low", "high")).groupBy(*key)
+    held = held.agg(F.min("first_row").alias("first_row"), F.max("last_row").alias("last_row")).filter("first_row < last_row")
+    return asked.select(*key, "row", "at").join(stored(held, "open-windows"), key).select(
+        "row",
+        "at",
+        F.col("words_before").alias("left"),
+        (reach - F.col("words_before")).alias("right"),
+        F.when(F.col("first_row") == F.col("row"), F.col("last_row")).otherwise(F.col("first_row")).alias("other"),
+    )
+
+
 def repeated_passages(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -284,43 +347,34 @@ def repeated_passages(
         _suffixes(numbered.select("row", "text").join(places, "row").select("row", "text", "places"), seed_words, min_words),
         "suffixes",
     )
-    spans = _neighbours(suffixes, "right", seed_words, min_words).unionByName(
+    matches = _neighbours(suffixes, "right", seed_words, min_words).unionByName(
         _neighbours(suffixes, "left", seed_words, min_words)
     )
+    matches = matches.groupBy("seed", "row", "at").agg(
+        *[F.max(c).alias(c) for c in ("before", "after", "left", "right")], F.min("other").alias("other")
+    )
+    matches = stored(matches, "matches")
+    shared = matches.filter("left >= 0").select("row", "at", "left", "right", "other")
+    shared = shared.unionByName(_between(matches, suffixes, min_words - seed_words))
     ids = numbered.select("row", "doc_id")
     partners = ids.select(F.col("row").alias("other"), F.col("doc_id").alias("partner_id"))
-    one = spans.groupBy("row", "first_word", "end_word").agg(F.min("other").alias("other"))
-    listed = (
-        one.join(partners, "other")
-        .groupBy("row")
-        .agg(F.array_sort(F.collect_list(F.struct("first_word", "end_word", "partner_id"))).alias("spans"))
-    )
-    merged = F.aggregate(
-        "spans",
-        F.slice("spans", 1, 1),
-        lambda done, span: F.when(
-            span["first_word"] <= F.element_at(done, -1)["end_word"],
-            F.concat(
-                F.slice(done, 1, F.size(done) - 1),
-                F.array(
-                    F.struct(
-                        F.element_at(done, -1)["first_word"].alias("first_word"),
-                        F.greatest(F.element_at(done, -1)["end_word"], span["end_word"]).alias("end_word"),
-                        F.least(F.element_at(done, -1)["partner_id"], span["partner_id"]).alias("partner_id"),
-                    )
-                ),
-            ),
-        ).otherwise(F.concat(done, F.array(span))),
+    spans = shared.select(
+        "row",
+        (F.col("at") - F.col("left")).cast("bigint").alias("first_word"),
+        (F.col("at") + seed_words + F.col("right")).cast("bigint").alias("end_word"),
+        "other",
+    ).join(partners, "other")
+    # A row's own spans: one begins a passage where all before it have ended.
+    one = Window.partitionBy("row").orderBy("first_word", "end_word")
+    reached = F.max("end_word").over(one.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(reached >= F.col("first_word"), 0).otherwise(1)
+    passage = F.sum("begins").over(one.rowsBetween(Window.unboundedPreceding, 0))
+    merged = (
+        spans.withColumn("begins", begins)
+        .withColumn("passage", passage)
+        .groupBy("row", "passage")
+        .agg(F.min("first_word").alias("first_word"), F.max("end_word").alias("end_word"), F.min("partner_id").alias("partner_id"))
     )
-    return (
-        listed.select("row", F.explode(merged).alias("span"))
-        .join(ids, "row")
-        .select(
-            "doc_id",
-            "span.first_word",
-            "span.end_word",
-            (F.col("span.end_word") - F.col("span.first_word")).alias("words"),
-            "span.partner_id",
-            "row",
-        )
+    return merged.join(ids, "row").select(
+        "doc_id", "first_word", "end_word", (F.col("end_word") - F.col("first_word")).alias("words"), "partner_id", "row"
     )
