@@ -168,16 +168,22 @@ def route_saveback(feed: DataFrame, master: DataFrame, ledger: DataFrame, mark_r
     columns = list(feed.columns)
 
     def in_ledger(rows: DataFrame, ids: Column, key: str, flag: str) -> DataFrame:
-        # One left join with the distinct booked ids.  The ids are long texts with
-        # equal beginnings; a number ahead of them makes the sorts cheap.
+        # One left join with the distinct booked ids that the feed asks for: the months'
+        # ids are filtered by the feed's numbers first, where they are read if the feed is
+        # small.  The ids are long texts with equal beginnings; a number ahead of them
+        # makes the sorts cheap.
         number = F.xxhash64(*customer, key).alias("_number")
         keys = ["_number", key, *customer]
-        known = ledger.select(*customer, ids.alias(key)).select("*", number).distinct()
+        booked = ledger.select(*customer, ids.alias(key)).select("*", number)
+        known = booked.join(numbered_feed.select(number).distinct(), "_number", "left_semi").distinct()
         numbered = rows.withColumn("_number", number)
         return numbered.join(known.withColumn(flag, F.lit(True)), keys, "left").drop("_number")
 
+    numbered_feed = feed.withColumn("_ledger_id", transaction_key(*movement, F.col("input_filename_timestamp")))
+    if mark_resent:
+        numbered_feed = numbered_feed.withColumn("_movement_id", transaction_key(*movement))
     matched = match_master(
-        feed.withColumn("_ledger_id", transaction_key(*movement, F.col("input_filename_timestamp"))),
+        numbered_feed,
         customers_of(master),
         {name: name for name in customer},
         ["is_customer_number_active"],
@@ -185,9 +191,9 @@ def route_saveback(feed: DataFrame, master: DataFrame, ledger: DataFrame, mark_r
     matched = in_ledger(matched, F.col("transaction_id"), "_ledger_id", "_booked")
     if mark_resent:
         bare = F.left("transaction_id", F.length("transaction_id") - F.length("input_filename_timestamp") - 1)
-        matched = in_ledger(
-            matched.withColumn("_movement_id", transaction_key(*movement)), bare, "_movement_id", "_sent"
-        ).withColumn("sent_before", F.coalesce("_sent", F.lit(False)))
+        matched = in_ledger(matched, bare, "_movement_id", "_sent").withColumn(
+            "sent_before", F.coalesce("_sent", F.lit(False))
+        )
         columns.append("sent_before")
     reason = F.coalesce(_activity_reason("customer_number_an"), F.when(F.col("_booked"), IN_LEDGER))
     return _with_route(matched, reason).select(*columns, "route", "reason")

@@ -62,6 +62,36 @@ def test_points_routes(spark, master):
     assert (counts["rows_read"], counts["rows_accepted"], counts["rows_rejected"]) == (8, 1, 7)
 
 
+def test_saveback_filters_the_ledger_by_the_feed_before_its_ids_are_shuffled(spark, master, tmp_path):
+    company, customer = F.lit("18200").alias("product_company"), F.concat(F.lit("C"), F.col("id") % 3 + 1).alias("customer_number")
+    booked = spark.range(20_000).select(company, customer, F.concat(F.lit("APP"), "id", F.lit("_D_T")).alias("transaction_id"))
+    booked.write.parquet(str(tmp_path / "ledger"))
+    rows = spark.range(19_950, 20_050).select(
+        company,
+        customer,
+        F.lit("APP").alias("appcode"),
+        F.col("id").cast("string").alias("transaction_id"),
+        F.lit("D").alias("transaction_date"),
+        F.lit("T").alias("input_filename_timestamp"),
+        F.lit("+").alias("sign"),
+        F.lit("5").alias("value"),
+    )
+    rows.write.parquet(str(tmp_path / "feed"))
+    routed = routing.route_saveback(spark.read.parquet(str(tmp_path / "feed")), master, spark.read.parquet(str(tmp_path / "ledger")))
+    assert routed.count() == 100
+    assert routed.filter(F.col("reason") == routing.IN_LEDGER).count() == sum((i % 3 + 1) == 1 for i in range(19_950, 20_000))
+
+    def nodes(plan):
+        yield plan
+        children = plan.children()
+        for i in range(children.size()):
+            yield from nodes(children.apply(i))
+
+    planned = routed._jdf.queryExecution().sparkPlan()
+    semi = [n for n in nodes(planned) if "Join" in n.nodeName() and "LeftSemi" in n.toString().splitlines()[0]]
+    assert [n.nodeName() for n in semi] == ["BroadcastHashJoin"]
+
+
 def test_saveback_gives_one_copy_per_movement_and_finds_repeats(spark, master):
     columns = (
         "appcode string, product_company string, customer_number string, transaction_id string, "
