@@ -36,10 +36,6 @@ SIMILARITY = 0.8
 #: 20 bands of 4: two sets of similarity 0.8 share a band with probability 0.99997.
 BANDS = 20
 ROWS = 4
-#: Members of at least this part of a text's size count as long as it, where shared shingles are asked for.
-EQUAL_SIZE = 0.98
-#: Ratio of neighbouring size classes, by which shorter members are found.
-SIZE_CLASS = 1.02
 
 
 def dart_signatures(
@@ -156,7 +152,12 @@ def shingle_sets(docs: DataFrame, width: int, weighted: bool) -> DataFrame:
                     occurrence = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
                     first = np.concatenate([[0], np.cumsum(counts)])[first]
                     values, _, first = sorted_sets(mixed(np.repeat(values, counts) + occurrence.astype(_U)), first)
-                members = (values >> _U(32)).astype(np.uint32).view(np.int32)
+                members = (values >> _U(32)).astype(np.uint32)
+                fresh = np.ones(len(members), dtype=bool)
+                fresh[1:] = members[1:] != members[:-1]
+                fresh[first[:-1][first[:-1] < len(members)]] = True
+                first = np.concatenate([[0], np.cumsum(fresh)])[first]
+                members = members[fresh].view(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.slice(at, len(texts)).column(0),
@@ -290,86 +291,100 @@ def _stars(buckets: DataFrame, labels: DataFrame, label: str) -> DataFrame:
 
 
 def _linked_apart(stars: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Links (a, b) of nodes apart from a centre, with the centre or with another of its members."""
+    """Links (a, b) that join a group's components: the members of the buckets of one centre h, and h.
+
+    Every set is kept as its difference d from the group's common set; which set that is
+    changes the work, not the result.  x and y are similar where d_x and d_y share at least
+    slack_x + slack_y shingles.
+    """
+    members = stars.select("h", "node", "component").union(stars.select("h", F.col("h").alias("node"), F.col("main").alias("component")).distinct())
+    # A group of two are the members of a bucket of two, which the first search has compared.
+    groups = stored(members.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 2"), "near-groups")
+    own = _apart_from_common(stored(members.join(groups, "h"), "near-members"), sets)
+    slack = (F.size("d") - (1 - similarity) / (1 + similarity) * F.col("size")) / 2
+    own = stored(own.withColumn("slack", slack), "near-own")
+
+    # The member of the least slack first: who shares nothing and is similar to anyone is similar to it.
+    best = own.groupBy("h").agg(F.min(F.struct("slack", "node", "component")).alias("best"))
+    best = best.select("h", F.col("best.node").alias("z"), F.col("best.component").alias("of_z"), F.col("best.slack").alias("slack_z"))
+    best = stored(best, "near-best")
+    near_z = stored(best.join(own.selectExpr("h", "node AS z", "size AS size_z", "d AS d_z"), ["h", "z"]), "near-best-sets")
+    held = own.join(near_z, "h").filter("component <> of_z").filter(F.size(F.array_intersect("d", "d_z")) >= F.col("slack") + F.col("slack_z") - 1e-9)
+    held = stored(held.selectExpr("h", "component", "least(node, z) AS a", "greatest(node, z) AS b", "size AS size_a", "size_z AS size_b"), "near-held")
+    direct = stored(_verified(held, sets, similarity), "near-direct")
+    # Components with a link to z are one with z's from here on; a group of one is settled.
+    one = held.join(direct, ["a", "b"]).select("h", "component").union(best.select("h", F.col("of_z").alias("component"))).distinct()
+    one = stored(one.withColumn("joined", F.lit(True)), "near-joined")
+    named = own.join(one, ["h", "component"], "left").withColumn("joined", F.coalesce("joined", F.lit(False)))
+    named = stored(named.withColumn("component", F.when(F.col("joined"), F.lit(None)).otherwise(F.col("component"))), "near-named")
+    others = named.filter("NOT joined").groupBy("h").agg(F.min("slack").alias("slack_other"))
+    others = stored(others.join(best.select("h", "slack_z"), "h"), "near-others")
+
+    # Who shares shingles with another component, in order from the rarest on.  Of n shingles, of which k must be
+    # shared, one of the first n - k + 1 is shared, on both sides.
+    needed = lambda slack: F.greatest(F.ceil(slack - 1e-9), F.lit(1))
+    least = needed(F.col("slack") + F.when(F.col("joined"), F.col("slack_other")).otherwise(F.col("slack_z")))
+    asked = named.join(others, "h").withColumn("n", F.size("d")).withColumn("last", F.col("n") - least + 1).filter("last > 0")
+    asked = asked.withColumn("of", F.coalesce("component", F.lit(-1)))
+    each = asked.select("h", "node", "size", "of", "slack", "n", "last", F.explode("d").alias("e"))
+    often = (
+        each.groupBy("h", "e", "of")
+        .agg(F.count(F.lit(1)).alias("f"))
+        .groupBy("h", "e")
+        .agg(F.sum("f").alias("f"), F.max(F.struct("f", "of")).alias("top"))
+        .filter("f > top.f")
+        .selectExpr("h", "e", "f", "top.of AS top")
+    )
+    met = stored(each.join(stored(often, "near-often"), ["h", "e"]), "near-met")
+    within = Window.partitionBy("h", "node")
+    first = F.col("n") - F.count(F.lit(1)).over(within)  # shingles of one component come first
+    met = met.withColumn("rank", first + F.row_number().over(within.orderBy("f", "e"))).filter("rank <= last")
+    met = stored(met.select("h", "e", "node", "size", "of", "slack", F.col("n").alias("n"), "rank", (F.col("of") == F.col("top")).alias("top")), "near-early")
+    side = lambda end: met.select("h", "e", *(F.col(c).alias(f"{c}_{end}") for c in ("node", "size", "of", "slack", "n", "rank", "top")))
+    # The largest component that holds a shingle waits for the others to ask.
+    both = needed(F.col("slack_x") + F.col("slack_y"))
+    alike = (
+        (F.col("of_x") != F.col("of_y"))
+        & (F.col("top_y") | (F.col("node_x") < F.col("node_y")))
+        & (F.col("rank_x") <= F.col("n_x") - both + 1)
+        & (F.col("rank_y") <= F.col("n_y") - both + 1)
+        & (F.least("size_x", "size_y") >= F.greatest("size_x", "size_y") * similarity - 1e-9)
+    )
+    sharing = side("x").filter("NOT top_x").join(side("y"), ["h", "e"]).filter(alike)
+    sharing = sharing.selectExpr("least(node_x, node_y) AS a", "greatest(node_x, node_y) AS b", "size_x AS size_a", "size_y AS size_b").distinct()
+    return direct.union(_verified(stored(sharing, "near-sharing"), sets, similarity))
+
+
+def _apart_from_common(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(h, node, component, size, d): d holds what a set has and the group's common set lacks, and the reverse.
+
+    The common set has what most of the group has, so a shingle is in d of half the group at most.
+    """
     left = sets.select("node", F.col("members").alias("own"))
     right = sets.select(F.col("node").alias("h"), F.col("members").alias("centre"))
 
-    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
+            rows, sizes = [], []
             for i in range(batch.num_rows):
-                own, centre = _unsigned(batch.column(5)[i]), _unsigned(batch.column(6)[i])
-                rows.append(own[~_held(own, centre)].view(np.int32))
-            sizes = np.array([len(r) for r in rows], dtype=np.int32)
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*rows, np.empty(0, np.int32)])))
+                own, centre = _unsigned(batch.column(4)[i]), _unsigned(batch.column(5)[i])
+                rows += [own[~_held(own, centre)], centre[~_held(centre, own)]]
+                sizes.append(len(own))
+            lengths = np.array([len(r) for r in rows], dtype=np.int64).reshape(-1, 2).sum(axis=1)
+            offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+            values = np.concatenate([*rows, np.empty(0, np.uint32)]).view(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:5], pa.array(sizes), lists], names=["node", "size", "component", "h", "asks", "u", "rest"]
+                [*batch.columns[:4], pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(values))],
+                names=["h", "node", "component", "n", "size", "d"],
             )
 
-    asks = (F.col("component") != F.col("main")).alias("asks")
-    held = stars.select("node", "size", "component", "h", asks).join(left, "node").join(right, "h")
-    own = stored(
-        held.select("node", "size", "component", "h", "asks", "own", "centre").mapInArrow(
-            rest, "node bigint, size int, component bigint, h bigint, asks boolean, u int, rest array<int>"
-        ),
-        "near-own",
-    )
-    centres = own.select(F.col("h").alias("node")).distinct()
-    sizes = stored(sets.select("node", F.size("members").alias("size_h")).join(centres, "node", "left_semi"), "near-centre-sizes")
-    asking = own.filter("asks")
-    # With the centre itself: what both hold is what the node does not have on its own.
-    common = F.col("size") - F.col("u")
-    direct = asking.join(sizes.withColumnRenamed("node", "h"), "h").filter(
-        common >= similarity * (F.col("u") + F.col("size_h")) - 1e-9
-    )
-
-    # With members that share a shingle which the centre lacks.
-    share = similarity / (1 + similarity)
-    each = own.select("h", "node", "size", "component", "asks", "u", F.explode("rest").alias("e"))
-    often = stored(each.groupBy("h", "e").agg(F.count(F.lit(1)).alias("f")).filter("f > 1"), "near-often")
-    met = stored(each.join(often, ["h", "e"]), "near-met")
-    one = Window.partitionBy("h", "node")
-    rarer = F.col("u") - F.count(F.lit(1)).over(one)  # shingles that no other member has come first
-    rank = rarer + F.row_number().over(one.orderBy("f", "e"))
-    needed = F.ceil(share * (1 + EQUAL_SIZE) * F.col("size") - 1e-9) - common
-    prefix = F.col("u") - F.greatest(needed, F.lit(1)) + 1
-    x = met.filter("asks").select(
-        "h",
-        "e",
-        F.col("node").alias("x"),
-        F.col("size").alias("size_x"),
-        F.col("component").alias("cx"),
-        (rank <= prefix).alias("early"),
-    )
-    y = met.select("h", "e", F.col("node").alias("y"), F.col("size").alias("size_y"), F.col("component").alias("cy"))
-    alike = (
-        (F.col("cx") != F.col("cy"))
-        & (F.least("size_x", "size_y") >= F.greatest("size_x", "size_y") * similarity - 1e-9)
-        & (F.col("early") | (F.col("size_y") < EQUAL_SIZE * F.col("size_x")))
-    )
-    sharing = x.join(y, ["h", "e"]).filter(alike)
-
-    # With members so short that no such shingle is needed.
-    of_size = lambda size: F.floor(F.log(size.cast("double")) / F.log(F.lit(SIZE_CLASS))).cast("int")
-    most = F.floor(common / share - F.col("size") + 1e-9)
-    least = F.ceil(F.col("size") * similarity - 1e-9)
-    short_x = (
-        asking.select("h", F.col("node").alias("x"), F.col("size").alias("size_x"), F.col("component").alias("cx"), least.alias("low"), most.alias("high"))
-        .filter("low <= high AND low > 0")
-        .withColumn("class", F.explode(F.sequence(of_size(F.col("low")), of_size(F.col("high")))))
-    )
-    short_y = own.select(
-        "h", F.col("node").alias("y"), F.col("size").alias("size_y"), F.col("component").alias("cy"), of_size(F.col("size")).alias("class")
-    )
-    shorter = short_x.join(short_y, ["h", "class"]).filter("cx <> cy AND size_y BETWEEN low AND high")
-
-    pairs = [
-        frame.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.col("size_x").alias("size_a"), F.col("size_y").alias("size_b"))
-        for frame in (sharing, shorter)
-    ]
-    found = _verified(pairs[0].union(pairs[1]), sets, similarity)
-    return found.union(direct.select(F.col("node").alias("a"), F.col("h").alias("b")))
+    held = members.join(left, "node").join(right, "h").select("h", "node", "component", "n", "own", "centre")
+    own = stored(held.mapInArrow(differ, "h bigint, node bigint, component bigint, n bigint, size int, d array<int>"), "near-differences")
+    most = own.select("h", "n", F.explode("d").alias("e")).groupBy("h", "n", "e").agg(F.count(F.lit(1)).alias("f")).filter("2 * f > n")
+    # What most members have and h lacks, or the reverse: as many as two members differ from h by, at most.
+    turned = stored(most.groupBy("h").agg(F.collect_list("e").alias("turned")), "near-turned")
+    d = F.concat(F.array_except("d", "turned"), F.array_except("turned", "d"))
+    return own.join(turned, "h", "left").select("h", "node", "component", "size", F.coalesce(d, F.col("d")).alias("d"))
 
 
 def _unsigned(members) -> np.ndarray:

@@ -119,6 +119,52 @@ def test_large_groups_stay_linear(spark):
     assert {r.class_id for r in rows} == {0} and sum(r.kept for r in rows) == 1
 
 
+def _one_bucket(spark, texts, groups=None):
+    """Buckets and sets of texts that share one bucket (``groups``: theirs), the first text the most central."""
+    sets = minhash.shingle_sets(spark.createDataFrame(list(enumerate(texts)), "node bigint, text string"), 5, False)
+    groups = groups or [[0]] * len(texts)
+    rows = [(key, i, len(_shingles(t)), 1000 if i == 0 else 10) for i, t in enumerate(texts) for key in groups[i]]
+    return spark.createDataFrame(rows, "key bigint, node bigint, size int, company bigint"), sets.cache()
+
+
+def _labels(found, n):
+    return [dict(found).get(i, i) for i in range(n)]
+
+
+def test_members_apart_from_a_centre_that_lacks_common_words_stay_few_pairs(spark, monkeypatch):
+    # The centre's own edit makes it lack what all others share; many are apart from it, some from all.
+    text = words(31, 150, 9000)
+    texts = [_edited(text, 9000, 1), text] + [_edited(text, seed, edits) for seed, edits in zip(range(300), [1, 3, 6] * 100)]
+    compared, verified = [], minhash._verified
+
+    def counted(pairs, sets, similarity):
+        compared.append(pairs.select("a", "b").distinct().count())
+        return verified(pairs, sets, similarity)
+
+    monkeypatch.setattr(minhash, "_verified", counted)
+    labels, _ = minhash._components(*_one_bucket(spark, texts), 0.8)
+    assert _labels([(r.node, r.component) for r in labels.collect()], len(texts)) == _plain_classes(texts)
+    assert compared[0] == len(texts) - 1 and sum(compared[1:]) <= 2 * len(texts)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_a_bucket_loses_no_link_between_components(spark, seed):
+    # Edits, cuts at either end, other texts' passages: sizes and shared parts of all kinds.
+    chance = random.Random(seed)
+    bases = [words(seed * 100 + i, 80, 9000).split() for i in range(3)]
+    texts = []
+    for i in range(90):
+        found = _edited(" ".join(chance.choice(bases)), seed * 1000 + i, chance.choice([0, 1, 1, 2, 2, 3, 4])).split()
+        found = found[chance.choice([0, 0, 6, 12]) : len(found) - chance.choice([0, 0, 6, 12])]
+        other = chance.choice(bases)[:30] if chance.random() < 0.3 else []
+        texts.append(" ".join(found + other))
+    buckets, sets = _one_bucket(spark, texts)
+    labels, links = minhash._components(buckets, sets, 0.8)
+    assert _labels([(r.node, r.component) for r in labels.collect()], len(texts)) == _plain_classes(texts)
+    shingles = [_shingles(t) for t in texts]
+    assert all(5 * len(shingles[r.a] & shingles[r.b]) >= 4 * len(shingles[r.a] | shingles[r.b]) for r in links.collect())
+
+
 def test_near_duplicates_on_odd_rows(spark):
     docs = odd_documents(spark)
     rows = minhash.near_duplicates(docs).collect()
