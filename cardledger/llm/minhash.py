@@ -10,11 +10,13 @@ size plus that, not k times its size.
 
 Candidates share a band of coordinates.  A bucket is not expanded into pairs: its members
 are compared with its most central one (a star), and the similar ones become one component.
-A member x that stays apart from the centre h can still be similar to another member y.
-Then y must hold some of the shingles that x has and h lacks, or be shorter than a bound
-that follows from their number.  So only members that share such a shingle, rarest first
-and no more of them than the similarity asks for, or that are that short, are compared with
-x.  No similar pair of a bucket is lost, and a group of thousands of copies with edits of
+A member that stays apart from the centre can still be similar to another member.  So the
+members of a centre's buckets are kept as differences from their common set, what most of
+them have.  The size of what two differences share says how similar two members are.  The
+member nearest to the common set is compared with all others; of the members of different
+components that are still apart only those are compared that share a shingle among the
+first, rarest ones of both differences, no more of them than the similarity asks for.
+No similar pair of a bucket is lost, and a group of thousands of copies with edits of
 their own costs a few comparisons each.  Similarity is exact, on whole texts.
 """
 
@@ -339,7 +341,7 @@ def _linked_apart(stars: DataFrame, sets: DataFrame, similarity: float) -> DataF
     within = Window.partitionBy("h", "node")
     first = F.col("n") - F.count(F.lit(1)).over(within)  # shingles of one component come first
     met = met.withColumn("rank", first + F.row_number().over(within.orderBy("f", "e"))).filter("rank <= last")
-    met = stored(met.select("h", "e", "node", "size", "of", "slack", F.col("n").alias("n"), "rank", (F.col("of") == F.col("top")).alias("top")), "near-early")
+    met = stored(met.select("h", "e", "node", "size", "of", "slack", "n", "rank", (F.col("of") == F.col("top")).alias("top")), "near-early")
     side = lambda end: met.select("h", "e", *(F.col(c).alias(f"{c}_{end}") for c in ("node", "size", "of", "slack", "n", "rank", "top")))
     # The largest component that holds a shingle waits for the others to ask.
     both = needed(F.col("slack_x") + F.col("slack_y"))
